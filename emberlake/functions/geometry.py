@@ -133,8 +133,9 @@ def _number_text(value: Column) -> Column:
     plain = F.when(F.abs(number) >= 0.001, number.try_cast("decimal(33,15)").cast("string")).otherwise(
         F.format_string("%.15f", number)
     )
-    # The scale is fixed, so the text always has a decimal part to trim.
-    return F.when(number.isNotNull() & ~F.isnan(number), F.regexp_replace(plain, r"\.?0+$", ""))
+    # The scale is fixed, so the text always has a decimal part to trim; minus zero loses its sign.
+    trimmed = F.regexp_replace(plain, r"^-(?=0\.0*$)|\.?0+$", "")
+    return F.when(number.isNotNull() & ~F.isnan(number), trimmed)
 
 
 def point_wkt(lon: Column, lat: Column) -> Column:

@@ -1,0 +1,121 @@
+import datetime
+import json
+
+import pytest
+from conftest import rows_of
+from pyspark.sql import functions as F
+
+from emberlake.plans.ingest import ingest, new_rows
+from emberlake.sources.files import list_files, read_csv, select_new_files
+from emberlake.sources.links import extract_links
+from emberlake.sources.marks import latest, read_mark, write_mark
+from emberlake.sources.tables import read_table
+from emberlake.streaming.daily import append_available, stream_csv
+
+COLUMNS = ["lat", "data_hora_gmt"]
+
+
+def write_days(folder, days, rows=2):
+    folder.mkdir(exist_ok=True)
+    for day in days:
+        stamp = f"{day // 10000}-{day // 100 % 100:02d}-{day % 100:02d}"
+        lines = [f"extra,{i}.5,{stamp} 0{i}:00:00" for i in range(rows)]
+        (folder / f"focos_br_{day}.csv").write_text("\n".join(["sat,lat,data_hora_gmt", *lines]) + "\n")
+
+
+def files_read(df) -> int:
+    df.collect()
+    leaf = df._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    return leaf.metrics().get("numFiles").get().value()
+
+
+def test_read_csv_by_name_and_only_new_files(spark, tmp_path):
+    write_days(tmp_path / "d", [20240101, 20240102, 20240103])
+    folder = str(tmp_path / "d")
+    assert read_csv(spark, folder, COLUMNS).columns == COLUMNS
+    assert read_csv(spark, folder, COLUMNS).count() == 6
+    newer = read_csv(spark, folder, COLUMNS, newer_than=20240102)
+    assert rows_of(newer.select("data_hora_gmt")) == [("2024-01-03 00:00:00",), ("2024-01-03 01:00:00",)]
+    assert files_read(newer) == 1
+    assert files_read(read_csv(spark, folder, COLUMNS, newer_than=20240102, inclusive=True)) == 2
+
+
+def test_file_with_other_header_fails(spark, tmp_path):
+    write_days(tmp_path / "d", [20240101])
+    (tmp_path / "d" / "focos_br_20240102.csv").write_text("lat,sat,data_hora_gmt\n1,x,2024-01-02 00:00:00\n" * 30)
+    with pytest.raises(Exception, match="FAILED_READ_FILE|header"):
+        read_csv(spark, str(tmp_path / "d"), COLUMNS).collect()
+
+
+def test_list_and_select_files(spark, tmp_path):
+    write_days(tmp_path / "d", [20240102, 20240103])
+    (tmp_path / "d" / "notes.txt").write_text("x")
+    listed = list_files(spark, str(tmp_path / "d"))
+    assert listed.count() == 2
+    assert [r.name for r in select_new_files(listed, "name", 20240102).collect()] == ["focos_br_20240103.csv"]
+    assert select_new_files(listed, "name", 20240102, inclusive=True).count() == 2
+
+
+def test_mark(spark, tmp_path):
+    path = str(tmp_path / "mark")
+    assert read_mark(spark, path) is None
+    (tmp_path / "date_control.json").write_text(json.dumps({"last_date": "2024-01-02 23:50:00"}, indent=4))
+    assert read_mark(spark, str(tmp_path)) == ("2024-01-02 23:50:00", 20240102)
+    events = spark.createDataFrame([(datetime.datetime(2024, 1, 5, 6, 7, 8, 9),), (None,)], "ts timestamp")
+    write_mark(latest(events, "ts"), path)
+    assert read_mark(spark, path) == ("2024-01-05 06:07:08", 20240105)
+
+
+def test_ingest_takes_each_day_once(spark, tmp_path):
+    folder, mark, loads = tmp_path / "d", str(tmp_path / "mark"), []
+
+    def load(rows):
+        loads.append(rows.count())
+
+    write_days(folder, [20240101, 20240102])
+    ingest(spark, str(folder), mark, load, COLUMNS)
+    ingest(spark, str(folder), mark, load, COLUMNS)
+    assert read_mark(spark, mark) == ("2024-01-02 01:00:00", 20240102)
+    write_days(folder, [20240103])
+    assert new_rows(spark, str(folder), mark, COLUMNS).count() == 2
+    ingest(spark, str(folder), mark, load, COLUMNS)
+    assert loads == [4, 0, 2]
+    assert read_mark(spark, mark)[1] == 20240103
+
+
+def test_mark_does_not_move_if_the_load_fails(spark, tmp_path):
+    write_days(tmp_path / "d", [20240101])
+
+    def load(rows):
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        ingest(spark, str(tmp_path / "d"), str(tmp_path / "mark"), load, COLUMNS)
+    assert read_mark(spark, str(tmp_path / "mark")) is None
+
+
+def test_extract_links(spark):
+    html = """<a href="a.csv">1</a><A class=x HREF='b.csv' id=1>2</a><a\nhref=c.csv>3</a><a href="a.csv">again</a>
+      <a href="d.txt">no</a><a name="e.csv">no</a><!-- <a href="f.csv"> --><script>'<a href="g.csv">'</script>
+      <a href="h?x=1&amp;y=2.csv">4</a><abbr href="i.csv">no</abbr><a data-href="j.csv">no</a><a href="">none</a>"""
+    pages = spark.createDataFrame([("http://x/", html), ("http://y/", None)], "url string, html string")
+    got = [r.link for r in extract_links(pages, "url", "html", ".csv").collect()]
+    assert sorted(got) == sorted(
+        ["http://x/a.csv", "http://x/b.csv", "http://x/c.csv", "http://x/a.csv", "http://x/h?x=1&y=2.csv"]
+    )
+
+
+def test_stream_takes_late_files_too(spark, tmp_path):
+    folder, table, checkpoint = tmp_path / "d", str(tmp_path / "raw"), str(tmp_path / "checkpoint")
+
+    def run():
+        rows = stream_csv(spark, str(folder), ["sat", *COLUMNS], files_per_batch=1)
+        append_available(rows, table, checkpoint).awaitTermination()
+        return read_table(spark, table).count()
+
+    write_days(folder, [20240103])
+    assert run() == 2
+    write_days(folder, [20240101, 20240104])
+    assert run() == 6
+    assert run() == 6
+    assert read_table(spark, table).agg(F.min("data_hora_gmt")).first()[0] == "2024-01-01 00:00:00"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,8 +54,8 @@ def _too_large_to_measure(df: DataFrame, limit: int) -> bool:
     return estimate > _ESTIMATE_FACTOR * limit
 
 
-def measure(df: DataFrame, keys: Sequence[str] = ()) -> Size | None:
-    """Size of ``df`` in one aggregate job; with ``keys``, also the most rows per non-null key."""
+def _size_row(df: DataFrame, keys: Sequence[str], number: int) -> DataFrame | None:
+    """One row (number, rows, bytes, copies), or None if rows have no simple size."""
     per_row = _row_bytes(df)
     if per_row is None:
         return None
@@ -62,12 +63,24 @@ def measure(df: DataFrame, keys: Sequence[str] = ()) -> Size | None:
         complete = F.lit(True)
         for k in keys:
             complete = complete & F.col(k).isNotNull()
-        groups = df.groupBy(*keys).agg(F.count("*").alias("n"), F.sum(per_row).alias("b"))
-        totals = groups.agg(F.sum("n"), F.sum("b"), F.max(F.when(complete, F.col("n"))))
+        df = df.groupBy(*keys).agg(F.count("*").alias("n"), F.sum(per_row).alias("b"))
+        figures = F.sum("n"), F.sum("b"), F.max(F.when(complete, F.col("n")))
     else:
-        totals = df.agg(F.count("*"), F.sum(per_row), F.lit(None).cast("long"))
-    rows, size, copies = totals.first()
-    return Size(rows or 0, size or 0, copies or 0)
+        figures = F.count("*"), F.sum(per_row), F.lit(None).cast("long")
+    named = [F.coalesce(c, F.lit(0)).cast("long").alias(n) for n, c in zip(("rows", "bytes", "copies"), figures)]
+    return df.agg(*named).select(F.lit(number).alias("number"), "*")
+
+
+def measure_all(sides: Sequence[tuple[DataFrame, Sequence[str]]]) -> list[Size | None]:
+    """Sizes of several frames in one job of one row each; with keys, also the most rows per non-null key."""
+    rows = [r for r in (_size_row(df, keys, i) for i, (df, keys) in enumerate(sides)) if r is not None]
+    found = {r.number: Size(r.rows, r.bytes, r.copies) for r in reduce(DataFrame.union, rows).collect()} if rows else {}
+    return [found.get(i) for i in range(len(sides))]
+
+
+def measure(df: DataFrame, keys: Sequence[str] = ()) -> Size | None:
+    """Size of one frame."""
+    return measure_all([(df, keys)])[0]
 
 
 def require_unique(df: DataFrame, keys: Sequence[str], what: str) -> None:
@@ -78,12 +91,13 @@ def require_unique(df: DataFrame, keys: Sequence[str], what: str) -> None:
         raise DuplicateKeyError(f"{what}: key {tuple(keys)} is not unique, e.g. {tuple(worst[0][k] for k in keys)}")
 
 
+def _hinted(df: DataFrame, size: Size | None, limit: int) -> DataFrame:
+    return F.broadcast(df) if size is not None and size.bytes <= limit else df
+
+
 def sized(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """``df``, marked for broadcast if its measured size allows; else left to a shuffled join."""
-    if _too_large_to_measure(df, limit):
-        return df
-    size = measure(df)
-    return F.broadcast(df) if size is not None and size.bytes <= limit else df
+    return df if _too_large_to_measure(df, limit) else _hinted(df, measure(df), limit)
 
 
 @dataclass(frozen=True)
@@ -101,38 +115,15 @@ class Dimension:
     where: Column | None = None
 
 
-def lookup_join(
-    facts: DataFrame,
-    dim: Dimension,
-    how: str = "left",
-    unique: bool = False,
-    limit: int = BROADCAST_BYTES,
-) -> DataFrame:
-    """Equi-join ``facts`` to one dimension.
+def _keys(dim: Dimension) -> list[str]:
+    return [f"__key{i}" for i in range(len(dim.on))]
 
-    The dimension is pruned to its keys and the columns taken, measured, and
-    broadcast if it is proven small; otherwise both sides shuffle on the key
-    and adaptive execution splits the hot ones. ``unique=True`` raises if a
-    dimension key would multiply rows; that check and the measurement are one
-    job.
-    """
+
+def _side(dim: Dimension) -> DataFrame:
+    """The dimension filtered and pruned to its keys and the columns taken."""
     frame = dim.frame if dim.where is None else dim.frame.filter(dim.where)
-    keys = [f"__key{i}" for i in range(len(dim.on))]
-    side = frame.select(
-        *[F.col(d).alias(k) for k, d in zip(keys, dim.on.values())],
-        *[F.col(old).alias(new) for new, old in dim.take.items()],
-    )
-    if unique:
-        size = measure(side, keys)
-        if size is None:
-            require_unique(side, keys, "dimension")
-        elif size.copies > 1:
-            raise DuplicateKeyError(f"dimension key {tuple(dim.on.values())} occurs up to {size.copies} times")
-        side = F.broadcast(side) if size is not None and size.bytes <= limit else side
-    else:
-        side = sized(side, limit)
-    match = [facts[f] == side[k] for f, k in zip(dim.on, keys)]
-    return facts.join(side, match, how).drop(*keys)
+    keys = [F.col(column).alias(key) for key, column in zip(_keys(dim), dim.on.values())]
+    return frame.select(*keys, *[F.col(old).alias(new) for new, old in dim.take.items()])
 
 
 def star_join(
@@ -143,13 +134,36 @@ def star_join(
     unique: bool = False,
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """``facts`` filtered by ``where`` and joined to each dimension in turn."""
+    """``facts`` filtered by ``where`` and equi-joined to each dimension in turn.
+
+    Dimensions are measured together in one small job. Each that is proven
+    small is broadcast; for any other both sides shuffle on the key and
+    adaptive execution splits the hot ones. ``unique=True`` also raises if a
+    dimension key would multiply rows, in the same job.
+    """
+    sides = [_side(d) for d in dims]
+    asked = [i for i, side in enumerate(sides) if unique or not _too_large_to_measure(side, limit)]
+    sizes = dict(zip(asked, measure_all([(sides[i], _keys(dims[i]) if unique else ()) for i in asked])))
     joined = facts if where is None else facts.filter(where)
-    for dim in dims:
-        joined = lookup_join(joined, dim, how, unique, limit)
+    for i, (dim, side) in enumerate(zip(dims, sides)):
+        size, keys = sizes.get(i), _keys(dim)
+        if unique and size is None:
+            require_unique(side, keys, "dimension")
+        elif unique and size.copies > 1:
+            raise DuplicateKeyError(f"dimension key {tuple(dim.on.values())} occurs up to {size.copies} times")
+        side = _hinted(side, size, limit)
+        match = [joined[column] == side[key] for column, key in zip(dim.on, keys)]
+        joined = joined.join(side, match, how).drop(*keys)
     return joined
 
 
+def lookup_join(
+    facts: DataFrame, dim: Dimension, how: str = "left", unique: bool = False, limit: int = BROADCAST_BYTES
+) -> DataFrame:
+    """``facts`` equi-joined to one dimension."""
+    return star_join(facts, [dim], how, None, unique, limit)
+
+
 def unmatched_counts(joined: DataFrame, ids: Sequence[str]) -> DataFrame:
     """One row per dimension id with the number of left-joined rows that found no partner.
 

@@ -12,12 +12,14 @@ from emberlake.operators.shaping import union_by_name
 from emberlake.plans.dashboard import Filters, chart_counts, hotspot_star, overview
 from emberlake.plans.dimensions import date_rows
 from emberlake.plans.fact import build_fact
-from emberlake.plans.hotspots import clean_hotspots
+from emberlake.plans.hotspots import clean_hotspots, load_hotspots
 from emberlake.queries import Query, table
 from emberlake.queries.cleaning import normal_sql
 from emberlake.queries.dates import date_rows_sql, days_sql
 from emberlake.queries.geo import POINT_HEADER, double_hex_sql
 from emberlake.queries.stars import rounded
+from emberlake.session import scratch_folder
+from emberlake.sources.tables import read_table
 
 # What each event type stands for: satellite, municipality, state, biome.
 PLACES = {
@@ -65,13 +67,18 @@ def clean_feed(spark: SparkSession, folder: str) -> DataFrame:
     return trusted(spark, folder).withColumn("data_hora_gmt", F.col("data_hora_gmt").cast("timestamp_ntz"))
 
 
-def _dimensions(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _stored_trusted(spark: SparkSession, folder: str) -> DataFrame:
+    """The trusted table, written as a load writes it and read back."""
+    path = scratch_folder(spark, "trusted")
+    load_hotspots(trusted(spark, folder), path)
+    return read_table(spark, path)
+
+
+def _dimensions(spark: SparkSession, folder: str, rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Dates of the events but the last day, municipalities and biomes that hold readings, by trusted name."""
-    rows = trusted(spark, folder)
     day = F.to_date("ts")
     bounds = table(spark, folder, "events").agg(F.min(day).alias("first"), F.date_sub(F.max(day), 1).alias("last"))
-    towns = rows.groupBy("municipio", "sigla_estado").agg(F.count("*").alias("n"))
-    towns = towns.select(
+    towns = rows.select("municipio", "sigla_estado").distinct().select(
         (F.length("municipio") * 100 + F.ascii("municipio")).alias("id_municipio"),
         F.col("municipio").alias("des_nome"),
         F.col("sigla_estado").alias("des_sigla"),
@@ -83,17 +90,19 @@ def _dimensions(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame,
     return date_rows(bounds, "first", "last"), towns, biomes
 
 
-def fact(spark: SparkSession, folder: str) -> DataFrame:
-    return build_fact(trusted(spark, folder), *_dimensions(spark, folder))
+def _fact_and_dimensions(spark: SparkSession, folder: str) -> list[DataFrame]:
+    rows = _stored_trusted(spark, folder)
+    dimensions = _dimensions(spark, folder, rows)
+    return [build_fact(rows, *dimensions), *dimensions]
 
 
 def hotspot_fact(spark: SparkSession, folder: str) -> DataFrame:
-    return fact(spark, folder).withColumn("geom_foco", F.lower(F.hex("geom_foco")))
+    return _fact_and_dimensions(spark, folder)[0].withColumn("geom_foco", F.lower(F.hex("geom_foco")))
 
 
 def _star(spark: SparkSession, folder: str) -> DataFrame:
     filters = Filters("AQUA_M-T", datetime.date(2024, 1, 5), datetime.date(2024, 1, 31))
-    return hotspot_star(fact(spark, folder), *_dimensions(spark, folder), filters)
+    return hotspot_star(*_fact_and_dimensions(spark, folder), filters)
 
 
 def hotspot_overview(spark: SparkSession, folder: str) -> DataFrame:

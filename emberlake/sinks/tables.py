@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from emberlake.operators.lookup import require_unique
@@ -48,18 +47,21 @@ def overwrite_table(
     writer.partitionBy(*partition_by).save(path)
 
 
+def _partition_text(names: Sequence[str]) -> Column:
+    """Partition values as one text, nulls apart from every value."""
+    return F.concat_ws("\1", *[F.coalesce(F.col(n).cast("string"), F.lit("\2")) for n in names])
+
+
 def _only_partitions(df: DataFrame, names: Sequence[str], values: Sequence[Row]) -> DataFrame:
-    """``df`` limited to listed partitions by a filter on partition columns only."""
-    if not values:
-        return df.filter(F.lit(False))
-    each = [reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.lit(row[n])) for n in names]) for row in values]
-    return df.filter(reduce(lambda a, b: a | b, each))
+    """``df`` limited to listed partitions, by one set lookup that reads partition columns only and so prunes."""
+    texts = ["\1".join("\2" if row[f"__{n}"] is None else row[f"__{n}"] for n in names) for row in values]
+    return df.filter(_partition_text(names).isin(texts) if texts else F.lit(False))
 
 
 def _partitions(df: DataFrame, names: Sequence[str]) -> list[Row] | None:
-    """Distinct partition values of ``df``, each also as text, or None if too many to list in a filter."""
+    """Distinct partition values of ``df`` as text, or None if too many to list in a filter."""
     texts = [F.col(n).cast("string").alias(f"__{n}") for n in names]
-    found = df.select(*names).distinct().limit(MAX_NAMED_PARTITIONS + 1).select(*names, *texts).collect()
+    found = df.select(*texts).distinct().limit(MAX_NAMED_PARTITIONS + 1).collect()
     return found if len(found) <= MAX_NAMED_PARTITIONS else None
 
 
@@ -78,19 +80,22 @@ def append_missing(source: DataFrame, path: str, keys: Sequence[str], partition_
     """Add the rows whose key the table lacks and leave all others alone.
 
     Reads only key columns of the partitions that ``source`` touches and
-    rewrites nothing. Equal keys must imply equal partition values. Repeating
-    an interrupted call adds what was still missing.
+    rewrites nothing. Equal keys must imply equal partition values. Duplicate
+    source keys raise when there is a table to add to. Repeating an
+    interrupted call adds what was still missing.
     """
     spark = source.sparkSession
+    if not table_exists(spark, path):
+        overwrite_table(source, path, partition_by)
+        return
     with materialised(source, "append") as fresh:
         require_unique(fresh, keys, "source")
-        if table_exists(spark, path):
-            target = _read_target(spark, path, fresh, partition_by)
-            touched = _partitions(fresh, partition_by) if partition_by else None
-            if touched is not None:
-                target = _only_partitions(target, partition_by, touched)
-            fresh = missing_rows(fresh, target, keys)
-        laid_out(fresh, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
+        target = _read_target(spark, path, fresh, partition_by)
+        touched = _partitions(fresh, partition_by) if partition_by else None
+        if touched is not None:
+            target = _only_partitions(target, partition_by, touched)
+        rows = laid_out(missing_rows(fresh, target, keys), partition_by)
+        rows.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def upsert_table(
@@ -103,7 +108,8 @@ def upsert_table(
 ) -> None:
     """Merge ``source`` into a table: matched rows are replaced, unmatched ones added.
 
-    A table that does not exist yet is created. Only touched partitions are
+    A table that does not exist yet is created from ``source`` as it is. Only
+    touched partitions are
     read in full and rewritten: those of ``source`` plus those that hold
     matched keys. Finding the latter scans the table's key columns;
     ``keys_fix_partition=True`` skips that scan where a key can occur in one
@@ -117,11 +123,11 @@ def upsert_table(
         _merge_into(source, path, keys, partition_by)
         return
     finish_upsert(spark, path, partition_by)
+    if not table_exists(spark, path):
+        overwrite_table(source, path, partition_by)
+        return
     with materialised(source, "upsert") as fresh:
         require_unique(fresh, keys, "source")
-        if not table_exists(spark, path):
-            overwrite_table(fresh, path, partition_by)
-            return
         target = _read_target(spark, path, fresh, partition_by)
         touched = _touched(target, fresh, keys, partition_by, keys_fix_partition) if partition_by else None
         if touched is not None:

@@ -58,17 +58,28 @@ def _read_point(blob: bytes) -> tuple[float, float]:
     return struct.unpack_from(sign + "dd", blob, 9 if kind & _SRID_FLAG else 5)
 
 
+def _point_rows(blobs: pa.Array) -> np.ndarray | None:
+    """Points as one structured array over the batch's own buffer, if all have the layout ``point`` writes."""
+    if not pa.types.is_binary(blobs.type) or len(blobs) == 0:
+        return None
+    _, offsets, data = blobs.buffers()
+    ends = np.frombuffer(offsets, dtype="<i4", count=len(blobs) + 1, offset=4 * blobs.offset)
+    if (np.diff(ends) != _POINT.itemsize).any():
+        return None
+    rows = np.frombuffer(data, dtype=_POINT, count=len(blobs), offset=ends[0])
+    plain = (rows["order"] == 1) & (rows["type"] == _POINT_TYPE | _SRID_FLAG)
+    return rows if plain.all() else None
+
+
 def _read_points(geometry: pa.Array) -> pa.Array:
     valid = geometry.is_valid().to_numpy(zero_copy_only=False)
     x, y = np.zeros(len(geometry)), np.zeros(len(geometry))
-    blobs = geometry.drop_null().to_pylist()
-    if all(len(b) == _POINT.itemsize and b[0] == 1 for b in blobs):
-        rows = np.frombuffer(b"".join(blobs), dtype=_POINT)
-        if (rows["type"] != _POINT_TYPE | _SRID_FLAG).any():
-            raise ValueError("not a point geometry")
+    blobs = geometry.drop_null()
+    rows = _point_rows(blobs)
+    if rows is not None:
         x[valid], y[valid] = rows["x"], rows["y"]
     else:
-        pairs = [_read_point(b) for b in blobs]
+        pairs = [_read_point(b) for b in blobs.to_pylist()]
         x[valid], y[valid] = [p[0] for p in pairs], [p[1] for p in pairs]
     return pa.StructArray.from_arrays([pa.array(x), pa.array(y)], names=["x", "y"], mask=pa.array(~valid))
 
@@ -107,7 +118,10 @@ def set_srid(geometry: Column, srid: int = SRID) -> Column:
         F.concat(F.substring(geometry, 1, 1), flags_big, F.substring(geometry, 3, 3), F.lit(struct.pack(">I", srid)))
     )
     start = F.when(_has_srid(geometry), F.lit(10)).otherwise(F.lit(6))
-    return F.concat(header, F.substring(geometry, start, F.octet_length(geometry)))
+    rewritten = F.concat(header, F.substring(geometry, start, F.octet_length(geometry)))
+    # Most rows are points that carry the SRID already.
+    ready = F.lit(struct.pack("<BII", 1, _POINT_TYPE | _SRID_FLAG, srid))
+    return F.when(F.substring(geometry, 1, 9) == ready, geometry).otherwise(rewritten)
 
 
 def srid_of(geometry: Column) -> Column:

@@ -11,8 +11,12 @@ UNACCENTED = "aaaaaeeeeiiiiooooouuuucnAAAAAEEEEIIIIOOOOOUUUUCN"
 
 
 def normalize_string(text: Column) -> Column:
-    """Fold the listed accented letters to ASCII, then upper-case."""
-    return F.upper(F.translate(text, ACCENTED, UNACCENTED))
+    """Fold the listed accented letters to ASCII, then upper-case.
+
+    Text that is ASCII already, as keys and codes are, skips the letter-wise pass.
+    """
+    is_ascii = F.octet_length(text) == F.char_length(text)
+    return F.upper(F.when(is_ascii, text).otherwise(F.translate(text, ACCENTED, UNACCENTED)))
 
 
 def after_last(text: Column, marker: str) -> Column:

@@ -43,9 +43,9 @@ def count_by(df: DataFrame, key: str | Column, counted: str, name: str, alias: s
 
 
 def with_share(counts: DataFrame, count: str, share: str = "share") -> DataFrame:
-    """Adds each count's part of the total, which is a scalar subquery over the same counts."""
+    """Adds each count's part of the total, a scalar subquery over the same counts; null if the total is zero."""
     whole = counts.agg(F.sum(count)).scalar()
-    return counts.withColumn(share, F.col(count) / whole)
+    return counts.withColumn(share, F.try_divide(F.col(count), whole))
 
 
 def count_charts(df: DataFrame, keys: Mapping[str, Column], counted: str) -> DataFrame:
@@ -62,7 +62,7 @@ def count_charts(df: DataFrame, keys: Mapping[str, Column], counted: str) -> Dat
     counts = long.groupBy("chart", "key").agg(F.sum("__n").alias("n"))
     wholes = counts.groupBy("chart").agg(F.sum("n").alias("__whole"))
     # One row per chart, and there are as many charts as entries in ``keys``.
-    shared = counts.join(F.broadcast(wholes), "chart").withColumn("share", F.col("n") / F.col("__whole"))
+    shared = counts.join(F.broadcast(wholes), "chart").withColumn("share", F.try_divide("n", "__whole"))
     return shared.drop("__whole").orderBy("chart", "key")
 
 

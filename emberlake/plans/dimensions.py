@@ -18,8 +18,6 @@ from emberlake.sources.tables import read_table, table_exists
 # Fixed value: first day of the date dimension.
 FIRST_DAY = datetime.date(2000, 1, 1)
 
-DATE_SCHEMA = "id_data int, qtd_dia int, qtd_mes int, qtd_ano int, dt_data date"
-
 
 def clean_layer(layer: DataFrame, columns: Mapping[str, tuple[str, str]], srid: int = SRID) -> DataFrame:
     """Select, cast and rename layer attributes, drop repeated rows, normalise by type."""

@@ -45,16 +45,20 @@ def key_rows(
 
 
 def clean_hotspots(
-    raw: DataFrame, null_token: str | None = None, time_formats: Sequence[str] = (EVENT_TIME_FORMAT,)
+    raw: DataFrame,
+    null_token: str | None = None,
+    time_formats: Sequence[str] = (EVENT_TIME_FORMAT,),
+    types: Mapping[str, str] = RAW_HOTSPOT,
 ) -> DataFrame:
     """Raw rows as trusted rows: keyed, typed, deduplicated, normalised, validated.
 
     One shuffle, for the dedup; the rest is projections. The key is a hash of
-    text: types are fixed before hashing and the session zone must be UTC, or
-    the same reading would get another key.
+    text: ``types`` are fixed before hashing and the session zone must be UTC, or
+    the same reading would get another key. Dry days are hashed as double by
+    default; give ``int`` to keep the keys of feeds that hold whole numbers.
     """
     require_utc(raw.sparkSession)
-    rows = key_rows(raw, null_token=null_token, time_formats=time_formats)
+    rows = key_rows(raw, types, null_token=null_token, time_formats=time_formats)
     rows = rows.withColumn("numero_dias_sem_chuva", F.col("numero_dias_sem_chuva").try_cast("int"))
     rows = normalize_frame(distinct_rows(rows))
     return rows.withColumns(

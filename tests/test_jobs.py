@@ -1,0 +1,47 @@
+"""The stages run one after the other through their commands."""
+
+import datetime
+
+from shapes import polygon, write_layer
+from test_hotspots import DAILY, HEADER, MONTHLY, YEARLY, YEARLY_HEADER, write
+from test_layers import BIOME_FIELDS, FAR, SQUARE, TOWN_FIELDS
+
+from emberlake.jobs import Lake, main
+from emberlake.sources.marks import read_mark
+from emberlake.sources.tables import read_table
+
+
+def test_stages(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+
+    def run(*stage):
+        main(["--lake", str(tmp_path), *stage])
+
+    def trusted():
+        return read_table(spark, lake.trusted("hotspots"))
+
+    feeds = tmp_path / "raw" / "hotspots"
+    write(feeds / "daily", "focos_br_20240202.csv", HEADER, DAILY)
+    write(feeds / "monthly", "focos_br_202312.csv", HEADER, MONTHLY)
+    write(feeds / "yearly", "focos_br_2022.csv", YEARLY_HEADER, YEARLY)
+    write_layer(tmp_path / "raw/municipalities", "t", TOWN_FIELDS, [(polygon(SQUARE), ["4300109", "Agudo", "RS", "1"])])
+    write_layer(tmp_path / "raw/biome", "b", BIOME_FIELDS, [(polygon(FAR), ["2", "PP", "Pampa"])])
+
+    run("hotspots")
+    assert trusted().count() == 8
+    assert read_mark(spark, lake.raw("hotspots/date_control")) == ("2024-02-02 10:00:00", 20240202)
+    late = "-29.5,-53.25,2024-02-03 11:00:00,AQUA_M-T,Agudo,Rio Grande do Sul,Pampa,13,0.5,0.96,2.5"
+    write(feeds / "daily", "focos_br_20240203.csv", HEADER, [late, DAILY[3]])
+    run("hotspots")
+    assert trusted().count() == 9
+    run("reload")
+    assert trusted().count() == 9
+
+    run("areas")
+    run("dates", "--as-of", "2024-01-31")
+    run("fact")
+    days = read_table(spark, lake.refined("dm_data"))
+    assert days.agg({"dt_data": "max"}).first()[0] == datetime.date(2024, 2, 3)
+    fact = read_table(spark, lake.refined("ft_queimada"))
+    assert fact.count() == 8
+    assert fact.filter("id_municipio = 4300109 AND id_bioma = 2 AND id_data IS NOT NULL").count() == 3

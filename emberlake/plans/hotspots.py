@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from emberlake.functions.keys import surrogate_key
 from emberlake.functions.quality import band, code_of, coordinate_flags, null_outside
@@ -30,18 +31,39 @@ def read_feeds(
     return union_by_name(*frames)
 
 
-def key_rows(
+def typed_readings(
     raw: DataFrame,
     types: Mapping[str, str] = RAW_HOTSPOT,
     ranges: Mapping[str, tuple[float | None, float | None]] = READING_RANGES,
-    null_token: str | None = None,
     time_formats: Sequence[str] = (EVENT_TIME_FORMAT,),
-    key: str = "id",
 ) -> DataFrame:
-    """Type the raw cells, null readings outside their range and put the key over all columns first."""
+    """Raw cells in their types, readings outside their range as null."""
     rows = typed(raw, types, time_formats)
-    rows = rows.withColumns({c: null_outside(F.col(c), low, high) for c, (low, high) in ranges.items()})
-    return rows.select(surrogate_key([F.col(c) for c in types], null_token).alias(key), *types)
+    return rows.withColumns({c: null_outside(F.col(c), low, high) for c, (low, high) in ranges.items()})
+
+
+def keyed_distinct(rows: DataFrame, null_token: str | None = None, key: str = "id") -> DataFrame:
+    """Distinct rows with the key over all their columns in front.
+
+    The same rows as a dedup of keyed rows gives, but the key is computed after
+    the shuffle: its digits do not compress and would be a third of what is
+    moved. Rows of equal values have equal keys, except that grouping takes
+    minus zero for zero while their texts differ; so the signs of zeros are
+    carried through the dedup as bits.
+    """
+    doubles = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.DoubleType)]
+    bits = {c: 1 << i for i, c in enumerate(doubles)}
+    signs = F.lit(0)
+    for c, bit in bits.items():
+        minus_zero = (F.col(c) == 0) & F.col(c).cast("string").startswith("-")
+        signs = signs + F.when(minus_zero, F.lit(bit)).otherwise(F.lit(0))
+    distinct = distinct_rows(rows.withColumn("__signs", signs))
+
+    def keyed(c: str) -> Column:
+        value = F.col(c)
+        return F.when(F.col("__signs").bitwiseAND(bits[c]) != 0, -value).otherwise(value) if c in bits else value
+
+    return distinct.select(surrogate_key([keyed(c) for c in rows.columns], null_token).alias(key), *rows.columns)
 
 
 def clean_hotspots(
@@ -50,7 +72,7 @@ def clean_hotspots(
     time_formats: Sequence[str] = (EVENT_TIME_FORMAT,),
     types: Mapping[str, str] = RAW_HOTSPOT,
 ) -> DataFrame:
-    """Raw rows as trusted rows: keyed, typed, deduplicated, normalised, validated.
+    """Raw rows as trusted rows: typed, deduplicated, keyed, normalised, validated.
 
     One shuffle, for the dedup; the rest is projections. The key is a hash of
     text: ``types`` are fixed before hashing and the session zone must be UTC, or
@@ -58,10 +80,9 @@ def clean_hotspots(
     default; give ``int`` to keep the keys of feeds that hold whole numbers.
     """
     require_utc(raw.sparkSession)
-    rows = key_rows(raw, types, null_token=null_token, time_formats=time_formats)
+    rows = keyed_distinct(typed_readings(raw, types, time_formats=time_formats), null_token)
     rows = rows.withColumn("numero_dias_sem_chuva", F.col("numero_dias_sem_chuva").try_cast("int"))
-    rows = normalize_frame(distinct_rows(rows))
-    return rows.withColumns(
+    return normalize_frame(rows).withColumns(
         {
             "fire_risk_category": band(F.col("risco_fogo")),
             **coordinate_flags(F.col("lat"), F.col("lon")),

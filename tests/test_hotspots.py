@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 from shapes import polygon, write_layer
 from test_layers import BIOME_FIELDS, FAR, SQUARE, TOWN_FIELDS
 
+from emberlake.functions.keys import surrogate_key
 from emberlake.operators.lookup import DuplicateKeyError, unmatched_counts
 from emberlake.plans.dashboard import Filters, chart_counts, charts, filter_options, hotspot_star, map_points, overview, with_wkt
 from emberlake.plans.dimensions import build_dimension, clean_layer, extend_date_dimension
 from emberlake.plans.fact import FACT_IDS, build_fact, refresh_fact
-from emberlake.plans.hotspots import clean_hotspots, load_hotspots, read_feeds
+from emberlake.plans.hotspots import clean_hotspots, keyed_distinct, load_hotspots, read_feeds, typed_readings
 from emberlake.plans.serving import create_table_sql, publishable, write_options
 from emberlake.schemas import BIOME_DIMENSION, BIOME_LAYER, MUNICIPALITY_DIMENSION, MUNICIPALITY_LAYER, RAW_HOTSPOT, SERVING
 from emberlake.sinks.tables import overwrite_table
@@ -111,6 +112,18 @@ def test_neighbouring_nulls_share_a_key_unless_a_token_is_set(spark):
     assert clean_hotspots(raw, "?").select("id").distinct().count() == 2
 
 
+def test_signed_zeros_and_fractional_days_keep_their_own_keys(spark):
+    """As a dedup of keyed rows does: equal values, different key text."""
+    cells = ["0.0", "2", "2024-01-01 00:00:00", "s", "m", "e", "b", "3.2", "0.0", "0.5", "NaN"]
+    variants = [cells, cells, ["-0.0", *cells[1:]], [*cells[:8], "-0.0", *cells[9:]], [*cells[:7], "3.7", *cells[8:]], ["0", *cells[1:]]]
+    raw = spark.createDataFrame([tuple(v) for v in variants], ", ".join(f"{c} string" for c in RAW_HOTSPOT))
+    readings = typed_readings(raw)
+    plain = readings.select(surrogate_key([F.col(c) for c in RAW_HOTSPOT]).alias("id"), "*").dropDuplicates()
+    assert rows_of(keyed_distinct(readings).select("id")) == rows_of(plain.select("id"))
+    got = clean_hotspots(raw)
+    assert got.count() == got.select("id").distinct().count() == 4
+
+
 def test_date_dimension_reaches_the_last_hotspot_and_is_extended(spark, lake, tmp_path):
     days = read_table(spark, lake["dm_data"])
     assert tuple(days.agg(F.min("dt_data"), F.max("dt_data"), F.count("*")).first()) == (

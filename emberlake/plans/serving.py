@@ -14,21 +14,19 @@ from emberlake.schemas import SERVING_SCHEMA, ServingTable
 MAX_CONNECTIONS = 16
 
 
-def create_table_sql(table: ServingTable, schema: str = SERVING_SCHEMA) -> str:
+def create_statements(table: ServingTable, schema: str = SERVING_SCHEMA) -> list[str]:
     """Statements that create the schema and the table unless they exist."""
     columns = ", ".join(f"{name} {kind}" for name, kind in table.columns.items())
-    return (
-        f"CREATE SCHEMA IF NOT EXISTS {schema}; "
-        f"CREATE TABLE IF NOT EXISTS {schema}.{table.name} ({columns})"
-    )
+    return [f"CREATE SCHEMA IF NOT EXISTS {schema}", f"CREATE TABLE IF NOT EXISTS {schema}.{table.name} ({columns})"]
 
 
 def ensure_table(
     spark: SparkSession, table: ServingTable, connection: Mapping[str, str], schema: str = SERVING_SCHEMA
 ) -> None:
-    """Create the table if absent, by a statement Spark runs when it opens a session for a one-row read."""
-    reader = spark.read.format("jdbc").options(**connection)
-    reader.option("sessionInitStatement", create_table_sql(table, schema)).option("query", "SELECT 1 AS one").load().collect()
+    """Create the table if absent, by statements that Spark runs when it opens a session for a one-row read."""
+    for statement in create_statements(table, schema):
+        reader = spark.read.format("jdbc").options(**connection).option("sessionInitStatement", statement)
+        reader.option("query", "SELECT 1 AS one").load().collect()
 
 
 def publishable(df: DataFrame, table: ServingTable, srid: int = SRID) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,9 @@ from emberlake.sources.tables import FORMAT, file_system, read_table, table_exis
 # that touches more reads the whole table instead.
 MAX_NAMED_PARTITIONS = 2000
 
+# Partitions put in place at the same time; a move may be a copy in some file systems.
+MOVES_AT_A_TIME = 16
+
 # File that marks a staging folder as complete.
 _READY = "_READY"
 # Fixed value: characters that partition folder names carry percent-encoded.
@@ -193,6 +197,15 @@ def _folder_name(names: Sequence[str], row: Row) -> str:
     return "/".join(f"{escape(n)}={escape(row[f'__{n}'])}" for n in names)
 
 
+def _replace_partition(spark: SparkSession, staging: str, path: str, folder: str) -> None:
+    fs, new = file_system(spark, f"{staging}/{folder}")
+    _, old = file_system(spark, f"{path}/{folder}")
+    fs.delete(old, True)
+    fs.mkdirs(old.getParent())
+    if not fs.rename(new, old):
+        raise IOError(f"could not move {new.toString()} to {old.toString()}; call again to finish")
+
+
 def finish_upsert(spark: SparkSession, path: str, partition_by: Sequence[str] = ()) -> None:
     """Put completely staged partitions in place of the table's; does nothing if none are staged."""
     staging = _staging(path)
@@ -200,13 +213,8 @@ def finish_upsert(spark: SparkSession, path: str, partition_by: Sequence[str] =
     if not fs.exists(ready):
         return
     if partition_by:
-        for folder in sorted(_partition_folders(spark, staging)):
-            _, new = file_system(spark, f"{staging}/{folder}")
-            _, old = file_system(spark, f"{path}/{folder}")
-            fs.delete(old, True)
-            fs.mkdirs(old.getParent())
-            if not fs.rename(new, old):
-                raise IOError(f"could not move {new} to {old}; call again to finish")
+        with ThreadPoolExecutor(MOVES_AT_A_TIME) as pool:
+            list(pool.map(lambda folder: _replace_partition(spark, staging, path, folder), _partition_folders(spark, staging)))
     else:
         spark.read.parquet(staging).write.mode("overwrite").parquet(path)
     fs.delete(file_system(spark, staging)[1], True)

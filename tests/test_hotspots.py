@@ -15,7 +15,7 @@ from emberlake.plans.dashboard import Filters, chart_counts, charts, filter_opti
 from emberlake.plans.dimensions import build_dimension, clean_layer, extend_date_dimension
 from emberlake.plans.fact import FACT_IDS, build_fact, refresh_fact
 from emberlake.plans.hotspots import clean_hotspots, keyed_distinct, load_hotspots, read_feeds, typed_readings
-from emberlake.plans.serving import create_table_sql, publishable, write_options
+from emberlake.plans.serving import create_statements, publishable, write_options
 from emberlake.schemas import BIOME_DIMENSION, BIOME_LAYER, MUNICIPALITY_DIMENSION, MUNICIPALITY_LAYER, RAW_HOTSPOT, SERVING
 from emberlake.sinks.tables import overwrite_table
 from emberlake.sources.layers import read_layer
@@ -219,7 +219,8 @@ def test_publish_frame_and_options(spark, lake):
     assert {bytes(r[0])[5:9] for r in ready.select("geom_foco").collect()} == {(4674).to_bytes(4, "little")}
     options = write_options(SERVING["dm_data"], {"url": "jdbc:x", "user": "u", "batchsize": "5"})
     assert options["dbtable"] == "wildfires.dm_data" and options["truncate"] == "true" and options["batchsize"] == "5"
-    assert create_table_sql(SERVING["dm_bioma"]) == (
-        "CREATE SCHEMA IF NOT EXISTS wildfires; CREATE TABLE IF NOT EXISTS wildfires.dm_bioma "
-        "(id_bioma INTEGER, vl_codigo VARCHAR, des_nome VARCHAR, geom_bioma GEOMETRY)"
-    )
+    assert create_statements(SERVING["dm_bioma"]) == [
+        "CREATE SCHEMA IF NOT EXISTS wildfires",
+        "CREATE TABLE IF NOT EXISTS wildfires.dm_bioma "
+        "(id_bioma INTEGER, vl_codigo VARCHAR, des_nome VARCHAR, geom_bioma GEOMETRY)",
+    ]

@@ -87,6 +87,18 @@ def test_upsert_leaves_other_partitions_alone(spark, tmp_path):
     assert stored(spark, path) == [(1, "new", 1), (2, "old", 2)]
 
 
+def test_merge_reads_touched_partitions_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    overwrite_table(frame(spark, [(i, "old", i % 5) for i in range(50)] + [(99, "old", None)]), path, ["p"])
+    touched = sink._partitions(frame(spark, [(1, "x", 3), (2, "x", None)]), ["p"])
+    target = sink._only_partitions(read_table(spark, path), ["p"], touched)
+    assert rows_of(target.select("p").distinct()) == [(3,), (None,)]
+    leaf = target._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    target.collect()
+    assert leaf.metrics().get("numPartitions").get().value() == 2
+    assert "PartitionFilters: [concat_ws" in plan_of(target)
+
+
 def test_upsert_moves_rows_and_empties_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     upsert_table(frame(spark, [(1, "old", 1), (2, "old", 2), (3, "old", 2)]), path, ["k"], ["p"])

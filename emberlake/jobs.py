@@ -28,7 +28,7 @@ from emberlake.schemas import (
     SERVING,
     YEARLY_NAMES,
 )
-from emberlake.session import build_session
+from emberlake.session import build_session, fit_shuffles
 from emberlake.sinks.tables import overwrite_table
 from emberlake.sources.files import read_csv
 from emberlake.sources.layers import read_layer
@@ -70,11 +70,13 @@ def hotspots(spark: SparkSession, lake: Lake, null_token: str | None = None) ->
             rows = union_by_name(rows, *frames)
         load_hotspots(clean_hotspots(rows, null_token), table, whole_rows_keyed=null_token is not None)
 
+    fit_shuffles(spark, *[lake.raw(f"hotspots/{n}") for n in ("daily", "monthly", "yearly")])
     ingest(spark, lake.raw("hotspots/daily"), lake.raw("hotspots/date_control"), load)
 
 
 def reload_hotspots(spark: SparkSession, lake: Lake, null_token: str | None = None) -> None:
     """All daily files into the trusted table, whatever the mark says."""
+    fit_shuffles(spark, lake.raw("hotspots/daily"))
     rows = clean_hotspots(read_feeds(spark, lake.raw("hotspots/daily")), null_token)
     load_hotspots(rows, lake.trusted("hotspots"), whole_rows_keyed=null_token is not None)
 
@@ -93,6 +95,7 @@ def dates(spark: SparkSession, lake: Lake, as_of: datetime.date) -> None:
 
 def fact(spark: SparkSession, lake: Lake) -> None:
     """The fact table, after the date dimension has caught up with the hotspots."""
+    fit_shuffles(spark, lake.trusted("hotspots"))
     dimensions = (lake.refined(n) for n in ("dm_data", "dm_municipio", "dm_bioma"))
     refresh_fact(spark, lake.trusted("hotspots"), *dimensions, lake.refined("ft_queimada"))
 

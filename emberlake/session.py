@@ -17,11 +17,20 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Size of merged partitions, and so of written files.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # A speculative copy of a write task may leave duplicate rows in JDBC sinks.
     "spark.speculation": "false",
 }
 
-UTC_NAMES = {"UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "+00:00", "UTC+00:00", "GMT+00:00"}
+UTC_NAMES = {
+    "UTC", "GMT", "UCT", "Z", "Zulu", "Universal", "Etc/UTC", "Etc/GMT", "Etc/UCT", "Etc/Zulu", "Etc/Universal",
+    "+00:00", "UTC+00:00", "GMT+00:00",
+}
+
+# Input bytes per shuffle partition; adaptive execution merges partitions that turn out small.
+SHUFFLE_BYTES = 128 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 100_000
 
 
 def build_session(app_name: str = "emberlake", master: str | None = None, **conf: str) -> SparkSession:
@@ -42,6 +51,24 @@ def require_utc(spark: SparkSession) -> None:
         raise ValueError(f"spark.sql.session.timeZone must be UTC, not {zone}: keys and day columns depend on it")
 
 
+def fit_shuffles(spark: SparkSession, *folders: str) -> int:
+    """Let shuffles start with as many partitions as the size of their input folders asks for.
+
+    A dedup or an aggregate cannot be split after its shuffle, so too few
+    partitions would spill. Too many cost little: they are merged at run time.
+    """
+    total = 0
+    for folder in folders:
+        handle = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = handle.getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.exists(handle):
+            total += fs.getContentSummary(handle).getLength()
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(max(least, -(-total // SHUFFLE_BYTES)), MAX_SHUFFLE_PARTITIONS)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
+    return wanted
+
+
 _local_roots: dict[str, str] = {}
 
 

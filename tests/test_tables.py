@@ -5,6 +5,7 @@ import pytest
 from conftest import plan_of, rows_of
 from pyspark.sql import functions as F
 
+from emberlake import session
 from emberlake.operators.lookup import DuplicateKeyError
 from emberlake.session import require_utc, scratch_folder
 from emberlake.sinks import tables as sink
@@ -204,6 +205,17 @@ def test_scratch_is_under_the_configured_folder(spark):
     assert scratch_folder(spark, "a") != scratch_folder(spark, "a")
 
 
+def test_shuffles_fit_their_input(spark, tmp_path, monkeypatch):
+    (tmp_path / "part").write_bytes(b"x" * 10000)
+    setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        assert session.fit_shuffles(spark, str(tmp_path), str(tmp_path / "absent")) == 4
+        monkeypatch.setattr(session, "SHUFFLE_BYTES", 1000)
+        assert session.fit_shuffles(spark, str(tmp_path)) == int(spark.conf.get(setting)) == 10
+    finally:
+        spark.conf.unset(setting)
+
+
 def test_zone_must_be_utc(spark):
     require_utc(spark)
     spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")

@@ -94,28 +94,32 @@ def point_xy(geometry: Column | str) -> Column:
     return decode(geometry)
 
 
-def _byte(geometry: Column, position: int) -> Column:
-    return F.conv(F.hex(F.substring(geometry, position, 1)), 16, 10).cast("int")
+# The byte of a geometry's type that holds its z, m and SRID flags, without and with an SRID.
+_FLAG_BYTES = {0x00: 0x20, 0x40: 0x60, 0x80: 0xA0, 0xC0: 0xE0}
 
 
 def _little_endian(geometry: Column) -> Column:
-    return _byte(geometry, 1) == 1
+    return F.substring(geometry, 1, 1) == F.lit(b"\x01")
+
+
+def _flags(geometry: Column) -> Column:
+    return F.when(_little_endian(geometry), F.substring(geometry, 5, 1)).otherwise(F.substring(geometry, 2, 1))
 
 
 def _has_srid(geometry: Column) -> Column:
-    flags = F.when(_little_endian(geometry), _byte(geometry, 5)).otherwise(_byte(geometry, 2))
-    return flags.bitwiseAND(0x20) != 0
+    return _flags(geometry).isin([bytes([with_srid]) for with_srid in _FLAG_BYTES.values()])
 
 
 def set_srid(geometry: Column, srid: int = SRID) -> Column:
     """Same geometry with ``srid`` in its EWKB header, replacing one that is there."""
-    flags_little = F.unhex(F.lpad(F.hex(_byte(geometry, 5).bitwiseOR(0x20)), 2, "0"))
-    flags_big = F.unhex(F.lpad(F.hex(_byte(geometry, 2).bitwiseOR(0x20)), 2, "0"))
+    flags = _flags(geometry)
+    flagged = flags
+    for without, with_srid in _FLAG_BYTES.items():
+        flagged = F.when(flags == F.lit(bytes([without])), F.lit(bytes([with_srid]))).otherwise(flagged)
     header = F.when(
-        _little_endian(geometry),
-        F.concat(F.substring(geometry, 1, 4), flags_little, F.lit(struct.pack("<I", srid))),
+        _little_endian(geometry), F.concat(F.substring(geometry, 1, 4), flagged, F.lit(struct.pack("<I", srid)))
     ).otherwise(
-        F.concat(F.substring(geometry, 1, 1), flags_big, F.substring(geometry, 3, 3), F.lit(struct.pack(">I", srid)))
+        F.concat(F.substring(geometry, 1, 1), flagged, F.substring(geometry, 3, 3), F.lit(struct.pack(">I", srid)))
     )
     start = F.when(_has_srid(geometry), F.lit(10)).otherwise(F.lit(6))
     rewritten = F.concat(header, F.substring(geometry, start, F.octet_length(geometry)))
@@ -126,12 +130,12 @@ def set_srid(geometry: Column, srid: int = SRID) -> Column:
 
 def srid_of(geometry: Column) -> Column:
     """SRID in the header; 0 if it has none."""
-    little = F.concat(*[F.hex(F.substring(geometry, p, 1)) for p in (9, 8, 7, 6)])
-    big = F.hex(F.substring(geometry, 6, 4))
-    digits = F.when(_little_endian(geometry), little).otherwise(big)
-    return F.when(
-        geometry.isNotNull(), F.when(_has_srid(geometry), F.conv(digits, 16, 10).cast("int")).otherwise(F.lit(0))
-    )
+    header = F.hex(F.substring(geometry, 1, 9))
+    # Byte order, flags and SRID digits, the digits in big-endian order.
+    ordered = F.regexp_replace(header, "^01.{6}(..)(..)(..)(..)(..)$", "01$1$5$4$3$2")
+    ordered = F.regexp_replace(ordered, "^00(..).{6}(.{8})$", "00$1$2")
+    digits = F.regexp_extract(ordered, "^..[26AE].(.{8})$", 1)
+    return F.when(geometry.isNotNull(), F.coalesce(F.conv(F.nullif(digits, F.lit("")), 16, 10).cast("int"), F.lit(0)))
 
 
 def transform(geometry: Column, source: int, target: int = SRID) -> Column:

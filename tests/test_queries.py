@@ -60,3 +60,21 @@ def test_entry(spark):
     df = entry_point.entry(spark)
     assert df.columns == ["total", "customers", "nations", "mean_dry", "mean_rain"]
     assert df.count() == 1
+
+
+@pytest.mark.parametrize("name", ["chart_counts", "overview_kpis"])
+def test_figures_scan_the_fact_once(spark, data, name):
+    """Totals reuse the grouped rows instead of reading the fact again."""
+    df = entry_point.queries()[name](spark, data)
+    df.collect()
+    final = plan_of(df).split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet [l_orderkey") == 1
+
+
+def test_share_reuses_the_counts(spark, data):
+    """The subquery for the total reads the shuffled counts; its final plan has no scan of its own."""
+    df = entry_point.queries()["share_by_group"](spark, data)
+    df.collect()
+    subquery = plan_of(df).split("Subquery subquery")[-1]
+    final = subquery.split("== Final Plan ==")[1].split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final and "FileScan" not in final

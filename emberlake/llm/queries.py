@@ -8,6 +8,10 @@ from emberlake.queries import Query
 
 # Query name -> module that holds the function of that name and, where SQL can say it, ``SQL``.
 MODULES = {
+    "op2_sentencepiece": "tokens",
+    "op4_mixing": "mixing",
+    "op5_language_id": "language",
+    "op6_sharding": "sharding",
     "op7_line_dedup": "line_dedup",
 }
 

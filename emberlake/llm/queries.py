@@ -8,10 +8,13 @@ from emberlake.queries import Query
 
 # Query name -> module that holds the function of that name and, where SQL can say it, ``SQL``.
 MODULES = {
+    "op1_near_dedup": "near_dedup",
     "op2_sentencepiece": "tokens",
+    "op3_toxicity": "toxicity",
     "op4_mixing": "mixing",
     "op5_language_id": "language",
     "op6_sharding": "sharding",
+    "op8_fingerprints": "fingerprints",
     "op7_line_dedup": "line_dedup",
 }
 

@@ -15,6 +15,8 @@ MODULES = {
     "op5_language_id": "language",
     "op6_sharding": "sharding",
     "op8_fingerprints": "fingerprints",
+    "op9_neighbours": "neighbours",
+    "op10_substring_dedup": "substring_dedup",
     "op7_line_dedup": "line_dedup",
 }
 

@@ -159,6 +159,27 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     return rows.mapInArrow(score, f"{schema}, lang_pred string, score double, bits_per_byte double")
 
 
+def keep_identified(docs: DataFrame, model: LanguageModel, text_col: str = "text", most_bits: float = 6.0) -> DataFrame:
+    """The rows, with all their columns, whose text is in one of the model's languages.
+
+    Rejected are null texts, texts without a letter, and texts that no language codes in fewer than ``most_bits`` bits a
+    byte: 6 is what a symbol of the folded alphabet costs without any model, so such a text resembles no language
+    known. A model without languages rejects all.
+    """
+    shipped = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shipped.value
+        for batch in batches:
+            text = batch.column(text_col)
+            letters = pc.fill_null(pc.match_substring_regex(text, r"\p{L}"), False).to_pylist()
+            data = text.cast(pa.binary()).to_pylist()
+            good = [bool(ok and known.languages and known.code_lengths(d).min() < most_bits * len(d)) for d, ok in zip(data, letters)]
+            yield batch.filter(pa.array(good, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def held_out(id_col: str = "doc_id", folds: int = 4, fold: int = 2) -> Column:
     """Rows kept out of training: crc32 of the id as text, modulo ``folds``. Rows without id are kept out."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds == fold, F.lit(True))

@@ -26,6 +26,31 @@ def _without(lines: Column, drops: Column) -> Column:
     return F.flatten(F.transform(F.sequence(F.lit(0), F.size(drops)), between))
 
 
+def _repeated_lines(rows: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
+    """(__id, __text, drops): positions of the lines that rows (__id, __text, text) lose."""
+    key = line_key(F.col("line"))
+    keyed = (
+        rows.select("__id", "__text", F.posexplode(_lines("text")).alias("pos", "line"))
+        .select("__id", "__text", "pos", key.alias("key"))
+        .where(F.char_length("key") >= min_chars)
+        .select("__id", "__text", "pos", F.xxhash64("key").alias("k1"), F.xxhash64(F.lit(1), "key").alias("k2"))
+    )
+    holders = keyed.select("k1", "k2", "__id").distinct().groupBy("k1", "k2")
+    counted = holders.agg(F.min("__id").alias("first"), F.count("*").alias("n"))
+    repeated = stored(counted.where(F.col("n") >= min_docs).select("k1", "k2", "first"), "repeated-lines")
+    dropped = keyed.join(repeated, ["k1", "k2"]).where(F.col("__id") > F.col("first"))
+    return dropped.groupBy("__id", "__text").agg(F.array_sort(F.collect_set("pos")).alias("__drops"))
+
+
+def _lines(text: Column | str) -> Column:
+    return F.split(F.coalesce(text, F.lit("")), "\n")
+
+
+def _kept(text: Column | str) -> Column:
+    whole = F.array_join(_lines(text), "\n")
+    return F.when(F.col("__drops").isNull(), whole).otherwise(F.array_join(_without(_lines(text), F.col("__drops")), "\n"))
+
+
 def dedup_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10, min_docs: int = 2
 ) -> DataFrame:
@@ -39,36 +64,25 @@ def dedup_lines(
     dedup by (key, id), and the join with repeated keys can be split.
     """
     rows = rows_of_texts(docs, id_col, text_col).withColumns({"__id": id_of("doc_id"), "__text": text_key("text")})
-    lines = F.split(F.coalesce("text", F.lit("")), "\n")
-    key = line_key(F.col("line"))
-    keyed = (
-        rows.select("__id", "__text", F.posexplode(lines).alias("pos", "line"))
-        .select("__id", "__text", "pos", key.alias("key"))
-        .where(F.char_length("key") >= min_chars)
-        .select("__id", "__text", "pos", F.xxhash64("key").alias("k1"), F.xxhash64(F.lit(1), "key").alias("k2"))
-    )
-    holders = keyed.select("k1", "k2", "__id").distinct().groupBy("k1", "k2")
-    counted = holders.agg(F.min("__id").alias("first"), F.count("*").alias("n"))
-    repeated = stored(counted.where(F.col("n") >= min_docs).select("k1", "k2", "first"), "repeated-lines")
-    drops = (
-        keyed.join(repeated, ["k1", "k2"])
-        .where(F.col("__id") > F.col("first"))
-        .groupBy("__id", "__text")
-        .agg(F.collect_set("pos").alias("drops"))
-    )
-    found = rows.join(drops, ["__id", "__text"], "left").select(
-        "doc_id", lines.alias("lines"), F.array_sort("drops").alias("drops")
-    )
+    found = rows.join(_repeated_lines(rows, min_chars, min_docs), ["__id", "__text"], "left")
     return found.select(
         "doc_id",
-        F.size("lines").cast("long").alias("n_lines"),
-        F.coalesce(F.size("drops"), F.lit(0)).cast("long").alias("n_dropped"),
-        F.when(F.col("drops").isNull(), F.array_join("lines", "\n"))
-        .otherwise(F.array_join(_without(F.col("lines"), F.col("drops")), "\n"))
-        .alias("kept"),
+        F.size(_lines("text")).cast("long").alias("n_lines"),
+        F.coalesce(F.size("__drops"), F.lit(0)).cast("long").alias("n_dropped"),
+        _kept("text").alias("kept"),
     )
 
 
+def without_repeated_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10, min_docs: int = 2
+) -> DataFrame:
+    """The rows with all their columns and the text that ``dedup_lines`` keeps; null texts become empty ones."""
+    keyed = docs.withColumns({"__id": id_of(id_col), "__text": text_key(text_col)})
+    rows = keyed.select("__id", "__text", F.col(text_col).alias("text"))
+    found = keyed.join(_repeated_lines(rows, min_chars, min_docs), ["__id", "__text"], "left")
+    return found.withColumn(text_col, _kept(text_col)).select(*docs.columns)
+
+
 def op7_line_dedup(spark, folder: str) -> DataFrame:
     from emberlake.queries import table
 

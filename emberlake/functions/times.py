@@ -9,12 +9,17 @@ from pyspark.sql import functions as F
 
 # Fixed value: layout of event times in feeds and in the high-water mark.
 EVENT_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+# Text that begins with year, month and day.
+FULL_DATE = r"^\s*\d{4}-\d{1,2}-\d{1,2}(?:[ T]|\s*$)"
 
 
 def parse_timestamp(text: Column, formats: Sequence[str] = (EVENT_TIME_FORMAT,)) -> Column:
-    """First layout that fits; null if none does (bad cells must not stop a load)."""
+    """First layout that fits, then any text that begins with a full date; else null (bad cells must not stop a load).
+
+    A lone time or year is no event time: the cast would take them for today or for a year's first day.
+    """
     tries = [F.try_to_timestamp(text, F.lit(f)) for f in formats]
-    return F.coalesce(text.try_cast("timestamp"), *tries)
+    return F.coalesce(*tries, F.when(text.cast("string").rlike(FULL_DATE), text.try_cast("timestamp")))
 
 
 def mark_text(moment: Column) -> Column:

@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import argparse
 import datetime
+import getpass
 from collections.abc import Mapping
 from dataclasses import dataclass
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,7 +72,8 @@ def hotspots(spark: SparkSession, lake: Lake, null_token: str | None = None) ->
             rows = union_by_name(rows, *frames)
         load_hotspots(clean_hotspots(rows, null_token), table, whole_rows_keyed=null_token is not None)
 
-    fit_shuffles(spark, *[lake.raw(f"hotspots/{n}") for n in ("daily", "monthly", "yearly")])
+    parts = ("daily",) if table_exists(spark, table) else ("daily", "monthly", "yearly")
+    fit_shuffles(spark, *[lake.raw(f"hotspots/{n}") for n in parts])
     ingest(spark, lake.raw("hotspots/daily"), lake.raw("hotspots/date_control"), load)
 
 
@@ -106,6 +109,11 @@ def serve(spark: SparkSession, lake: Lake, connection: Mapping[str, str]) -> Non
         publish(read_table(spark, lake.refined(name)), table, connection)
 
 
+def _password(path: str | None) -> str:
+    """The password from a file or a prompt; as an argument it would show in process lists."""
+    return Path(path).read_text().strip() if path else getpass.getpass("Database password: ")
+
+
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="emberlake.jobs", description=__doc__)
     parser.add_argument("--lake", required=True, help="root folder of the lake")
@@ -116,8 +124,10 @@ def main(arguments: list[str] | None = None) -> None:
     stages.add_parser("dates").add_argument("--as-of", type=datetime.date.fromisoformat, required=True)
     stages.add_parser("fact")
     server = stages.add_parser("serve")
-    for option in ("url", "user", "password", "driver"):
+    for option in ("url", "user", "driver"):
         server.add_argument(f"--{option}", required=True)
+    server.add_argument("--password-file", help="file that holds the password; asked for if not given")
+    server.add_argument("--connections", help="how many tasks write at the same time; one a partition if not given")
     chosen = parser.parse_args(arguments)
 
     spark, lake = build_session(f"emberlake-{chosen.stage}"), Lake(chosen.lake)
@@ -132,7 +142,8 @@ def main(arguments: list[str] | None = None) -> None:
     elif chosen.stage == "fact":
         fact(spark, lake)
     else:
-        serve(spark, lake, {o: getattr(chosen, o) for o in ("url", "user", "password", "driver")})
+        connection = {o: getattr(chosen, o) for o in ("url", "user", "driver")} | {"password": _password(chosen.password_file)}
+        serve(spark, lake, connection | ({"numPartitions": chosen.connections} if chosen.connections else {}))
 
 
 if __name__ == "__main__":

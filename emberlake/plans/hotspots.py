@@ -14,9 +14,8 @@ from emberlake.functions.times import EVENT_TIME_FORMAT, event_day_columns
 from emberlake.operators.shaping import distinct_rows, normalize_frame, typed, union_by_name
 from emberlake.schemas import HOTSPOT_KEY, HOTSPOT_PARTITIONS, RAW_HOTSPOT, READING_RANGES, YEARLY_NAMES
 from emberlake.session import require_utc
-from emberlake.sinks.tables import append_missing, overwrite_table, upsert_table
+from emberlake.sinks.tables import append_missing, upsert_table
 from emberlake.sources.files import read_csv
-from emberlake.sources.tables import table_exists
 
 
 def read_feeds(
@@ -98,11 +97,11 @@ def load_hotspots(trusted: DataFrame, path: str, whole_rows_keyed: bool = False)
     A key covers all readings, so a matched row normally equals its source and
     a corrected reading comes in as a new row. If keys were made with a null
     token (``whole_rows_keyed=True``) this holds without exception and new rows
-    are appended without rewriting a partition.
+    are appended without rewriting a partition. Without one, two rows that
+    differ only in which of two neighbouring readings is null have one key:
+    that raises, on the first load as on later ones, and a null token mends it.
     """
-    if not table_exists(trusted.sparkSession, path):
-        overwrite_table(trusted, path, HOTSPOT_PARTITIONS)
-    elif whole_rows_keyed:
+    if whole_rows_keyed:
         append_missing(trusted, path, HOTSPOT_KEY, HOTSPOT_PARTITIONS)
     else:
         upsert_table(trusted, path, HOTSPOT_KEY, HOTSPOT_PARTITIONS, keys_fix_partition=True)

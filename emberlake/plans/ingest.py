@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from emberlake.functions.times import mark_text, parse_timestamp
 from emberlake.schemas import RAW_HOTSPOT
-from emberlake.sources.files import read_csv
-from emberlake.sources.marks import FIELD, read_mark, write_mark
+from emberlake.sources.files import list_files, read_csv, require_dated
+from emberlake.sources.marks import FIELD, read_mark, store_mark
 
 
 def new_rows(
@@ -19,10 +19,19 @@ def new_rows(
     mark_path: str,
     columns: Sequence[str] = tuple(RAW_HOTSPOT),
     inclusive: bool = False,
+    undated: str = "raise",
 ) -> DataFrame:
-    """Raw rows of the files whose day is after the mark; all files before the first load."""
+    """Raw rows of the files whose day is after the mark; all files before the first load.
+
+    Files whose name carries no day raise, on the first load too; ``undated="load"`` takes them every time.
+    """
+    if undated not in ("raise", "load"):
+        raise ValueError(f'undated must be "raise" or "load", not {undated}')
+    if undated == "raise":
+        require_dated(list_files(spark, folder, suffix=""), "name")
     mark = read_mark(spark, mark_path)
-    return read_csv(spark, folder, columns, newer_than=mark[1] if mark else None, inclusive=inclusive)
+    newer_than = mark[1] if mark else None
+    return read_csv(spark, folder, columns, newer_than=newer_than, inclusive=inclusive, undated=undated == "load")
 
 
 def next_mark(rows: DataFrame, time_column: str, previous: str | None) -> DataFrame:
@@ -39,15 +48,16 @@ def ingest(
     columns: Sequence[str] = tuple(RAW_HOTSPOT),
     time_column: str = "data_hora_gmt",
     inclusive: bool = False,
+    undated: str = "raise",
 ) -> None:
     """Load new rows with ``load``, then advance the mark.
 
     The mark moves only after the load has been written, so an interrupted run
-    repeats its files. It is the latest event time, as text of whole seconds.
+    repeats its files. It is the latest event time, as text of whole seconds, and takes one pass over the time column.
     """
     mark = read_mark(spark, mark_path)
-    rows = new_rows(spark, folder, mark_path, columns, inclusive)
+    rows = new_rows(spark, folder, mark_path, columns, inclusive, undated)
     load(rows)
-    advanced = next_mark(rows, time_column, mark[0] if mark else None).filter(F.col(FIELD).isNotNull())
-    if not advanced.isEmpty():
-        write_mark(advanced, mark_path)
+    advanced = next_mark(rows, time_column, mark[0] if mark else None).first()[0]
+    if advanced is not None:
+        store_mark(spark, advanced, mark_path)

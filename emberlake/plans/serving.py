@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from emberlake.functions.geometry import SRID, set_srid
 from emberlake.schemas import SERVING_SCHEMA, ServingTable
 
-# Connections that write at the same time; a larger frame is written in longer turns, not over more of them.
-MAX_CONNECTIONS = 16
-
 
 def create_statements(table: ServingTable, schema: str = SERVING_SCHEMA) -> list[str]:
     """Statements that create the schema and the table unless they exist."""
@@ -35,13 +32,16 @@ def publishable(df: DataFrame, table: ServingTable, srid: int = SRID) -> DataFra
 
 
 def write_options(table: ServingTable, connection: Mapping[str, str], schema: str = SERVING_SCHEMA) -> dict[str, str]:
-    """JDBC options of a publish: rows are replaced, the table definition stays."""
+    """JDBC options of a publish: rows are replaced, the table definition stays.
+
+    ``connection`` may hold any other option of the writer. ``numPartitions`` there limits the connections; the frame
+    is then also computed in as many tasks. Without it every partition of the frame opens one.
+    """
     return {
         "batchsize": "10000",
         **connection,
         "dbtable": f"{schema}.{table.name}",
         "truncate": "true",
-        "numPartitions": str(MAX_CONNECTIONS),
     }
 
 

@@ -198,8 +198,8 @@ def sql_over_views(spark: SparkSession, folder: str) -> DataFrame:
     return query(
         spark,
         {"serving_orders": table(spark, folder, "orders"), "serving_customer": table(spark, folder, "customer")},
-        "SELECT c_mktsegment, count(*) AS n, max(o_totalprice) AS top FROM serving_orders "
-        "JOIN serving_customer ON o_custkey = c_custkey WHERE o_orderstatus = :status GROUP BY c_mktsegment",
+        "SELECT c_mktsegment, count(*) AS n, max(o_totalprice) AS top FROM {serving_orders} "
+        "JOIN {serving_customer} ON o_custkey = c_custkey WHERE o_orderstatus = :status GROUP BY c_mktsegment",
         status="F",
     )
 

@@ -30,7 +30,6 @@ UTC_NAMES = {
 
 # Input bytes per shuffle partition; adaptive execution merges partitions that turn out small.
 SHUFFLE_BYTES = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
 
 
 def build_session(app_name: str = "emberlake", master: str | None = None, **conf: str) -> SparkSession:
@@ -64,7 +63,7 @@ def fit_shuffles(spark: SparkSession, *folders: str) -> int:
         if fs.exists(handle):
             total += fs.getContentSummary(handle).getLength()
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(max(least, -(-total // SHUFFLE_BYTES)), MAX_SHUFFLE_PARTITIONS)
+    wanted = max(least, -(-total // SHUFFLE_BYTES))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
     return wanted
 

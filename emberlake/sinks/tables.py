@@ -1,7 +1,8 @@
-"""Writes to lake tables: overwrite, partitioned overwrite, append of new keys, upsert."""
+"""Writes to lake tables: overwrite, partitioned overwrite, append of new keys, upsert; all staged and committed."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -11,19 +12,13 @@ from pyspark.sql import functions as F
 from emberlake.operators.lookup import require_unique
 from emberlake.operators.merge import merge_rows, missing_rows
 from emberlake.session import materialised
-from emberlake.sources.tables import FORMAT, file_system, read_table, table_exists
+from emberlake.sources.tables import file_system, read_table, table_exists
 
-# Up to this many partitions are named in a scan's partition filter; a merge
-# that touches more reads the whole table instead.
-MAX_NAMED_PARTITIONS = 2000
-
-# Partitions put in place at the same time; a move may be a copy in some file systems.
+# Files put in place or removed at the same time; a move may be a copy in some file systems.
 MOVES_AT_A_TIME = 16
 
-# File that marks a staging folder as complete.
-_READY = "_READY"
-# Fixed value: characters that partition folder names carry percent-encoded.
-_ESCAPED = "\"#%'*/:=?\\{[]^\x7f"
+# File that marks a staging folder as complete: what replaces what.
+_MANIFEST = "_MANIFEST"
 
 
 def laid_out(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -36,19 +31,19 @@ def laid_out(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partition_by) if partition_by else df
 
 
-def overwrite_table(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = (), fmt: str = FORMAT
-) -> None:
-    """Replace all rows of a table.
+def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> None:
+    """Replace all rows of a table, which ``df`` may read.
 
     ``sort_by`` orders rows within each file so that scans filtering on those
-    columns skip row groups.
+    columns skip row groups. The new files are complete beside the table
+    before any old one goes; a run that dies earlier leaves the old rows, one
+    that dies later is finished by the next write.
     """
-    rows = laid_out(df, partition_by)
-    if sort_by:
-        rows = rows.sortWithinPartitions(*partition_by, *sort_by)
-    writer = rows.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.partitionBy(*partition_by).save(path)
+    spark = df.sparkSession
+    finish_commit(spark, path)
+    _stage(df, path, partition_by, sort_by)
+    fs, root = file_system(spark, path)
+    _commit(spark, path, list(_data_files(fs, root)) if fs.exists(root) else [])
 
 
 def _partition_text(names: Sequence[str]) -> Column:
@@ -62,11 +57,9 @@ def _only_partitions(df: DataFrame, names: Sequence[str], values: Sequence[Row])
     return df.filter(_partition_text(names).isin(texts) if texts else F.lit(False))
 
 
-def _partitions(df: DataFrame, names: Sequence[str]) -> list[Row] | None:
-    """Distinct partition values of ``df`` as text, or None if too many to list in a filter."""
-    texts = [F.col(n).cast("string").alias(f"__{n}") for n in names]
-    found = df.select(*texts).distinct().limit(MAX_NAMED_PARTITIONS + 1).collect()
-    return found if len(found) <= MAX_NAMED_PARTITIONS else None
+def _partitions(df: DataFrame, names: Sequence[str]) -> list[Row]:
+    """Distinct partition values of ``df`` as text; the driver plans a scan with as many folder names."""
+    return df.select(*[F.col(n).cast("string").alias(f"__{n}") for n in names]).distinct().collect()
 
 
 def _read_target(spark: SparkSession, path: str, source: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -85,19 +78,19 @@ def append_missing(source: DataFrame, path: str, keys: Sequence[str], partition_
 
     Reads only key columns of the partitions that ``source`` touches and
     rewrites nothing. Equal keys must imply equal partition values. Duplicate
-    source keys raise when there is a table to add to. Repeating an
-    interrupted call adds what was still missing.
+    source keys raise, on the first load too. Repeating an interrupted call
+    adds what was still missing.
     """
     spark = source.sparkSession
-    if not table_exists(spark, path):
-        overwrite_table(source, path, partition_by)
-        return
+    finish_commit(spark, path)
     with materialised(source, "append") as fresh:
         require_unique(fresh, keys, "source")
+        if not table_exists(spark, path):
+            overwrite_table(fresh, path, partition_by)
+            return
         target = _read_target(spark, path, fresh, partition_by)
-        touched = _partitions(fresh, partition_by) if partition_by else None
-        if touched is not None:
-            target = _only_partitions(target, partition_by, touched)
+        if partition_by:
+            target = _only_partitions(target, partition_by, _partitions(fresh, partition_by))
         rows = laid_out(missing_rows(fresh, target, keys), partition_by)
         rows.write.mode("append").partitionBy(*partition_by).parquet(path)
 
@@ -108,41 +101,37 @@ def upsert_table(
     keys: Sequence[str],
     partition_by: Sequence[str] = (),
     keys_fix_partition: bool = False,
-    fmt: str = FORMAT,
 ) -> None:
     """Merge ``source`` into a table: matched rows are replaced, unmatched ones added.
 
     A table that does not exist yet is created from ``source`` as it is. Only
-    touched partitions are
-    read in full and rewritten: those of ``source`` plus those that hold
-    matched keys. Finding the latter scans the table's key columns;
-    ``keys_fix_partition=True`` skips that scan where a key can occur in one
-    partition only. Duplicate source keys raise. The merged partitions are
-    complete in a staging folder beside the table before any is replaced; a
-    run that dies while replacing them is finished by the next call. One
-    writer at a time; readers may see a replacement under way.
+    touched partitions are read in full and rewritten, however many they are:
+    those of ``source`` plus those that hold matched keys. Finding the latter
+    scans the table's key columns; ``keys_fix_partition=True`` skips that scan
+    where a key can occur in one partition only. Duplicate source keys raise,
+    on the first load too. The merged partitions are complete beside the table
+    before any file is replaced; a run that dies while replacing them is
+    finished by the next call. One writer at a time; readers may see a
+    replacement under way.
     """
     spark = source.sparkSession
-    if fmt == "delta":
-        _merge_into(source, path, keys, partition_by)
-        return
-    finish_upsert(spark, path, partition_by)
-    if not table_exists(spark, path):
-        overwrite_table(source, path, partition_by)
-        return
+    finish_commit(spark, path)
     with materialised(source, "upsert") as fresh:
         require_unique(fresh, keys, "source")
+        if not table_exists(spark, path):
+            overwrite_table(fresh, path, partition_by)
+            return
         target = _read_target(spark, path, fresh, partition_by)
-        touched = _touched(target, fresh, keys, partition_by, keys_fix_partition) if partition_by else None
-        if touched is not None:
-            target = _only_partitions(target, partition_by, touched)
-        _stage(spark, merge_rows(target, fresh, keys), path, partition_by, touched)
-    finish_upsert(spark, path, partition_by)
+        if partition_by:
+            target = _only_partitions(target, partition_by, _touched(target, fresh, keys, partition_by, keys_fix_partition))
+        old = _files_of(spark, target, path)
+        _stage(merge_rows(target, fresh, keys), path, partition_by)
+        _commit(spark, path, old)
 
 
 def _touched(
     target: DataFrame, fresh: DataFrame, keys: Sequence[str], partition_by: Sequence[str], keys_fix_partition: bool
-) -> list[Row] | None:
+) -> list[Row]:
     parts = fresh.select(*partition_by)
     if not keys_fix_partition:
         columns = dict.fromkeys([*keys, *partition_by])
@@ -151,88 +140,101 @@ def _touched(
     return _partitions(parts, partition_by)
 
 
-def _stage(
-    spark: SparkSession, merged: DataFrame, path: str, partition_by: Sequence[str], touched: list[Row] | None
-) -> None:
-    """Write merged partitions beside the table and mark them complete."""
-    staging = _staging(path)
-    overwrite_table(merged, staging, partition_by)
-    if partition_by:
-        # A touched partition that keeps no row gets an empty folder, so that it is emptied too.
-        candidates = _partition_folders(spark, path)
-        if touched is not None:
-            candidates &= {_folder_name(partition_by, row) for row in touched}
-        for folder in candidates - _partition_folders(spark, staging):
-            fs, handle = file_system(spark, f"{staging}/{folder}")
-            fs.mkdirs(handle)
-    fs, ready = file_system(spark, f"{staging}/{_READY}")
-    fs.create(ready).close()
-
-
 def _staging(path: str) -> str:
     parent, _, name = path.rstrip("/").rpartition("/")
     return f"{parent}/_staging_{name}"
 
 
-def _partition_folders(spark: SparkSession, path: str) -> set[str]:
-    """Relative leaf partition folders (``a=1/b=2``) of a table; bounded by the number of partitions."""
-    fs, root = file_system(spark, path)
-    base = fs.getFileStatus(root).getPath().toUri().getPath().rstrip("/") + "/"
-    leaves, queue = set(), [root]
-    while queue:
-        folder = queue.pop()
-        inner = [s.getPath() for s in fs.listStatus(folder) if s.isDirectory() and "=" in s.getPath().getName()]
-        queue += inner
-        if not inner and folder is not root:
-            leaves.add(folder.toUri().getPath()[len(base):])
-    return leaves
-
-
-def _folder_name(names: Sequence[str], row: Row) -> str:
-    def escape(text: str | None) -> str:
-        if not text:
-            return "__HIVE_DEFAULT_PARTITION__"
-        return "".join(f"%{ord(c):02X}" if c in _ESCAPED or ord(c) < 32 else c for c in text)
+def _stage(df: DataFrame, path: str, partition_by: Sequence[str], sort_by: Sequence[str] = ()) -> None:
+    """Write rows beside the table; what an earlier run left there without a manifest is discarded."""
+    rows = laid_out(df, partition_by)
+    if sort_by:
+        rows = rows.sortWithinPartitions(*partition_by, *sort_by)
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy(*partition_by).parquet(_staging(path))
 
-    return "/".join(f"{escape(n)}={escape(row[f'__{n}'])}" for n in names)
 
+def _base(fs, root) -> str:
+    return fs.getFileStatus(root).getPath().toUri().getPath().rstrip("/") + "/"
 
-def _replace_partition(spark: SparkSession, staging: str, path: str, folder: str) -> None:
-    fs, new = file_system(spark, f"{staging}/{folder}")
-    _, old = file_system(spark, f"{path}/{folder}")
-    fs.delete(old, True)
-    fs.mkdirs(old.getParent())
-    if not fs.rename(new, old):
-        raise IOError(f"could not move {new.toString()} to {old.toString()}; call again to finish")
 
+def _data_files(fs, root) -> dict[str, int]:
+    """Relative names and sizes of the files that a scan of ``root`` reads."""
+    base, found, listing = _base(fs, root), {}, fs.listFiles(root, True)
+    while listing.hasNext():
+        status = listing.next()
+        name = status.getPath().toUri().getPath()[len(base) :]
+        if not any(part.startswith((".", "_")) for part in name.split("/")):
+            found[name] = status.getLen()
+    return found
 
-def finish_upsert(spark: SparkSession, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Put completely staged partitions in place of the table's; does nothing if none are staged."""
-    staging = _staging(path)
-    fs, ready = file_system(spark, f"{staging}/{_READY}")
-    if not fs.exists(ready):
-        return
-    if partition_by:
-        with ThreadPoolExecutor(MOVES_AT_A_TIME) as pool:
-            list(pool.map(lambda folder: _replace_partition(spark, staging, path, folder), _partition_folders(spark, staging)))
-    else:
-        spark.read.parquet(staging).write.mode("overwrite").parquet(path)
-    fs.delete(file_system(spark, staging)[1], True)
 
-
-def merge_statement(path: str, keys: Sequence[str], view: str) -> str:
-    """The merge as SQL for a catalog that has it."""
-    match = " AND ".join(f"target.`{k}` = source.`{k}`" for k in keys)
-    return (
-        f"MERGE INTO delta.`{path}` AS target USING {view} AS source ON {match} "
-        "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
-    )
+def _files_of(spark: SparkSession, rows: DataFrame, path: str) -> list[str]:
+    """Relative names of the files that hold rows of a scan; column pruning leaves only their metadata to read."""
+    fs, root = file_system(spark, path)
+    base = _base(fs, root)
+    found = rows.select("_metadata.file_path").distinct().collect()
+    return [spark._jvm.java.net.URI(r.file_path).getPath()[len(base) :] for r in found]
 
 
-def _merge_into(source: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str]) -> None:
-    spark = source.sparkSession
-    if not table_exists(spark, path, "delta"):
-        overwrite_table(source, path, partition_by, fmt="delta")
+def _commit(spark: SparkSession, path: str, old: Sequence[str]) -> None:
+    """Declare the staged files the table's in place of ``old`` ones, then make it so."""
+    staging = _staging(path)
+    fs, root = file_system(spark, staging)
+    text = json.dumps({"new": _data_files(fs, root), "old": sorted(old)}) + "\nend\n"
+    stream = fs.create(file_system(spark, f"{staging}/{_MANIFEST}")[1])
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    finish_commit(spark, path)
+
+
+def _read_manifest(spark: SparkSession, staging: str) -> dict | None:
+    """The manifest of a complete staging folder; None if there is none or its writer died."""
+    fs, handle = file_system(spark, f"{staging}/{_MANIFEST}")
+    if not fs.exists(handle):
+        return None
+    stream = fs.open(handle)
+    text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return json.loads(text.partition("\n")[0]) if text.endswith("\nend\n") else None
+
+
+def _place(spark: SparkSession, staging: str, path: str, name: str, size: int) -> None:
+    """Move one staged file; done already if the table holds it in full."""
+    fs, target = file_system(spark, f"{path}/{name}")
+    _, source = file_system(spark, f"{staging}/{name}")
+    if fs.exists(target):
+        if fs.getFileStatus(target).getLen() == size:
+            return
+        fs.delete(target, False)  # part of a copy that was cut off
+    if not fs.exists(source) or fs.getFileStatus(source).getLen() != size:
+        raise IOError(f"staged file {source.toString()} is missing or cut off; the old files are still in place")
+    fs.mkdirs(target.getParent())
+    if not fs.rename(source, target):
+        raise IOError(f"could not move {source.toString()} to {target.toString()}; call again to finish")
+
+
+def _remove(spark: SparkSession, path: str, name: str) -> None:
+    fs, handle = file_system(spark, f"{path}/{name}")
+    fs.delete(handle, False)
+    folder = handle.getParent()
+    if "/" in name and fs.exists(folder) and not fs.listStatus(folder):
+        fs.delete(folder, False)
+
+
+def finish_commit(spark: SparkSession, path: str) -> None:
+    """Put completely staged files in place, then remove those they replace; does nothing if none are staged.
+
+    No old file goes before every new one is in the table in full, so a run
+    that dies anywhere can be repeated. Names of data files are never used twice.
+    """
+    staging = _staging(path)
+    manifest = _read_manifest(spark, staging)
+    if manifest is None:
         return
-    source.createOrReplaceTempView("__merge_source")
-    spark.sql(merge_statement(path, keys, "__merge_source"))
+    with ThreadPoolExecutor(MOVES_AT_A_TIME) as pool:
+        list(pool.map(lambda item: _place(spark, staging, path, *item), manifest["new"].items()))
+        list(pool.map(lambda name: _remove(spark, path, name), manifest["old"]))
+    fs, handle = file_system(spark, staging)
+    fs.mkdirs(file_system(spark, path)[1])
+    fs.delete(handle, True)

@@ -26,6 +26,11 @@ def latest(df: DataFrame, column: str) -> DataFrame:
     return df.agg(mark_text(F.max(column)).alias(FIELD))
 
 
+def store_mark(spark: SparkSession, text: str, path: str) -> None:
+    """Replace the mark by a text already computed."""
+    write_mark(spark.createDataFrame([(text,)], f"{FIELD} string"), path)
+
+
 def write_mark(mark: DataFrame, path: str) -> None:
     """Replace the mark. If this is interrupted the next load takes every file again, which merging makes harmless."""
     mark.select(FIELD).coalesce(1).write.mode("overwrite").json(path)

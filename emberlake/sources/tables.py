@@ -15,13 +15,11 @@ def file_system(spark: SparkSession, path: str):
     return handle.getFileSystem(spark._jsc.hadoopConfiguration()), handle
 
 
-def table_exists(spark: SparkSession, path: str, fmt: str = FORMAT) -> bool:
+def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether a table has been written to ``path``; decides between full and incremental load."""
     fs, handle = file_system(spark, path)
     if not fs.exists(handle):
         return False
-    if fmt == "delta":
-        return fs.exists(file_system(spark, f"{path}/_delta_log")[1])
     return any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(handle))
 
 
@@ -31,7 +29,8 @@ def read_table(spark: SparkSession, path: str, fmt: str = FORMAT) -> DataFrame:
 
 
 def query(spark: SparkSession, tables: Mapping[str, DataFrame], text: str, **args) -> DataFrame:
-    """SQL over named frames; values are bound as ``:name`` parameters, never pasted into the text."""
-    for name, frame in tables.items():
-        frame.createOrReplaceTempView(name)
-    return spark.sql(text, args=args)
+    """SQL over frames, named in braces (``FROM {orders}``); values are bound as ``:name`` parameters, never pasted in.
+
+    The frames are views of this call only, so no view of the session is replaced.
+    """
+    return spark.sql(text, args=args, **tables)

@@ -83,6 +83,33 @@ def test_ingest_takes_each_day_once(spark, tmp_path):
     assert read_mark(spark, mark)[1] == 20240103
 
 
+@pytest.mark.parametrize("first", [True, False])
+def test_undated_files_raise_on_every_load(spark, tmp_path, first):
+    folder, mark, loads = tmp_path / "d", str(tmp_path / "mark"), []
+
+    def load(rows):
+        loads.append(rows.count())
+
+    write_days(folder, [20240101])
+    if not first:
+        ingest(spark, str(folder), mark, load, COLUMNS)
+    for name in ("focos_br_2024-01-03.csv", "focos_20240104.csv"):
+        (folder / name).write_text("sat,lat,data_hora_gmt\nx,1.5,2024-01-03 00:00:00\n")
+    with pytest.raises(ValueError, match="focos_20240104.csv"):
+        ingest(spark, str(folder), mark, load, COLUMNS)
+    ingest(spark, str(folder), mark, load, COLUMNS, undated="load")
+    assert loads == ([4] if first else [2, 2])
+
+
+def test_a_lone_time_is_no_event_time(spark, tmp_path):
+    folder, mark = tmp_path / "d", str(tmp_path / "mark")
+    folder.mkdir()
+    cells = ["12:30:00", "T23:50:00", "2024", "2024-01-02 03:04:05", "junk"]
+    (folder / "focos_br_20240102.csv").write_text("\n".join(["sat,lat,data_hora_gmt", *(f"x,1,{c}" for c in cells)]) + "\n")
+    ingest(spark, str(folder), mark, lambda rows: rows.count(), COLUMNS)
+    assert read_mark(spark, mark) == ("2024-01-02 03:04:05", 20240102)
+
+
 def test_mark_does_not_move_if_the_load_fails(spark, tmp_path):
     write_days(tmp_path / "d", [20240101])
 

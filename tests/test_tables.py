@@ -9,7 +9,7 @@ from emberlake import session
 from emberlake.operators.lookup import DuplicateKeyError
 from emberlake.session import require_utc, scratch_folder
 from emberlake.sinks import tables as sink
-from emberlake.sinks.tables import append_missing, finish_upsert, merge_statement, overwrite_table, upsert_table
+from emberlake.sinks.tables import append_missing, finish_commit, overwrite_table, upsert_table
 from emberlake.sources.tables import query, read_table, table_exists
 
 
@@ -27,7 +27,7 @@ def test_table_exists(spark, tmp_path):
     os.mkdir(path)
     assert not table_exists(spark, path)
     overwrite_table(frame(spark, [(1, "a", 1)]), path)
-    assert table_exists(spark, path) and not table_exists(spark, path, "delta")
+    assert table_exists(spark, path)
 
 
 def test_overwrite_replaces_all_partitions(spark, tmp_path):
@@ -119,12 +119,22 @@ def test_upsert_text_partitions(spark, tmp_path):
     assert got == [(1, "new", "a/b=c:d %", day), (2, "new", "8", None)]
 
 
-def test_upsert_of_more_partitions_than_are_named(spark, tmp_path, monkeypatch):
+def data_files(path):
+    return {os.path.join(d, f)[len(path) :] for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
+
+
+def test_merge_into_many_partitions_leaves_the_others_alone(spark, tmp_path):
     path = str(tmp_path / "t")
-    upsert_table(frame(spark, [(i, "old", i) for i in range(6)]), path, ["k"], ["p"])
-    monkeypatch.setattr(sink, "MAX_NAMED_PARTITIONS", 2)
-    upsert_table(frame(spark, [(i, "new", i + 1) for i in range(3)]), path, ["k"], ["p"])
-    assert stored(spark, path) == [(0, "new", 1), (1, "new", 2), (2, "new", 3), (3, "old", 3), (4, "old", 4), (5, "old", 5)]
+    rows = spark.range(3000).selectExpr("cast(id as int) AS k", "'old' AS v", "cast(id % 1000 as int) AS p")
+    overwrite_table(rows.repartition(4, "p"), path, ["p"])
+    before = data_files(path)
+    fresh = spark.range(700).selectExpr("cast(id as int) AS k", "'new' AS v", "cast(id as int) AS p").repartition(2, "p")
+    upsert_table(fresh, path, ["k"], ["p"], keys_fix_partition=True)
+    after = data_files(path)
+    kept = {f for f in before if int(f.split("/")[1][2:]) >= 700}
+    assert before & after == kept and len(kept) >= 300
+    assert read_table(spark, path).where("v = 'new'").count() == 700
+    assert read_table(spark, path).count() == 3000
 
 
 def test_duplicate_source_keys_raise_and_change_nothing(spark, tmp_path):
@@ -137,26 +147,86 @@ def test_duplicate_source_keys_raise_and_change_nothing(spark, tmp_path):
     assert stored(spark, path) == [(1, "old", 1)]
 
 
+def dying(monkeypatch, name, after):
+    """Let ``name`` of the sink be called ``after`` times, then die."""
+    calls, real = [], getattr(sink, name)
+
+    def run(*args):
+        if len(calls) >= after:
+            raise KeyboardInterrupt
+        calls.append(args)
+        return real(*args)
+
+    monkeypatch.setattr(sink, name, run)
+    monkeypatch.setattr(sink, "MOVES_AT_A_TIME", 1)
+
+
+OLD, NEW = [(i, "old", i % 4) for i in range(8)], [(i, "new", i % 4 + 1) for i in range(4)]
+MERGED = sorted(NEW + OLD[4:], key=repr)
+REPLACED = sorted(NEW, key=repr)
+
+
+@pytest.mark.parametrize("step", [("_stage", 0), ("_commit", 0), ("_place", 0), ("_place", 1), ("_place", 3), ("_remove", 0), ("_remove", 2)])
 @pytest.mark.parametrize("partition_by", [[], ["p"]])
-def test_interrupted_replacement_is_finished_by_the_next_call(spark, tmp_path, monkeypatch, partition_by):
+@pytest.mark.parametrize("merge", [True, False])
+def test_a_killed_write_leaves_the_old_rows_or_is_finished(spark, tmp_path, monkeypatch, step, partition_by, merge):
     path = str(tmp_path / "t")
-    upsert_table(frame(spark, [(1, "old", 1), (2, "old", 2)]), path, ["k"], partition_by)
+    overwrite_table(frame(spark, OLD).repartition(4, "k"), path, partition_by)
+
+    def write():
+        rows = frame(spark, NEW).repartition(4, "k")
+        upsert_table(rows, path, ["k"], partition_by) if merge else overwrite_table(rows, path, partition_by)
+
+    killed = False
     with monkeypatch.context() as patch:
-        calls = []
+        dying(patch, *step)
+        try:
+            write()
+        except KeyboardInterrupt:
+            killed = True
+    wanted = MERGED if merge else REPLACED
+    if step[0] in ("_stage", "_commit"):
+        assert killed and stored(spark, path) == sorted(OLD, key=repr)
+        write()
+    finish_commit(spark, path)
+    assert stored(spark, path) == wanted
+    finish_commit(spark, path)
+    write()
+    assert stored(spark, path) == wanted
+    assert not os.path.exists(tmp_path / "_staging_t")
 
-        def dies_after_staging(*args):
-            calls.append(args)
-            if len(calls) > 1:
-                raise KeyboardInterrupt
 
-        patch.setattr(sink, "finish_upsert", dies_after_staging)
+def test_lost_staged_files_stop_the_commit(spark, tmp_path, monkeypatch):
+    """Nothing old is removed as long as something new is missing."""
+    path = str(tmp_path / "t")
+    overwrite_table(frame(spark, OLD), path, ["p"])
+    with monkeypatch.context() as patch:
+        dying(patch, "_place", 0)
         with pytest.raises(KeyboardInterrupt):
-            upsert_table(frame(spark, [(1, "new", 1), (2, "new", 3)]), path, ["k"], partition_by)
-    assert stored(spark, path) == [(1, "old", 1), (2, "old", 2)]
-    finish_upsert(spark, path, partition_by)
-    assert stored(spark, path) == [(1, "new", 1), (2, "new", 3)]
-    finish_upsert(spark, path, partition_by)
-    assert stored(spark, path) == [(1, "new", 1), (2, "new", 3)]
+            upsert_table(frame(spark, NEW), path, ["k"], ["p"])
+    lost = sorted((tmp_path / "_staging_t").glob("p=*/*.parquet"))[0]
+    lost.rename(tmp_path / "aside")
+    with pytest.raises(OSError):
+        finish_commit(spark, path)
+    assert set(OLD) <= set(stored(spark, path))
+    (tmp_path / "aside").rename(lost)
+    finish_commit(spark, path)
+    assert stored(spark, path) == MERGED
+
+
+def test_a_failing_job_leaves_the_old_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    overwrite_table(frame(spark, OLD), path)
+    with pytest.raises(Exception, match="lost"):
+        overwrite_table(frame(spark, NEW).withColumn("k", F.raise_error(F.lit("lost")).cast("int")), path)
+    assert stored(spark, path) == sorted(OLD, key=repr)
+
+
+def test_an_overwrite_may_read_its_own_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    overwrite_table(frame(spark, OLD), path)
+    overwrite_table(read_table(spark, path).where("k < 3"), path)
+    assert stored(spark, path) == sorted(OLD[:3], key=repr)
 
 
 def test_incomplete_staging_is_discarded(spark, tmp_path):
@@ -186,15 +256,8 @@ def test_slices_equal_one_load(spark, tmp_path):
     assert stored(spark, whole) == stored(spark, sliced)
 
 
-def test_merge_statement():
-    assert merge_statement("/t", ["a", "b"], "src") == (
-        "MERGE INTO delta.`/t` AS target USING src AS source ON target.`a` = source.`a` AND target.`b` = source.`b` "
-        "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
-    )
-
-
 def test_query_binds_values(spark):
-    text = "SELECT count(*) AS n FROM some_rows WHERE v = :v"
+    text = "SELECT count(*) AS n FROM {some_rows} WHERE v = :v"
     rows = frame(spark, [(1, "x' OR '1'='1", 1), (2, "y", 1)])
     assert query(spark, {"some_rows": rows}, text, v="x' OR '1'='1").first().n == 1
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlake.plans.dimensions import date_rows, missing_date_rows
+from emberlake.plans.dimensions import date_rows, extend_date_dimension, missing_date_rows
 from emberlake.queries import Query, table
+from emberlake.session import scratch_folder
+from emberlake.sources.tables import read_table
 
 
 def date_dimension(spark: SparkSession, folder: str) -> DataFrame:
@@ -29,6 +31,17 @@ def date_dimension_first(spark: SparkSession, folder: str) -> DataFrame:
     return missing_date_rows(None, until, "last")
 
 
+def date_dimension_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """A stored dimension, created, carried on to the last shipment, and then asked for no new day."""
+    path = scratch_folder(spark, "dates")
+    orders, lines = table(spark, folder, "orders"), table(spark, folder, "lineitem")
+    last_order = orders.agg(F.to_date(F.max("o_orderdate")).alias("last"))
+    last_shipment = lines.agg(F.to_date(F.max("l_shipdate")).alias("last"))
+    for until in (last_order, last_shipment, last_order):
+        extend_date_dimension(spark, path, until)
+    return read_table(spark, path)
+
+
 _MASK = "4294967295::HUGEINT"
 
 
@@ -67,5 +80,11 @@ _LAST_SHIPMENT = "SELECT CAST(max(l_shipdate) AS DATE) FROM lineitem"
 QUERIES = {
     "date_dimension": Query(date_dimension, date_rows_sql(days_sql(_FIRST_ORDER, _LAST_ORDER))),
     "date_dimension_extend": Query(date_dimension_extend, date_rows_sql(days_sql(_FIRST_ORDER, _LAST_SHIPMENT))),
+    "date_dimension_stored": Query(
+        date_dimension_stored,
+        date_rows_sql(
+            days_sql("SELECT DATE '2000-01-01'", "SELECT greatest(CAST(max(o_orderdate) AS DATE), (SELECT CAST(max(l_shipdate) AS DATE) FROM lineitem)) FROM orders")
+        ),
+    ),
     "date_dimension_first": Query(date_dimension_first, date_rows_sql(days_sql("SELECT DATE '2000-01-01'", _LAST_SHIPMENT))),
 }

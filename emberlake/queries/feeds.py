@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from emberlake.functions.times import day_number
 from emberlake.operators.measures import max_value
 from emberlake.operators.shaping import typed
+from emberlake.plans.ingest import ingest
 from emberlake.queries import Query, table
 from emberlake.session import scratch_folder
 from emberlake.sources.files import read_csv, select_new_files
 from emberlake.sources.links import ANCHOR, ENTITIES, HIDDEN, extract_links
 from emberlake.sources.marks import latest, read_mark, write_mark
-from emberlake.sources.tables import read_table
+from emberlake.sources.tables import file_system, read_table
 from emberlake.streaming.daily import append_available, stream_csv
 
 _ORDER_TYPES = {"o_orderkey": "long", "day": "date", "o_totalprice": "double", "o_orderpriority": "string"}
@@ -52,6 +53,49 @@ def high_water_mark(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _event_files(spark: SparkSession, folder: str) -> tuple[str, dict[int, str]]:
+    """Events as one dated CSV file a day, none of them in the ingested folder yet; file by day of the month."""
+    path = scratch_folder(spark, "event-days")
+    time = F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts")
+    rows = table(spark, folder, "events").select("event_type", time, "event_id", F.date_format("ts", "yyyyMMdd").alias("day"))
+    rows.repartition("day").write.option("header", True).partitionBy("day").csv(f"{path}/waiting")
+    fs, root = file_system(spark, f"{path}/waiting")
+    found = {}
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if name.startswith("day="):
+            part = next(s.getPath() for s in fs.listStatus(status.getPath()) if s.getPath().getName().startswith("part-"))
+            found[int(name[-2:])] = part.toString()
+    fs.mkdirs(file_system(spark, f"{path}/daily")[1])
+    return path, found
+
+
+def ingest_twice(spark: SparkSession, folder: str) -> DataFrame:
+    """Two daily ingests: the second takes newer files only, so a late file of an old day is left out."""
+    path, files = _event_files(spark, folder)
+    fs, _ = file_system(spark, path)
+    late = 10
+
+    def arrive(days: list[int]) -> None:
+        for day in days:
+            fs.rename(file_system(spark, files[day])[1], file_system(spark, f"{path}/daily/focos_br_202401{day:02d}.csv")[1])
+
+    def run() -> None:
+        def load(rows: DataFrame) -> None:
+            rows.write.mode("append").parquet(f"{path}/raw")
+
+        ingest(spark, f"{path}/daily", f"{path}/mark", load, ["event_id", "ts"], time_column="ts")
+
+    arrive([d for d in files if d <= 15 and d != late])
+    run()
+    arrive([d for d in files if d > 15 or d == late])
+    run()
+    mark = read_mark(spark, f"{path}/mark")[0]
+    return typed(read_table(spark, f"{path}/raw"), {"event_id": "long", "ts": "timestamp"}).select(
+        "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), F.lit(mark).alias("last_date")
+    )
+
+
 def max_of_column(spark: SparkSession, folder: str) -> DataFrame:
     return max_value(table(spark, folder, "events"), "ts")
 
@@ -97,6 +141,11 @@ QUERIES = {
         "SELECT true AS stored, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_date, "
         "CAST(strftime(max(ts), '%Y%m%d') AS INTEGER) AS last_day FROM events",
     ),
+    "ingest_twice": Query(
+        ingest_twice,
+        "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, "
+        "(SELECT strftime(max(ts), '%Y-%m-%d %H:%M:%S') FROM events) AS last_date FROM events WHERE day(ts) <> 10",
+    ),
     "max_value": Query(max_of_column, "SELECT max(ts) AS ts FROM events"),
     "select_new_files": Query(
         new_files,

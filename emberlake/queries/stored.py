@@ -59,6 +59,14 @@ def append_new(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, path).select(*_COLUMNS)
 
 
+def overwrite_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """A table written twice without partitions; the second time from its own rows and new ones."""
+    path = scratch_folder(spark, "overwrite-stored")
+    overwrite_table(_stored(spark, folder), path)
+    overwrite_table(merge_rows(read_table(spark, path), _feed(spark, folder), ["o_orderkey"]), path)
+    return read_table(spark, path).select(*_COLUMNS)
+
+
 def partitioned_overwrite(spark: SparkSession, folder: str) -> DataFrame:
     """Every order written by year and month and counted from the written table."""
     path = scratch_folder(spark, "partitioned")
@@ -82,6 +90,7 @@ QUERIES = {
     "upsert": Query(upsert, _merged_sql()),
     "upsert_stored": Query(upsert_stored, _merged_sql()),
     "upsert_moving": Query(upsert_moving, _merged_sql(" + 10")),
+    "overwrite_stored": Query(overwrite_stored, _merged_sql()),
     "append_new": Query(
         append_new,
         "SELECT o_orderkey, o_custkey, o_orderstatus, "

@@ -6,9 +6,10 @@ filters, and full shingle sets confirm every link.
 
 Lists are short by construction: each document enters only the lists of its rarest retained values, as many as a
 similar document cannot all miss. What is similar must share so many retained values that leaving out the rest loses
-nothing (documents whose sketches are whole) or loses a link with a chance below MISS. A list is never expanded into
-all its pairs at once: each document is first compared with one leader, and only documents whose lists still
-hold other components are compared further.
+nothing (documents whose sketches are whole) or loses a link with a chance below MISS. A list is never expanded into all
+its pairs: each document is first compared with one leader. Documents whose lists still hold other components are then
+joined on rare shingles of their full sets, with bounds on size and on shingles that no other such document holds.
+Those bounds are exact, and they drop the many heavily edited copies of one text that are similar to none.
 """
 
 from __future__ import annotations
@@ -26,10 +27,10 @@ from emberlake.llm.common import NO_ID, gram_hashes, id_of, rows_of_texts, store
 from emberlake.llm.graph import components
 
 # Retained values of a document.
-K = 128
+K = 96
 # Accepted chance that two similar documents share no list, or that the estimate rejects them.
 MISS = 1e-9
-# Rounds in which documents are compared with one leader only, before all that is left is compared.
+# Rounds in which documents are compared with one leader only, before all that are left are joined.
 LEADER_ROUNDS = 2
 
 
@@ -91,6 +92,17 @@ def _estimate(percent: int):
     return run
 
 
+def _whole_sets(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingles(t, size).view(np.int64) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+            columns = [batch.column(c) for c in ("cls", "comp")]
+            made = [pa.array([len(f) for f in found], pa.int64()), pa.array(found, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns + made, ["cls", "comp", "n", "all"])
+
+    return run
+
+
 def _confirm(size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, of = None, None
@@ -143,7 +155,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5, id_col: s
 
 
 def _lists(spread: DataFrame, percent: int) -> DataFrame:
-    """(value, cls, n): the lists of retained values that each class enters and that hold another class too."""
+    """(value, cls, n, own): the lists of retained values that each class enters and that hold another class too.
+
+    ``own`` is the number of retained values that no other class has.
+    """
     values = spread.select("cls", "n", F.size("sketch").alias("m"), F.explode("sketch").alias("value"))
     shared = stored(values.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"), "shared-values")
     # Values of one class only come first in the order and generate nothing; the rest of the prefix is of shared ones.
@@ -153,9 +168,10 @@ def _lists(spread: DataFrame, percent: int) -> DataFrame:
     # With few shingles the union with any similar document is retained as a whole.
     long_one = F.col("m") - F.least(F.lit(least_overlap(K, percent)), whole) + 1
     prefix = F.when(n * 100 <= K * percent, n - whole + 1).otherwise(long_one)
-    quota = F.greatest(prefix - (F.col("m") - F.size("values")), F.lit(0)).cast("int")
-    taken = own.select("cls", "n", F.explode(F.slice("values", 1, quota)).alias("x"))
-    return stored(taken.select(F.col("x.value").alias("value"), "cls", "n"), "lists")
+    alone = F.col("m") - F.size("values")
+    quota = F.greatest(prefix - alone, F.lit(0)).cast("int")
+    taken = own.select("cls", "n", alone.cast("int").alias("own"), F.explode(F.slice("values", 1, quota)).alias("x"))
+    return stored(taken.select(F.col("x.value").alias("value"), "cls", "n", "own"), "lists")
 
 
 def _links(lists: DataFrame, spread: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -165,11 +181,11 @@ def _links(lists: DataFrame, spread: DataFrame, texts: DataFrame, size: int, per
         members = lists.withColumn("comp", F.col("cls"))
         if links is not None:
             found = components(links)
-            members = lists.join(found.withColumnRenamed("node", "cls"), "cls", "left").select("value", "cls", "n", F.coalesce("component", "cls").alias("comp"))
+            members = lists.join(found.withColumnRenamed("node", "cls"), "cls", "left").select("value", "cls", "n", "own", F.coalesce("component", "cls").alias("comp"))
         members = stored(members, "members")
         mixed_lists = members.groupBy("value").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least <> most").select("value")
         members = stored(members.join(stored(mixed_lists, "mixed-lists"), "value"), "members")
-        pairs = _leader_pairs(members, turn, percent) if turn < LEADER_ROUNDS else _all_pairs(members, percent)
+        pairs = _leader_pairs(members, turn, percent) if turn < LEADER_ROUNDS else _remaining_pairs(members, texts, size, percent)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
@@ -188,8 +204,11 @@ def _ordered(left: str, right: str) -> list:
 
 
 def _leader_pairs(members: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Each class with the leader of another component that most of its lists name."""
-    rank = F.col("cls") if turn == 0 else F.xxhash64(F.lit(turn), "cls")
+    """Each class with the leader of another component that most of its lists name.
+
+    A list is first led by the class with the fewest values of its own, as an original has among its edited copies.
+    """
+    rank = F.col("own").cast("long") if turn == 0 else F.xxhash64(F.lit(turn), "cls")
     leaders = members.groupBy("value").agg(F.min(F.struct(rank.alias("rank"), "cls", "n", "comp")).alias("lead"))
     leaders = stored(leaders.select("value", F.col("lead.cls").alias("leader"), F.col("lead.n").alias("leader_n"), F.col("lead.comp").alias("leader_comp")), "leaders")
     met = members.join(leaders, "value").where((F.col("comp") != F.col("leader_comp")) & _near_in_size(percent, "n", "leader_n"))
@@ -198,16 +217,34 @@ def _leader_pairs(members: DataFrame, turn: int, percent: int) -> DataFrame:
     return best.select("cls", (-F.col("best.leader")).alias("leader")).select(*_ordered("cls", "leader")).distinct()
 
 
-def _all_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """All pairs of different components in a list, without those inside its largest component."""
-    counts = members.groupBy("value", "comp").agg(F.count("*").alias("times"))
-    largest = counts.groupBy("value").agg(F.max(F.struct("times", "comp")).alias("top")).select("value", F.col("top.comp").alias("main"))
-    marked = stored(members.join(stored(largest, "main-components"), "value"), "marked")
-    few = marked.where("comp <> main").select("value", F.col("cls").alias("other"), F.col("n").alias("other_n"), F.col("comp").alias("other_comp"))
-    met = marked.join(stored(few, "few"), "value").where(
+def _remaining_pairs(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """All pairs of different components among the members that can be similar, and not many more.
+
+    Shingles are ordered by how many members hold them. Of two similar sets the smaller one holds a common shingle
+    among its rarest n - ceil(2t / (1 + t) n) + 1, the larger one among its rarest n - ceil(t n) + 1. Shingles held by
+    one member only come first there and match nothing; what is left bounds the intersection.
+    """
+    named = members.select("cls", "comp").distinct()
+    sets = stored(texts.join(named, "cls").select("cls", "comp", "text").mapInArrow(_whole_sets(size), "cls long, comp long, n long, all array<long>"), "whole-sets")
+    values = sets.select("cls", "comp", "n", F.explode("all").alias("value"))
+    common = stored(values.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"), "common-shingles")
+    held = values.join(common, "value").groupBy("cls", "comp", "n").agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("values"))
+    held = held.withColumn("m", F.size("values").cast("long")).where(F.col("m") * 100 >= F.col("n") * percent)
+    held = stored(held, "common-sets")
+    n, alone = F.col("n"), F.col("n") - F.col("m")
+
+    def rarest(whole) -> DataFrame:
+        count = F.greatest(n - whole + 1 - alone, F.lit(0)).cast("int")
+        return held.select("cls", "comp", "n", "m", F.explode(F.slice("values", 1, count)).alias("x")).withColumn("value", F.col("x.value")).drop("x")
+
+    larger = rarest(F.ceil(n * percent / 100))
+    smaller = rarest(F.ceil(n * 2 * percent / (100 + percent))).toDF("other", "other_comp", "other_n", "other_m", "value")
+    most = F.least("m", "other_m")
+    met = larger.join(smaller, "value").where(
         (F.col("comp") != F.col("other_comp"))
-        & ((F.col("comp") == F.col("main")) | (F.col("cls") < F.col("other")))
-        & _near_in_size(percent, "n", "other_n")
+        & (F.col("other_n") <= n)
+        & (F.col("other_n") * 100 >= n * percent)
+        & (most * 100 >= (n + F.col("other_n") - most) * percent)
     )
     return met.select(*_ordered("cls", "other")).distinct()
 

@@ -7,6 +7,7 @@ and shapes are decoded in parallel, not one task per layer.
 
 from __future__ import annotations
 
+import re
 import struct
 import sys
 
@@ -23,6 +24,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _PARTS = ("shp", "shx", "dbf")
 _FIELD_SIZE = 32
+# Definitions of geographic systems whose coordinates are those of SRID 4674 or 4326.
+GEOGRAPHIC = r'(?is)^\s*GEOG(?:CS|CRS)\s*\[\s*"[^"]*(?:SIRGAS[ _]*2000|WGS[ _]*(?:19)?84)'
 
 
 def _unsigned(blob: Column, position: int | Column, size: int, little: bool) -> Column:
@@ -178,6 +181,32 @@ def decode_layers(files: DataFrame, srid: int = SRID, encoding: str = "UTF-8") -
     return records.repartition(F.xxhash64("shape")).select(*attributes, geometry)
 
 
-def read_layer(spark: SparkSession, folder: str, srid: int = SRID, encoding: str = "UTF-8") -> DataFrame:
-    """All layers below a folder as attribute columns plus ``geometry`` (EWKB)."""
-    return decode_layers(layer_files(spark, folder), srid, encoding)
+def _side_files(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
+    """Path and text of the small files with this suffix."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*.{suffix}")
+    return reader.load(folder).select("path", F.trim(F.col("content").cast("string")).alias("text"))
+
+
+def require_shared_coordinates(spark: SparkSession, folder: str) -> None:
+    """Raise if a layer's .prj file names a system whose coordinates differ from those of the known SRIDs."""
+    other = _side_files(spark, folder, "prj").filter(~F.col("text").rlike(GEOGRAPHIC)).limit(5).collect()
+    if other:
+        raise ValueError(f"no transformation for the coordinates of {', '.join(r.path for r in other)}: {other[0].text[:80]}")
+
+
+def declared_encoding(spark: SparkSession, folder: str) -> str:
+    """What the layers' .cpg files say, which must be the same for all; UTF-8 without any."""
+    names = [r.text for r in _side_files(spark, folder, "cpg").select("text").distinct().limit(2).collect()]
+    if len(names) > 1:
+        raise ValueError(f"the layers below {folder} have several encodings: {', '.join(names)}")
+    return re.sub(r"^ISO[ _-]*8859[ _-]*1$", "ISO-8859-1", names[0].strip().upper()) if names else "UTF-8"
+
+
+def read_layer(spark: SparkSession, folder: str, srid: int = SRID, encoding: str | None = None) -> DataFrame:
+    """All layers below a folder as attribute columns plus ``geometry`` (EWKB).
+
+    Side files count: .cpg gives the encoding unless one is given, and a .prj file of other coordinates than those that
+    SRIDs 4674 and 4326 share raises. Layers without .prj are taken to be in such coordinates.
+    """
+    require_shared_coordinates(spark, folder)
+    return decode_layers(layer_files(spark, folder), srid, encoding or declared_encoding(spark, folder))

@@ -59,4 +59,4 @@ def write_layer(folder, name, fields, rows, deleted=()):
             raw = value.encode("utf-8")
             dbf += raw.rjust(size) if kind in "NF" else raw.ljust(size)
     (folder / f"{name}.dbf").write_bytes(dbf + b"\x1a")
-    (folder / f"{name}.prj").write_text("ignored")
+    (folder / f"{name}.prj").write_text('GEOGCS["GCS_SIRGAS_2000",DATUM["D_SIRGAS_2000"]]')

@@ -99,3 +99,19 @@ def test_layers_with_different_attributes_are_refused(spark, tmp_path):
         (tmp_path / "empty").mkdir()
         (tmp_path / "empty" / "x.txt").write_text("")
         read_layer(spark, str(tmp_path / "empty"))
+
+
+def test_side_files_are_honoured(spark, tmp_path):
+    write_layer(tmp_path, "a", BIOME_FIELDS, [(point(1, 2), ["1", "A", "Amazonia"])])
+    dbf = (tmp_path / "a.dbf").read_bytes().replace(b"Amazonia", "Amaz\xf4nia".encode("latin-1"))
+    (tmp_path / "a.dbf").write_bytes(dbf)
+    (tmp_path / "a.cpg").write_text("ISO 88591\n")
+    assert read_layer(spark, str(tmp_path)).first().NOM_BIOMA == "Amaz\xf4nia"
+    (tmp_path / "a.prj").write_text('PROJCS["SIRGAS_2000_UTM_Zone_23S",GEOGCS["GCS_SIRGAS_2000"]]')
+    with pytest.raises(ValueError, match="a.prj"):
+        read_layer(spark, str(tmp_path))
+    (tmp_path / "a.prj").write_text('GEOGCS["GCS_WGS_1984",DATUM["D_WGS_1984"]]')
+    write_layer(tmp_path, "b", BIOME_FIELDS, [(point(1, 2), ["1", "A", "x"])])
+    (tmp_path / "b.cpg").write_text("UTF-8")
+    with pytest.raises(ValueError, match="encodings"):
+        read_layer(spark, str(tmp_path))

@@ -110,7 +110,7 @@ def build_model(lang: list[str], key: np.ndarray, n: np.ndarray, min_context: in
         costs[:, i] = -np.log2(np.concatenate([third, p])).ravel()
     shallow = np.flatnonzero(rows < 0)
     rows[shallow] = len(deep) + shallow % SYMBOLS**2
-    return LanguageModel(languages, rows, costs, -np.log2(prior / max(prior.sum(), 1)))
+    return LanguageModel(languages, rows, costs, -np.log2(np.maximum(prior, 1) / max(prior.sum(), 1)))
 
 
 def train_languages(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", min_context: int = 20) -> LanguageModel:

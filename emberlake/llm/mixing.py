@@ -202,8 +202,11 @@ def _ratio(u: Column, fraction: Column) -> Column:
 
 
 def _corrected(rounded: DataFrame, cap: int) -> DataFrame:
-    """One copy more or less of one document a source, if that brings its words nearer to the target."""
-    gaps = rounded.groupBy("src").agg((F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("gap"))
+    """One copy more or less of one document a source, if that brings its words nearer to the target.
+
+    What is known of a source is stored before rows are joined with it: then no source's rows must meet in one task.
+    """
+    gaps = stored(rounded.groupBy("src").agg((F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("gap")), "gaps")
     open_rows = rounded.join(gaps, "src").where(
         (F.col("size") > 0) & F.when(F.col("gap") > 0, F.col("copies") < cap).otherwise(F.col("copies") > 0)
     )
@@ -215,7 +218,7 @@ def _corrected(rounded: DataFrame, cap: int) -> DataFrame:
         .select("src", F.col("best.doc_id").alias("best_id"), F.col("best.text_key").alias("best_text"), "best.change")
     )
     same = F.col("doc_id").eqNullSafe(F.col("best_id")) & (F.col("text_key") == F.col("best_text"))
-    joined = rounded.join(best, "src", "left")
+    joined = rounded.join(stored(best, "corrections"), "src", "left")
     return joined.withColumn("copies", F.col("copies") + F.when(same, F.col("change")).otherwise(F.lit(0))).drop("best_id", "best_text", "change")
 
 

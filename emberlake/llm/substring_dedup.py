@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberlake.llm.common import gram_hashes, id_of, rows_of_texts, stored, text_key, word_hashes
+from emberlake.session import materialised
 
 # Words in an anchor.
 ANCHOR = 5
@@ -218,16 +219,17 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def removed_spans(rows: DataFrame, window: int) -> DataFrame:
     """(id, tk, spans): word positions [low, high, low, high, ...] of rows (id, tk, text) that an earlier id holds too."""
-    marks = stored(rows.select("id", "text").mapInArrow(_emit_anchors(window), "h long, at int, id long"), "anchors")
-    shared = marks.groupBy("h").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("h")
-    marked = stored(marks.join(stored(shared, "shared-anchors"), "h").groupBy("id").agg(F.collect_list("at").alias("marks")), "marks")
+    # The two large tables of hashes are removed as soon as what they are for is stored.
+    with materialised(rows.select("id", "text").mapInArrow(_emit_anchors(window), "h long, at int, id long"), "anchors") as marks:
+        shared = marks.groupBy("h").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("h")
+        marked = stored(marks.join(stored(shared, "shared-anchors"), "h").groupBy("id").agg(F.collect_list("at").alias("marks")), "marks")
     regions = stored(
         rows.where("text IS NOT NULL").join(marked, "id").select("id", "tk", "text", "marks").mapInArrow(_cut_regions(window), "id long, tk long, starts array<int>, texts array<string>, words long"),
         "regions",
     )
-    windows = stored(regions.select("id", "texts").mapInArrow(_hash_windows(window), "w long, id long"), "windows")
-    firsts = windows.groupBy("w").agg(F.min("id").alias("source"), F.max("id").alias("most")).where("source < most").select("w", "source")
-    routes = stored(windows.join(stored(firsts, "first-windows"), "w").where("source < id").select("id", "source").distinct(), "routes")
+    with materialised(regions.select("id", "texts").mapInArrow(_hash_windows(window), "w long, id long"), "windows") as windows:
+        firsts = windows.groupBy("w").agg(F.min("id").alias("source"), F.max("id").alias("most")).where("source < most").select("w", "source")
+        routes = stored(windows.join(stored(firsts, "first-windows"), "w").where("source < id").select("id", "source").distinct(), "routes")
 
     sources = routes.select("source").distinct().join(regions.select(F.col("id").alias("source"), F.col("texts").alias("source_texts"), F.col("words").alias("source_words")), "source")
     sources = stored(sources, "sources")

@@ -9,10 +9,12 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from emberlake import build_session
 from emberlake.queries import registry
+from emberlake.session import use_local_scratch
 
 HEADLINE = ("star_inner", "overview_kpis", "build_fact", "upsert")
 
@@ -34,6 +36,7 @@ def main() -> None:
         spark__driver__memory="8g",
     )
     spark.sparkContext.setLogLevel("ERROR")
+    use_local_scratch(tempfile.mkdtemp(prefix="run-"))
     times = {}
     for name, query in registry().items():
         runs = 2 if name in HEADLINE else 1

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -68,23 +68,27 @@ def fit_shuffles(spark: SparkSession, *folders: str) -> int:
     return wanted
 
 
-_local_roots: dict[str, str] = {}
+_local_root: str | None = None
 
 
-def scratch_folder(spark: SparkSession, label: str) -> str:
-    """A fresh folder for intermediate tables, under ``spark.checkpoint.dir``.
+def use_local_scratch(folder: str) -> None:
+    """Where sessions in one process, without ``spark.checkpoint.dir``, put intermediate tables: for tests and benches."""
+    global _local_root
+    _local_root = folder
 
-    Only a local session may run without that setting; it then gets a
-    temporary folder, which a cluster's executors could not share.
-    """
+
+def has_scratch(spark: SparkSession) -> bool:
+    return bool(spark.conf.get("spark.checkpoint.dir", None) or _local_root)
+
+
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A fresh folder for intermediate tables, under ``spark.checkpoint.dir``."""
     root = spark.conf.get("spark.checkpoint.dir", None)
+    # Executors of a cluster could not share a folder of the driver's machine.
+    if not root and re.match(r"local(\[|$)", spark.sparkContext.master):
+        root = _local_root
     if not root:
-        context = spark.sparkContext
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        if context.applicationId not in _local_roots:
-            _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="emberlake-")
-        root = _local_roots[context.applicationId]
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

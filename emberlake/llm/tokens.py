@@ -38,39 +38,52 @@ class ChunkTable:
         lines = not any("\n" in p for p in pieces)
         self.pattern = re.compile(r" *[^ \n]+| +|\n" if lines else r" *[^ ]+| +")
         self.newline = self.sp.encode("\n")
+        self.marker = self.sp.piece_to_id(MARK)
+        self.names = [str(i) for i in range(len(pieces))]
         self.limit = limit
         self.table: dict[str, tuple[str, str, int]] = {}
 
     def _segment(self, chunks: list[str]) -> None:
         """Adds chunks. The library puts a marker before each text: it stands for a chunk's first space, and a chunk
-        without one follows a line end, whose ids are then cut off."""
+        without one follows a line end, whose ids are then cut off. One thread: tasks share the cores already."""
         marked = [c for c in chunks if c[0] == " "]
         bare = [c for c in chunks if c[0] != " "]
-        for chunk, ids in zip(marked, self.sp.encode([c[1:] for c in marked]) if marked else ()):
-            # Encoding an empty text gives no id, but the chunk is a marker.
-            ids = ids or [self.sp.piece_to_id(MARK)]
-            self._add(chunk, ids, " " + self.sp.decode(ids))
         cut = len(self.newline)
-        for chunk, ids in zip(bare, self.sp.encode(["\n" + c for c in bare]) if bare else ()):
-            self._add(chunk, ids[cut:], self.sp.decode(ids[cut:]))
-
-    def _add(self, chunk: str, ids: list[int], decoded: str) -> None:
-        self.table[chunk] = (",".join(map(str, ids)), decoded, len(ids))
-
-    def encode(self, text: str) -> tuple[str, str, int]:
-        """Comma-joined ids, decoded text and number of ids of a text."""
-        if not text:
-            return "", "", 0
-        chunks = self.pattern.findall(" " + text.replace(MARK, " "))
+        # Encoding an empty text gives no id, but a lone space is a marker.
+        ids = [i or [self.marker] for i in self.sp.encode([c[1:] for c in marked], num_threads=1)] if marked else []
+        ids += [i[cut:] for i in self.sp.encode(["\n" + c for c in bare], num_threads=1)] if bare else []
+        decoded = self.sp.decode(ids, num_threads=1)
+        names, spaces = self.names, len(marked)
+        for at, (chunk, own, text) in enumerate(zip(marked + bare, ids, decoded)):
+            self.table[chunk] = (",".join([names[i] for i in own]), " " + text if at < spaces else text, len(own))
+
+    def encode_all(self, texts: list[str]) -> list[tuple[str, str, int]]:
+        """Comma-joined ids, decoded text and number of ids of each text."""
+        cut = [self.pattern.findall(" " + t.replace(MARK, " ")) if t else [] for t in texts]
         table = self.table
-        new = {c for c in chunks if c not in table}
+        new = {c for chunks in cut for c in chunks if c not in table}
         if new:
             if len(table) + len(new) > self.limit:
                 table.clear()
-                new = set(chunks)
+                new = {c for chunks in cut for c in chunks}
             self._segment(list(new))
-        found = [table[c] for c in chunks]
-        return ",".join([f[0] for f in found]), "".join([f[1] for f in found])[1:], sum([f[2] for f in found])
+        done = []
+        for chunks in cut:
+            found = [table[c] for c in chunks]
+            done.append((",".join([f[0] for f in found]), "".join([f[1] for f in found])[1:], sum([f[2] for f in found])))
+        return done
+
+    def encode(self, text: str) -> tuple[str, str, int]:
+        return self.encode_all([text])[0]
+
+
+# Texts that are cut before their new chunks are segmented together.
+TEXTS_AT_ONCE = 200
+
+
+def _encoded(table: ChunkTable, texts: list[str | None]) -> Iterator[tuple[str, str, int]]:
+    for at in range(0, len(texts), TEXTS_AT_ONCE):
+        yield from table.encode_all([t or "" for t in texts[at : at + TEXTS_AT_ONCE]])
 
 
 @lru_cache(maxsize=2)
@@ -87,7 +100,7 @@ def encode_texts(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            done = [_table(model_file).encode(t or "") for t in batch.column("text").to_pylist()]
+            done = list(_encoded(_table(model_file), batch.column("text").to_pylist()))
             ids, decoded, n = zip(*done) if done else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
@@ -106,8 +119,7 @@ def token_digests(docs: DataFrame, model_file: str, id_col: str = "doc_id", text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, ids, decoded = [], [], []
-            for text in batch.column("text").to_pylist():
-                i, d, count = _table(model_file).encode(text or "")
+            for i, d, count in _encoded(_table(model_file), batch.column("text").to_pylist()):
                 n.append(count), ids.append(sha(i)), decoded.append(sha(d))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],

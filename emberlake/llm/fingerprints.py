@@ -24,6 +24,8 @@ KMER, TUPLE, PLACES = 6, 2, 128
 BATCH_TEXTS, BATCH_CHARS = 256, 1 << 20
 # Low values looked at for each place before all are.
 LOW = 12
+# Ranges of ids that a task compares one after another.
+BUCKETS_A_TASK = 8
 _PLACE_BITS = PLACES.bit_length() - 1
 _STEP = np.uint64(0xD1B54A32D192ED03)
 _FAR = np.iinfo(np.int64).max
@@ -163,7 +165,9 @@ def compare_with_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     rows = rows_of_texts(docs, id_col, text_col).withColumn("__id", id_of("doc_id"))
     n = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), 2)
-    cuts = rows.agg(F.percentile_approx("__id", [i / n for i in range(1, n)], 20 * n)).first()[0] or []
+    # Several buckets a task, dealt by hash: long texts of neighbouring ids then spread over tasks.
+    buckets = BUCKETS_A_TASK * n
+    cuts = rows.agg(F.percentile_approx("__id", [i / buckets for i in range(1, buckets)], 4 * buckets)).first()[0] or []
     bounds = np.unique(np.array(cuts, np.int64))
 
     @F.pandas_udf("int")

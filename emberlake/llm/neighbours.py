@@ -86,24 +86,23 @@ def _curve_keys(dimension: int, largest: float, curves: int, seed: int):
 
 
 def _compare(dimension: int, wanted: int):
-    """Best rows of a block for each query that visits it."""
+    """Best rows of a block for each query that visits it, without those that can't reach its ``floor``."""
 
     def run(block: pa.Table, visitors: pa.Table) -> pa.Table:
         out = ([], [], [])
         if block.num_rows and visitors.num_rows:
             ids = block["cls"].to_numpy()
             rows, queries = _matrix(block["vec"].combine_chunks(), dimension), _matrix(visitors["query_vec"].combine_chunks(), dimension)
-            names = visitors["query"].to_numpy()
+            names, floors = visitors["query"].to_numpy(), visitors["floor"].to_numpy()
             for at in range(0, len(queries), 512):
                 part = queries[at : at + 512]
                 rough = part @ rows.T
+                limit = floors[at : at + 512][:, None]
                 if rough.shape[1] > wanted:
-                    limit = np.partition(rough, -wanted, axis=1)[:, -wanted][:, None]
-                    # Products of different summation order differ in the last bits; those near the limit are ranked exactly.
-                    chosen = rough >= limit - 1e-12 * np.maximum(np.abs(limit), 1e-300) * 1e3
-                else:
-                    chosen = np.ones(rough.shape, bool)
-                q, r = np.nonzero(chosen)
+                    limit = np.maximum(limit, np.partition(rough, -wanted, axis=1)[:, -wanted][:, None])
+                # Products of different summation order differ in the last bits; those near the limit are ranked exactly.
+                slack = 1e-12 * np.abs(part).max(initial=1) * np.abs(rows).max(initial=1) * dimension
+                q, r = np.nonzero(rough >= limit - slack)
                 exact = (part[q] * rows[r]).sum(1)
                 order = np.lexsort((ids[r], -exact, q))
                 q, r, exact = q[order], r[order], exact[order]
@@ -166,12 +165,23 @@ def nearest(
     low = F.greatest(F.floor((F.col("at") - reach) / BLOCK_ROWS), F.lit(0)).cast("int")
     high = F.least(F.floor((F.col("at") + reach) / BLOCK_ROWS), F.lit(blocks - 1)).cast("int")
     part = F.pmod(F.xxhash64("cls"), F.lit(groups)).cast("int")
-    visitors = at.where("asked").select("curve", F.explode(F.sequence(low, high)).alias("block"), part.alias("part"), "cls", "vec").toDF("curve", "block", "part", "query", "query_vec")
+    home = F.floor(F.col("at") / BLOCK_ROWS).cast("int")
+    asking = at.where("asked").select("curve", home.alias("home"), F.explode(F.sequence(low, high)).alias("block"), part.alias("part"), "cls", "vec")
+    asking = stored(asking.toDF("curve", "home", "block", "part", "query", "query_vec"), "asking")
     keys = ["curve", "block", "part"]
-    met = members.groupBy(*keys).cogroup(visitors.groupBy(*keys)).applyInArrow(_compare(dimension, k + 1), "query long, cls long, score double")
     best = Window.partitionBy("query").orderBy(F.desc("score"), "cls")
-    found = met.groupBy("query", "cls").agg(F.max("score").alias("score")).withColumn("__at", F.row_number().over(best)).where(F.col("__at") <= k + 1)
-    spelled = stored(found.select("query", "cls", "score"), "found").join(classes.select("cls", "ids"), "cls").select("query", "score", F.explode("ids").alias("vec_id"))
+
+    def best_of(visitors: DataFrame, before: DataFrame | None) -> DataFrame:
+        met = members.groupBy(*keys).cogroup(visitors.groupBy(*keys)).applyInArrow(_compare(dimension, k + 1), "query long, cls long, score double")
+        met = met if before is None else met.unionByName(before)
+        found = met.groupBy("query", "cls").agg(F.max("score").alias("score")).withColumn("__at", F.row_number().over(best))
+        return stored(found.where(F.col("__at") <= k + 1).select("query", "cls", "score"), "found")
+
+    # A query's own block on every curve comes first. What the rest of its windows adds must reach the last of these.
+    near = best_of(asking.where("block = home").withColumn("floor", F.lit(float("-inf"))), None)
+    floors = stored(near.groupBy("query").agg(F.when(F.count("*") > k, F.min("score")).otherwise(F.lit(float("-inf"))).alias("floor")), "floors")
+    found = best_of(asking.where("block <> home").join(floors, "query"), near)
+    spelled = found.join(classes.select("cls", "ids"), "cls").select("query", "score", F.explode("ids").alias("vec_id"))
     listed = spelled.groupBy("query").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("worse"), "vec_id"))).alias("results"))
     results = stored(listed.select("query", F.slice("results", 1, k + 1).alias("results")), "results")
     queries = rows.where("asked").where(F.size("v") == dimension).select("vec_id", "v").distinct()

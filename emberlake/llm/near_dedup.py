@@ -190,7 +190,9 @@ def _links(lists: DataFrame, spread: DataFrame, texts: DataFrame, size: int, per
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        confirmed = stored(_confirmed(pairs, spread, texts, size, percent), "links")
+        # The bounds of the last join are exact; only leaders' pairs, which come from sketches alone, need the estimate.
+        likely = _estimated(pairs, spread, percent) if turn < LEADER_ROUNDS else pairs
+        confirmed = stored(_confirmed(likely, texts, size, percent), "links")
         links = confirmed if links is None else links.unionByName(confirmed)
     return links
 
@@ -249,11 +251,16 @@ def _remaining_pairs(members: DataFrame, texts: DataFrame, size: int, percent: i
     return met.select(*_ordered("cls", "other")).distinct()
 
 
-def _confirmed(pairs: DataFrame, spread: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+def _estimated(pairs: DataFrame, spread: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose union sketch allows the similarity."""
     sketch = spread.select("cls", "sketch")
     sides = pairs.join(sketch.toDF("b", "sketch_b"), "b").join(sketch.toDF("a", "sketch_a"), "a").select("a", "b", "sketch_a", "sketch_b")
-    likely = stored(sides.mapInArrow(_estimate(percent), "a long, b long"), "likely")
-    whole = likely.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a").select("a", "b", "text_a", "text_b")
+    return stored(sides.mapInArrow(_estimate(percent), "a long, b long"), "likely")
+
+
+def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs whose full sets are similar."""
+    whole = pairs.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a").select("a", "b", "text_a", "text_b")
     return whole.mapInArrow(_confirm(size, percent), "a long, b long")
 
 

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberlake.llm.common import NO_ID, gram_hashes, id_of, rows_of_texts, stored, word_hashes
+from emberlake.llm.common import NO_ID, gram_hashes, id_of, rows_of_texts, stored, text_key, word_hashes
 from emberlake.llm.graph import components
 
 # Retained values of a document.
@@ -63,9 +63,9 @@ def _sketch(size: int):
                 k1.append(xxhash.xxh64_intdigest(data, 1) - 2**63)
                 k2.append(xxhash.xxh64_intdigest(data, 2) - 2**63)
                 sketch.append(found[:K].view(np.int64))
-            columns = [batch.column(c) for c in ("doc_id", "id", "place")]
+            columns = [batch.column(c) for c in ("doc_id", "id", "text_key")]
             made = [pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(sketch, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns + made, ["doc_id", "id", "place", "n", "k1", "k2", "sketch"])
+            yield pa.RecordBatch.from_arrays(columns + made, ["doc_id", "id", "text_key", "n", "k1", "k2", "sketch"])
 
     return run
 
@@ -128,18 +128,21 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5, id_col: s
     words are linked with nothing. ``component_id`` is the least id reachable over links; ``kept`` marks its row.
     Rows that repeat an id are one document; a null id is larger than all others. Other columns are ignored.
     """
-    rows = rows_of_texts(docs, id_col, text_col).withColumns({"id": id_of("doc_id"), "place": F.monotonically_increasing_id()})
-    schema = "doc_id long, id long, place long, n long, k1 long, k2 long, sketch array<long>"
-    sketches = stored(rows.select("doc_id", "id", "place", "text").mapInArrow(_sketch(size), schema), "sketches")
+    # A row is found again by what it holds, never by where a scan puts it: a second scan may be split otherwise.
+    rows = rows_of_texts(docs, id_col, text_col).withColumns({"id": id_of("doc_id"), "text_key": text_key("text")})
+    schema = "doc_id long, id long, text_key long, n long, k1 long, k2 long, sketch array<long>"
+    sketches = stored(rows.select("doc_id", "id", "text_key", "text").mapInArrow(_sketch(size), schema), "sketches")
     # One row stands for all with equal sets: that of the least id.
     classes = stored(
-        sketches.where("n > 0").groupBy("k1", "k2").agg(F.min(F.struct("id", "place")).alias("first")).select("k1", "k2", F.col("first.id").alias("cls"), F.col("first.place").alias("place")),
+        sketches.where("n > 0").groupBy("k1", "k2").agg(F.min(F.struct("id", "text_key")).alias("first")).select("k1", "k2", F.col("first.id").alias("cls"), F.col("first.text_key").alias("text_key")),
         "classes",
     )
-    spread = stored(sketches.join(classes.select("place", "cls"), "place").select("cls", "n", "sketch"), "class-sketches")
+    chosen = classes.select(F.col("cls").alias("id"), "text_key", "cls")
+    # Rows that repeat both the id and the text are one.
+    spread = stored(sketches.join(chosen, ["id", "text_key"]).dropDuplicates(["id", "text_key"]).select("cls", "n", "sketch"), "class-sketches")
     lists = _lists(spread, percent)
-    named = lists.select("cls").distinct()
-    texts = stored(rows.join(sketches.join(classes.select("place", "cls"), "place").select("place", "cls"), "place").join(named, "cls").select("cls", "text"), "class-texts")
+    named = chosen.join(lists.select("cls").distinct(), "cls")
+    texts = stored(rows.join(named, ["id", "text_key"]).dropDuplicates(["id", "text_key"]).select("cls", "text"), "class-texts")
     links = _links(lists, spread, texts, size, percent)
     found = components(links)
     label = F.coalesce("component", "cls")

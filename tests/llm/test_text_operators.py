@@ -153,6 +153,28 @@ def test_near_duplicates_without_leaders(spark, texts, monkeypatch):
     assert {r.doc_id: r.component_id for r in rows} == dict(enumerate(groups_of(texts, 85)[1]))
 
 
+def test_near_duplicates_when_scans_are_split_otherwise(spark, texts, monkeypatch, tmp_path):
+    """Each job deals the same files to other tasks, as after a lost executor; rows that repeat id and text are one."""
+    path, option = str(tmp_path / "docs"), "spark.sql.files.openCostInBytes"
+    docs = table_of(spark, texts)
+    docs.unionByName(docs.where("doc_id % 3 = 0")).repartition(24).write.parquet(path)
+    plain, before, turn = near_dedup.stored, spark.conf.get(option), [0]
+
+    def stored(df, label):
+        turn[0] += 1
+        spark.conf.set(option, "512m" if turn[0] % 2 else "1")
+        # The plan of a scan keeps its split, so every job reads the files anew.
+        return plain(df, f"{turn[0]}-{label}")
+
+    monkeypatch.setattr(near_dedup, "stored", stored)
+    try:
+        rows = near_dedup.near_duplicates(spark.read.parquet(path)).collect()
+    finally:
+        spark.conf.set(option, before)
+    assert {r.doc_id: r.component_id for r in rows} == dict(enumerate(groups_of(texts, 85)[1]))
+    assert len(rows) == len(texts) + len(texts[::3])
+
+
 def test_least_overlap_is_a_safe_bound():
     assert 70 < near_dedup.least_overlap(128, 85) < 90
     assert near_dedup.least_overlap(128, 80) < near_dedup.least_overlap(128, 85)

@@ -26,6 +26,8 @@ BATCH_TEXTS, BATCH_CHARS = 256, 1 << 20
 LOW = 12
 # Ranges of ids that a task compares one after another.
 BUCKETS_A_TASK = 8
+# Bits of a k-mer's hash that are kept, the same for every text, and of its position where both share a sort key.
+GRAM_BITS, AT_BITS = 36, 20
 _PLACE_BITS = PLACES.bit_length() - 1
 _STEP = np.uint64(0xD1B54A32D192ED03)
 _FAR = np.iinfo(np.int64).max
@@ -43,21 +45,25 @@ def _signatures(points: list[np.ndarray]) -> np.ndarray:
     """Signatures of a few texts in one pass.
 
     A sort key holds the text (8 bits), its k-mer's hash and its position, so that equal k-mers of a text stand
-    together in text order. How many bits are position depends on the text's length alone.
+    together in text order. A longer text, whose positions do not fit, is alone and sorted by the same hash bits.
     """
     counts = np.array([max(len(p) - KMER + 1, min(len(p), 1)) for p in points])
     grams = np.concatenate([gram_hashes(p, min(KMER, len(p))) if len(p) else p for p in points])
     total = len(grams)
     if not total:
         return np.zeros((len(points), PLACES), np.uint16)
-    at_bits = 20 if total <= BATCH_CHARS else total.bit_length()
     text = np.repeat(np.arange(len(points), dtype=np.uint64), counts)
-    keys = np.sort((text << _bits(56)) | ((grams >> _bits(8 + at_bits)) << _bits(at_bits)) | np.arange(total, dtype=np.uint64))
-    at = keys & _below(at_bits)
-    gram = keys >> _bits(at_bits)  # with the text in its high bits
+    gram = grams >> _bits(64 - GRAM_BITS)
+    if total <= 1 << AT_BITS:
+        keys = np.sort((text << _bits(GRAM_BITS + AT_BITS)) | (gram << _bits(AT_BITS)) | np.arange(total, dtype=np.uint64))
+        at = keys & _below(AT_BITS)
+        gram = keys >> _bits(AT_BITS)  # with the text in its high bits
+    else:
+        at = np.lexsort((gram, text)).astype(np.uint64)
+        gram = (text << _bits(GRAM_BITS)) | gram[at.astype(np.int64)]
     index = np.arange(total)
     first = np.maximum.accumulate(np.where(np.append(True, gram[1:] != gram[:-1]), index, 0))
-    gram &= _below(56 - at_bits)
+    gram &= _below(GRAM_BITS)
     with np.errstate(over="ignore"):
         numbered = mixed(gram + (index - first).astype(np.uint64) * _STEP)
     # ``text`` fits the sorted keys as well, since they are sorted by text first.

@@ -219,6 +219,25 @@ def test_signature_sees_edits_and_order():
     assert (alone == own).all()
 
 
+def test_signatures_do_not_depend_on_the_length_of_the_key(monkeypatch):
+    make, _ = sentences(6)
+    group = [make(900), make(300), "", "abc", "ab " * 700]
+    packed = fingerprints.signatures(group)
+    monkeypatch.setattr(fingerprints, "AT_BITS", 8)
+    assert (fingerprints.signatures(group) == packed).all()
+
+
+def test_near_copies_on_both_sides_of_a_batch():
+    make, _ = sentences(7, vocabulary=300_000)
+    text = make(190_000)
+    full = fingerprints.BATCH_CHARS
+    assert len(text) > full + 200_000
+    below, above, long = fingerprints.signatures([text[: full - 6], text[: full + 14], text])
+    assert fingerprints.likeness(below, above) > 0.95
+    half = fingerprints.signatures([text[: len(text) - len(text) // 2] + make(10)])[0]
+    assert fingerprints.likeness(long, half) > 0.2
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert line_dedup.dedup_lines(none).count() == 0

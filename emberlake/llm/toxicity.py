@@ -62,8 +62,7 @@ class StemMatcher:
         todo, full = list(pairs), set(pairs)
         while todo:
             node, edits = todo.pop()
-            # The first letter must be there: an edit is spent below the root only.
-            if edits == 0 and node:
+            if edits == 0:
                 for child in self.children[node].values():
                     if self.fuzzy[child] and (child, 1) not in full:
                         full.add((child, 1)), todo.append((child, 1))
@@ -84,7 +83,7 @@ class StemMatcher:
         for node, edits in self.members[state]:
             if char in self.children[node]:
                 pairs.add((self.children[node][char], edits))
-            if edits == 0 and node:
+            if edits == 0:
                 if self.fuzzy[node]:
                     pairs.add((node, 1))
                 pairs.update((c, 1) for c in self.children[node].values() if self.fuzzy[c])
@@ -111,18 +110,29 @@ class StemMatcher:
     def features(self, text: str) -> np.ndarray:
         """Of a text: exact and misspelled abusive hits, quoted hits, density, heaviest stem, hits near other hits."""
         low = text.lower()
-        words, exact, fuzzy, quoted, near, heaviest, last = 0, 0.0, 0.0, 0.0, 0, 0.0, -(10**9)
+        words, exact, fuzzy, quoted, near, heaviest, last, done = 0, 0.0, 0.0, 0.0, 0, 0.0, -(10**9), 0
         seen: dict[str, tuple[str, int] | None] = {}
+
+        def look(word: str) -> tuple[str, int] | None:
+            if word not in seen:
+                seen[word] = self.match(word)
+            return seen[word]
+
         for found in _WORD.finditer(low):
+            at, end = found.span()
+            if at < done:
+                continue
             words += 1
-            word = found.group()
-            if word in seen:
-                hit = seen[word]
-            else:
-                hit = seen[word] = self.match(word)
+            hit = look(found.group())
             if hit is None:
-                continue
-            at, end = found.span()
+                # One digit or symbol between letters may be the edit; a second one would be another edit.
+                rest = _WORD.match(low, end + 1) if end < len(low) and not low[end].isspace() else None
+                if rest is None or (look(rest.group()) or ("", 1))[1] == 0:
+                    continue
+                hit = look(low[at : rest.end()])
+                if hit is None:
+                    continue
+                end = done = rest.end()
             before, after = low[max(0, at - CONTEXT) : at], low[end : end + CONTEXT]
             quote = bool(_QUOTES.search(before) and _QUOTES.search(after)) or bool(_REPORTING.search(before) and _QUOTES.search(before))
             if quote:
@@ -171,8 +181,8 @@ def _count_prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([pa.array(stems, pa.string()), pa.array(clean, pa.int64()), pa.array(toxic, pa.int64())], ["stem", "clean", "toxic"])
 
 
-def learn_stems(sample: DataFrame, size: int) -> dict[str, float]:
-    """Word beginnings that tell toxic documents apart, with their log-odds; at most ``size``.
+def learn_stems(sample: DataFrame, size: int | None = None) -> dict[str, float]:
+    """Word beginnings that tell toxic documents apart, with their log-odds; at most ``size`` if given.
 
     A beginning is kept if its likelihood ratio beats what the best of that many beginnings reaches by chance, and if
     most of its documents are toxic. Of beginnings of one another only the strongest stays, the longer one on ties.
@@ -192,13 +202,15 @@ def learn_stems(sample: DataFrame, size: int) -> dict[str, float]:
         .select("stem", p.alias("p"), gain.alias("gain"), "clean", "toxic")
         .where((F.col("p") >= max(0.6, (1 + share) / 2)) & (F.col("gain") >= float(np.log(tried) + 1)))
         .orderBy(F.desc("gain"), F.desc(F.length("stem")), "stem")
-        .limit(20 * size)
         .collect()
     )
     chosen: dict[str, float] = {}
+    beginnings: set[str] = set()
     for row in ranked:
         stem = row["stem"]
-        if len(chosen) < size and not any(stem.startswith(c) or c.startswith(stem) for c in chosen):
+        own = [stem[:n] for n in range(1, len(stem) + 1)]
+        if (size is None or len(chosen) < size) and stem not in beginnings and not any(c in chosen for c in own):
+            beginnings.update(own)
             odds = (row["toxic"] + 0.5) / (head["toxic"] + 1) / ((row["clean"] + 0.5) / (head["clean"] + 1))
             chosen[stem] = float(np.log(odds))
     return chosen
@@ -227,7 +239,7 @@ def fit_weights(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, steps: int =
     return w
 
 
-def train_toxicity(labelled: DataFrame, lexicon: int = 500, sample_rows: int = 20_000) -> ToxicityModel:
+def train_toxicity(labelled: DataFrame, lexicon: int | None = None, sample_rows: int = 20_000) -> ToxicityModel:
     """Learns from (text, toxic 0/1) rows with an id ``doc_id``; at most some ``sample_rows`` of them, by hash of the id.
 
     Rows without text or label are left out. Without toxic rows every score is low.

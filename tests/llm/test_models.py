@@ -159,6 +159,40 @@ def test_matcher_against_plain_distances():
             assert got[1] == min(allowed)[0]
 
 
+def test_matcher_edits_the_first_letter():
+    stems = {"stupid": 3.0, "loser": 2.0, "scum": 2.0, "idiot": 3.0, "moron": 2.0}
+    matcher, rng = toxicity.StemMatcher(stems), random.Random(2)
+    for word in ("diot", "ldiot", "xmoron", "tupid", "oron"):
+        assert matcher.match(word)[1] == 1, word
+    assert matcher.match("cum") is None and matcher.match("xscum") is None
+    for _ in range(4000):
+        word = list(rng.choice(list(stems)) + rng.choice(["", "s", "ity"]))
+        for _ in range(rng.randint(0, 2)):
+            at = rng.randrange(0, len(word))
+            word[at : at + rng.randint(0, 1)] = rng.choice(["", "x", "0", "*", "s"])
+        word = "".join(word)
+        near = [(distance_to_prefix(word, s), s) for s in stems]
+        allowed = [d for d, s in near if d == 0 or (d == 1 and len(s) >= toxicity.MIN_FUZZY)]
+        got = matcher.match(word)
+        assert (got and got[1]) == min(allowed, default=None), (word, got, allowed)
+
+
+def test_digits_and_symbols_in_words_are_edits():
+    matcher = toxicity.StemMatcher({"stupid": 3.0, "idiot": 3.0})
+    for text in ("idi0t", "1diot", "st*pid", "stup1d", "$tupid", "x/st_pid", "idio7", "s-tupid"):
+        features = matcher.features(f"you {text}, so")
+        assert (features[0], features[1]) == (0, pytest.approx(math.log(2))), text
+    assert matcher.features("my-idiot")[0] == pytest.approx(math.log(2))
+    assert not matcher.features("st**p1d st pid i.e. 4to").any()
+
+
+def test_as_many_stems_as_tell_toxic_rows_apart(spark):
+    bad = ["".join(chr(97 + n // 26**k % 26) for k in range(3)) + "zzqx" for n in range(700)]
+    rows = [(" ".join(bad), 1)] * 40 + [("plain words only", 0)] * 60
+    frame = spark.createDataFrame(rows, "text string, toxic int")
+    assert set(toxicity.learn_stems(frame)) == set(bad)
+
+
 def test_toxicity_is_learned_and_quotes_count_less(spark):
     clean, rng = syllables(5, ["the", "ing", "er", "an", "re", "ou", "be"]), random.Random(2)
     bad = ["stupid", "moron", "losers", "trashy"]

@@ -2,30 +2,75 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+from html.entities import html5
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Parts of a page that hold no links: comments, scripts, styles.
 HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 # An anchor tag up to its href value: double-quoted, single-quoted or bare.
 ANCHOR = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-# Entities that occur in addresses; the ampersand is last so that no new entity arises.
+# Frequent entities in addresses, for the SQL of the queries; ``decoded`` knows all. The ampersand is last so that no new entity arises.
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 
 
+# A character reference, text without one, or a lone ampersand.
+_PIECE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)|[^&]+|&"
+# Names that count without a semicolon too, the longest first.
+_BARE = "^&(" + "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))) + ")"
+# Numbers that stand for another character, as browsers and the standard have it.
+_MOVED = {0: "�"} | {n: bytes([n]).decode("cp1252") for n in range(0x80, 0xA0) if n not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
+
+
+def _numbered(piece: Column) -> Column:
+    """The character of a numeric reference."""
+    digits = F.regexp_extract(piece, "^&#[xX]?0*([0-9a-fA-F]*)", 1)
+    code = F.when(F.lower(F.substring(piece, 3, 1)) == "x", F.conv(digits, 16, 10)).otherwise(digits)
+    code = F.when(digits == "", F.lit(0)).when(F.length(digits) > 7, F.lit(0x110000)).otherwise(code.cast("int"))
+    above = code - 0x10000
+    # UTF-16, in hexadecimal digits.
+    pair = F.concat(F.hex(F.shiftright(above, 10) + 0xD800), F.hex(above.bitwiseAND(0x3FF) + 0xDC00))
+    char = F.decode(F.unhex(F.when(code < 0x10000, F.lpad(F.hex(code), 4, "0")).otherwise(pair)), "UTF-16BE")
+    # Python's html module keeps these numbers of the range above and gives nothing for other control characters and noncharacters.
+    kept = code.isin(0x09, 0x0A, 0x0C, 0x0D, 0x81, 0x8D, 0x8F, 0x90, 0x9D)
+    control = (code < 0x20) | (code == 0x7F) | code.between(0xFDD0, 0xFDEF) | (code.bitwiseAND(0xFFFE) == 0xFFFE)
+    moved = F.from_json(F.lit(json.dumps(_MOVED)), "map<string,string>")
+    return (
+        F.when((code > 0x10FFFF) | code.between(0xD800, 0xDFFF), F.lit("�"))
+        .when((code == 0) | (code.between(0x80, 0x9F) & ~kept), F.try_element_at(moved, code.cast("string")))
+        .when(control & ~kept, F.lit(""))
+        .otherwise(char)
+    )
+
+
+def decoded(text: Column) -> Column:
+    """``text`` with every numeric and standard named character reference decoded once, as ``html.unescape`` does."""
+    named = F.from_json(F.lit(json.dumps({f"&{k}": v for k, v in html5.items() if k.endswith(";")})), "map<string,string>")
+    bare = F.from_json(F.lit(json.dumps({k: v for k, v in html5.items() if not k.endswith(";")})), "map<string,string>")
+
+    def one(piece: Column) -> Column:
+        prefix = F.regexp_extract(piece, _BARE, 1)
+        cut = F.concat(F.try_element_at(bare, prefix), piece.substr(F.length(prefix) + 2, F.length(piece)))
+        text = F.coalesce(F.try_element_at(named, piece), F.when(prefix != "", cut), piece)
+        return F.when(~piece.startswith("&"), piece).when(piece.rlike("^&#[0-9xX]"), _numbered(piece)).otherwise(text)
+
+    pieces = F.regexp_extract_all(text, F.lit(_PIECE), F.lit(0))
+    return F.when(text.contains("&"), F.array_join(F.transform(pieces, one), "")).otherwise(text)
+
+
 def extract_links(pages: DataFrame, url: str, html: str, suffix: str, link: str = "link") -> DataFrame:
     """One row per anchor whose href ends in ``suffix``, with the page address put before it.
 
     The address is concatenated, not resolved, and repeated links stay
-    repeated. This is a pattern over tags, not an HTML parser: other
-    entities than the listed ones stay encoded.
+    repeated. This is a pattern over tags, not an HTML parser; character
+    references in an href are all decoded.
     """
     visible = F.regexp_replace(F.col(html), HIDDEN, "")
     hrefs = F.regexp_extract_all(visible, F.lit(ANCHOR), F.lit(1))
     rest = [c for c in pages.columns if c != html]
     found = pages.select(*rest, F.explode(hrefs).alias("__href"))
-    href = F.regexp_replace("__href", r"""^["']|["']$""", "")
-    for entity, char in ENTITIES:
-        href = F.replace(href, F.lit(entity), F.lit(char))
+    href = decoded(F.regexp_replace("__href", r"""^["']|["']$""", ""))
     found = found.withColumn("__href", href).filter(F.col("__href").endswith(suffix))
     return found.select(*rest, F.concat(F.col(url), F.col("__href")).alias(link))

@@ -1,5 +1,7 @@
 import datetime
+import html
 import json
+from html.entities import html5
 
 import pytest
 from conftest import rows_of
@@ -7,7 +9,7 @@ from pyspark.sql import functions as F
 
 from emberlake.plans.ingest import ingest, new_rows
 from emberlake.sources.files import list_files, read_csv, select_new_files
-from emberlake.sources.links import extract_links
+from emberlake.sources.links import decoded, extract_links
 from emberlake.sources.marks import latest, read_mark, write_mark
 from emberlake.sources.tables import read_table
 from emberlake.streaming.daily import append_available, stream_csv
@@ -132,6 +134,22 @@ def test_extract_links(spark):
     )
 
 
+def test_links_with_any_entity(spark):
+    page = """<a href="a&#x2F;b&#46;csv">1</a><a href='caf&eacute;&apos;s.csv'>2</a><a href=x&amp;lt;.csv>3</a><a href="&#x1F600;.csv">4</a>"""
+    pages = spark.createDataFrame([("u/", page)], "url string, html string")
+    got = sorted(r.link for r in extract_links(pages, "url", "html", ".csv").collect())
+    assert got == sorted(["u/a/b.csv", "u/caf\u00e9's.csv", "u/x&lt;.csv", "u/\U0001f600.csv"])
+
+
+def test_entities_as_the_standard_library_decodes_them(spark):
+    numbers = [*range(0x100), 0xD800, 0xDFFF, 0xFDD0, 0xFEFF, 0xFFFD, 0xFFFE, 0xFFFF, 0x10000, 0x1F600, 0x1FFFF, 0x10FFFE, 0x10FFFF, 0x110000, 10**9, 10**30]
+    texts = [f"a&#{n};b" for n in numbers] + [f"&#x{n:x}" for n in numbers] + [f"&#X000{n:X};z" for n in numbers] + [f"x&{n}y" for n in html5]
+    texts += ["", "&", "&&amp;", "&#;", "&#x;", "&#xg", "&nothing;", "h?a=1&copy=2&b", "&notit;", "&amp;amp;", "&a b;", "&ltx<", "& lt;", "&CounterClockwiseContourIntegral;"]
+    found = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", "t", decoded(F.col("t")).alias("d")).collect()
+    assert [(r.t, r.d) for r in found if r.d != html.unescape(r.t)] == []
+    assert len(found) == len(texts)
+
+
 def test_stream_takes_late_files_too(spark, tmp_path):
     folder, table, checkpoint = tmp_path / "d", str(tmp_path / "raw"), str(tmp_path / "checkpoint")
 

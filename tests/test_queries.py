@@ -7,6 +7,7 @@ import pytest
 from conftest import plan_of
 
 import __spark_entry__ as entry_point
+from emberlake.queries import registry
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -41,7 +42,7 @@ def canonical(rows, names):
     return sorted(tuple(cell(row[i]) for i in order) for row in rows)
 
 
-@pytest.mark.parametrize("name", entry_point.queries())
+@pytest.mark.parametrize("name", registry())
 def test_query_agrees_with_sql(spark, data, engine, name):
     df = entry_point.queries()[name](spark, data)
     plan = plan_of(df)

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +20,9 @@ NO_ID = 9223372036854775807
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+# Bytes of text that are worked on at once in a task.
+SLICE_BYTES = 1 << 20
+
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -32,6 +39,21 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that ``column`` holds about ``limit`` bytes in each, or one longer row.
+
+    Working memory is then a multiple of ``limit`` and of the longest text, however many rows a batch has.
+    """
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < len(ends):
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def id_of(name: str) -> Column:
     """A row's id for comparisons; null ids come last."""
     return F.coalesce(F.col(name).cast("long"), F.lit(NO_ID))

@@ -17,6 +17,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from emberlake.llm.common import slices
+
 SYMBOLS = 64
 UNDETERMINED = "und"
 
@@ -40,20 +42,20 @@ def _folding() -> np.ndarray:
 FOLD = _folding()
 
 
-def symbols_of(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+def symbols_of(data: bytes | pa.Buffer) -> tuple[np.ndarray, np.ndarray]:
     """Context (the three symbols before, as one number) and symbol at each byte."""
-    padded = np.zeros(len(data) + 3, np.int32)
+    padded = np.zeros(memoryview(data).nbytes + 3, np.int32)
     padded[3:] = FOLD[np.frombuffer(data, np.uint8)]
     return (padded[:-3] << 12) | (padded[1:-2] << 6) | padded[2:-1], padded[3:]
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Occurrences of (language, context and symbol) in each batch; key -1 counts documents."""
-    for batch in batches:
+    """Occurrences of (language, context and symbol) in each slice of a batch; key -1 counts documents."""
+    for batch in slices(batches):
         keys: dict[str, list[np.ndarray]] = {}
-        for data, lang in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("lang").to_pylist()):
-            context, symbol = symbols_of(data)
-            keys.setdefault(lang, []).append(np.append((context << 6) | symbol, -1))
+        for data, lang in zip(batch.column("text").cast(pa.binary()), batch.column("lang").to_pylist()):
+            context, symbol = symbols_of(data.as_buffer())
+            keys.setdefault(lang, []).append(np.append((context << 6) | symbol, np.int32(-1)))
         for lang, parts in keys.items():
             key, n = np.unique(np.concatenate(parts), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(key)), pa.array(key.astype(np.int32)), pa.array(n.astype(np.int64))], ["lang", "key", "n"])
@@ -138,7 +140,7 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shipped.value
-        for batch in batches:
+        for batch in slices(batches):
             text = batch.column("text")
             letters = pc.fill_null(pc.match_substring_regex(text, r"\p{L}"), False).to_pylist()
             langs, scores, rates = [], [], []
@@ -170,7 +172,7 @@ def keep_identified(docs: DataFrame, model: LanguageModel, text_col: str = "text
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shipped.value
-        for batch in batches:
+        for batch in slices(batches, text_col):
             text = batch.column(text_col)
             letters = pc.fill_null(pc.match_substring_regex(text, r"\p{L}"), False).to_pylist()
             data = text.cast(pa.binary()).to_pylist()

@@ -153,7 +153,7 @@ def mix(
     source_col: str = "source",
     corrections: int = 4,
 ) -> DataFrame:
-    """(doc_id, text_key, size, source_size, target, copies, taken): how many copies of each document the mix takes.
+    """(doc_id, text_key, src, size, source_size, target, copies, taken): how many copies of each document the mix takes.
 
     Sizes are words; sources in code point order, null last, get the ``weights`` in turn, and together ``share`` times
     all words; no source gets more than ``cap`` times its words and no document more than ``cap`` copies. ``taken`` is
@@ -191,10 +191,27 @@ def mix(
     for _ in range(corrections):
         rounded = stored(_corrected(rounded, cap), "rounded")
     return rounded.select(
-        "doc_id", "text_key", "size", "source_size", "target", F.col("copies").cast("int").alias("copies"), (F.col("copies") * F.col("size")).alias("taken")
+        "doc_id", "text_key", "src", "size", "source_size", "target", F.col("copies").cast("int").alias("copies"), (F.col("copies") * F.col("size")).alias("taken")
     )
 
 
+def repeated_to_targets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The rows of ``docs`` as often as :func:`mix` takes them, with the columns they have.
+
+    A row's copies are found by its id, text and source, nulls included; rows that repeat all three are taken alike,
+    each as often as the other, so none comes more than ``cap`` times. Columns of any other name pass through.
+    """
+    taken = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
+    taken = taken.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__text"), F.col("src").alias("__src"), F.col("copies").alias("__copies")).distinct()
+    same = (
+        docs[id_col].cast("long").eqNullSafe(F.col("__id"))
+        & (F.xxhash64(F.lit(11), docs[text_col]) == F.col("__text"))
+        & (source_key(docs[source_col]) == F.col("__src"))
+    )
+    joined = docs.join(taken, same).where(F.col("__copies") > 0)
+    return joined.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), "__copies")).alias("__copy")).drop("__copy")
+
+
 def _ratio(u: Column, fraction: Column) -> Column:
     """u / fraction, whose values up to 1 have the odds of ``fraction``, mapped into [0, 1)."""
     ratio = u / fraction

@@ -23,8 +23,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emberlake.llm.common import NO_ID, gram_hashes, id_of, rows_of_texts, stored, text_key, word_hashes
+from emberlake.llm.common import NO_ID, gram_hashes, id_of, rows_of_texts, slices, stored, text_key, word_hashes
 from emberlake.llm.graph import components
+from emberlake.llm.ordering import ranked
 
 # Retained values of a document.
 K = 96
@@ -54,7 +55,7 @@ def least_overlap(k: int, percent: int, miss: float = MISS) -> int:
 
 def _sketch(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             n, k1, k2, sketch = [], [], [], []
             for text in batch.column("text").cast(pa.binary()).to_pylist():
                 found = shingles(text or b"", size)
@@ -94,7 +95,7 @@ def _estimate(percent: int):
 
 def _whole_sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [shingles(t, size).view(np.int64) for t in batch.column("text").cast(pa.binary()).to_pylist()]
             columns = [batch.column(c) for c in ("cls", "comp")]
             made = [pa.array([len(f) for f in found], pa.int64()), pa.array(found, pa.list_(pa.int64()))]
@@ -121,12 +122,14 @@ def _confirm(size: int, percent: int):
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row.
+    """(doc_id, n_shingles, component_id, kept, text_key) for every row.
 
     Documents are linked if 100 * intersection >= percent * union of their sets of ``size``-word shingles. Words are
     separated by ASCII white space, A-Z count as a-z, and fewer words than ``size`` are one shingle. Documents without
     words are linked with nothing. ``component_id`` is the least id reachable over links; ``kept`` marks its row.
-    Rows that repeat an id are one document; a null id is larger than all others. Other columns are ignored.
+    Rows that repeat an id are one document. Rows without an id are documents by their text: a null id is larger than
+    all others, a group of such documents alone has a null ``component_id`` and keeps one text. ``text_key`` tells apart
+    rows of one id. Other columns are ignored.
     """
     # A row is found again by what it holds, never by where a scan puts it: a second scan may be split otherwise.
     rows = rows_of_texts(docs, id_col, text_col).withColumns({"id": id_of("doc_id"), "text_key": text_key("text")})
@@ -137,7 +140,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5, id_col: s
         sketches.where("n > 0").groupBy("k1", "k2").agg(F.min(F.struct("id", "text_key")).alias("first")).select("k1", "k2", F.col("first.id").alias("cls"), F.col("first.text_key").alias("text_key")),
         "classes",
     )
-    chosen = classes.select(F.col("cls").alias("id"), "text_key", "cls")
+    greatest = sketches.agg(F.max("doc_id")).first()[0]
+    classes = _numbered(classes, greatest)
+    known = F.col("cls") <= F.lit(NO_ID - 1 if greatest is None else greatest)
+    known = F.lit(False) if greatest is None else known
+    chosen = classes.select(F.when(known, F.col("cls")).otherwise(NO_ID).alias("id"), "text_key", "cls")
     # Rows that repeat both the id and the text are one.
     spread = stored(sketches.join(chosen, ["id", "text_key"]).dropDuplicates(["id", "text_key"]).select("cls", "n", "sketch"), "class-sketches")
     lists = _lists(spread, percent)
@@ -146,17 +153,44 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5, id_col: s
     links = _links(lists, spread, texts, size, percent)
     found = components(links)
     label = F.coalesce("component", "cls")
-    labelled = stored(classes.join(found.withColumnRenamed("node", "cls"), "cls", "left").select("k1", "k2", label.alias("component")), "labels")
-    joined = sketches.select("doc_id", "id", "n", "k1", "k2").join(labelled, ["k1", "k2"], "left")
+    labelled = classes.join(found.withColumnRenamed("node", "cls"), "cls", "left").select("k1", "k2", label.alias("component"), (label == F.col("cls")).alias("first"), F.col("text_key").alias("first_text"))
+    joined = sketches.select("doc_id", "id", "n", "k1", "k2", "text_key").join(stored(labelled, "labels"), ["k1", "k2"], "left")
     component = F.when(F.col("n") == 0, F.col("id")).otherwise(F.coalesce("component", "id"))
+    numbered = F.lit(True) if greatest is None else component > F.lit(greatest)
+    alone = F.col("doc_id").isNull() & F.coalesce(F.col("first") & (F.col("first_text") == F.col("text_key")), F.lit(True))
     return joined.select(
         "doc_id",
         F.col("n").alias("n_shingles"),
-        F.when(component != NO_ID, component).alias("component_id"),
-        (component == F.col("id")).alias("kept"),
+        F.when(~numbered, component).alias("component_id"),
+        (alone | (F.col("doc_id").isNotNull() & (component == F.col("id")))).alias("kept"),
+        "text_key",
     )
 
 
+def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that :func:`near_duplicates` keeps, with all their columns.
+
+    Rows are told apart by id and text, so that a row without an id, or one that repeats an id, goes only with a text of
+    its own group. Rows that repeat both share their fate.
+    """
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
+    gone = found.where("NOT kept").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__text")).distinct()
+    same = docs[id_col].cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(F.lit(11), docs[text_col]) == F.col("__text"))
+    return docs.join(gone, same, "left_anti")
+
+
+def _numbered(classes: DataFrame, greatest: int | None) -> DataFrame:
+    """Classes of rows without id get numbers of their own from the greatest downwards; all ids must lie below."""
+    without = classes.where(F.col("cls") == NO_ID)
+    count = without.count()
+    if not count:
+        return classes
+    if greatest is not None and greatest >= NO_ID - count:
+        raise ValueError(f"ids up to {greatest} leave no numbers for {count} texts without id")
+    numbers = ranked(without, ["k1", "k2"], "place").select("k1", "k2", (F.lit(NO_ID) - F.col("place")).alias("cls"), "text_key")
+    return stored(classes.where(F.col("cls") != NO_ID).unionByName(numbers), "numbered-classes")
+
+
 def _lists(spread: DataFrame, percent: int) -> DataFrame:
     """(value, cls, n, own): the lists of retained values that each class enters and that hold another class too.
 
@@ -270,4 +304,4 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
 def op1_near_dedup(spark, folder: str) -> DataFrame:
     from emberlake.queries import table
 
-    return near_duplicates(table(spark, folder, "documents"))
+    return near_duplicates(table(spark, folder, "documents")).drop("text_key")

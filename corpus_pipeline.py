@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from emberlake.llm.common import stored
 from emberlake.llm.language import held_out, keep_identified, train_languages
 from emberlake.llm.line_dedup import without_repeated_lines
-from emberlake.llm.mixing import mix
-from emberlake.llm.near_dedup import near_duplicates
+from emberlake.llm.mixing import repeated_to_targets
+from emberlake.llm.near_dedup import without_near_duplicates
 from emberlake.llm.tokens import token_digests
 from emberlake.queries import Query, table
 
@@ -34,17 +34,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the least id of each group of near-duplicates. Rows that repeat an id share its fate."""
-    gone = near_duplicates(docs, percent=NEAR_PERCENT).where("NOT kept").select("doc_id").distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
+    """Keeps the document of the least id of each group of near-duplicates; without ids, one text of each group."""
+    return without_near_duplicates(docs, percent=NEAR_PERCENT)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats or drops documents so that sources meet their target weights; a document comes up to twice."""
-    copies = mix(docs).select("doc_id", "text_key", "copies").distinct()
-    key = F.xxhash64(F.lit(11), docs["text"])
-    joined = docs.join(copies, docs["doc_id"].eqNullSafe(copies["doc_id"]) & (key == copies["text_key"])).where("copies > 0")
-    return joined.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), "copies")).alias("__copy")).drop("__copy")
+    """Repeats or drops documents so that sources meet their target weights; a row comes up to twice."""
+    return repeated_to_targets(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

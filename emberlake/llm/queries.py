@@ -18,6 +18,9 @@ MODULES = {
     "op9_neighbours": "neighbours",
     "op10_substring_dedup": "substring_dedup",
     "op7_line_dedup": "line_dedup",
+    "op11_wavelet_ids": "wavelet",
+    "op12_periodic_runs": "periods",
+    "op13_conversation_trie": "prefixes",
 }
 
 

@@ -384,7 +384,7 @@ def test_registered_queries(spark, data):
     import __spark_entry__ as entry
 
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries() and "pipeline" not in entry.oracle_sql()
     docs = spark.read.parquet(f"{data}/documents.parquet").count()
     for name in ("op3_toxicity", "op4_mixing", "op5_language_id", "op6_sharding", "op8_fingerprints"):

@@ -13,10 +13,11 @@ in the shard and the shard's length (u64); then plane by plane the directory (u3
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -179,10 +180,24 @@ class Shard:
         return MAGIC + b"".join(p.tobytes() for p in parts)
 
 
+# Words that the tokenizer's normaliser leaves as they are but for case: Latin letters, digits and ASCII signs. Left to
+# the library are apostrophes, which begin pieces of their own, and "<", with which special tokens begin.
+_LATIN = "!-&(-;=-~À-ÖØ-öø-ÿ"
+_PLAIN = re.compile(f"[{_LATIN}]+")
+_PIECE = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ \t-\r]+")
+# Words between ASCII white space, and those of them that hold anything else.
+_WORD = re.compile(r"[^ \t-\r]+")
+_OTHER = re.compile(rf"(?<![^ \t-\r])[{_LATIN}]*+[^{_LATIN} \t-\r][^ \t-\r]*+")
+# Byte-level models write a byte as a sign: itself where that can be seen, else the next one from 256 on.
+_SEEN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_SIGN = {b: chr(b) for b in _SEEN} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in set(_SEEN))}
+_BYTE_SIGNS = {c: "".join(_SIGN[b] for b in chr(c).encode()) for c in range(128, 256)}
+
+
 class _Numbers(dict):
     """Numbers what it is asked for in order."""
 
-    def __missing__(self, chunk: bytes) -> int:
+    def __missing__(self, chunk: str) -> int:
         number = self[chunk] = len(self)
         return number
 
@@ -198,40 +213,60 @@ class ChunkIds:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit = Tokenizer.from_file(file), limit
-        mixed_text = "A b's\tc\n12 <|endoftext|>é é ́x あ一!? a\x0bb"
-        parts = self._ids(mixed_text.split(" ")) + self._ids([mixed_text])
+        mixed_text = "A b's\tc\n12 <|endoftext|>é é ́x あ一!? a\x0bb"
+        parts = self._library(mixed_text.split(" ")) + self._library([mixed_text])
         if sum(parts[:-1], []) != parts[-1]:
             raise ValueError("this tokenizer joins words over white space; texts can't be cut there")
         self._clear()
+        # Words of Latin letters may go to the model piece by piece if that gives what the whole library gives.
+        latin = "".join(map(chr, range(0xC0, 0x100))).replace("×", "").replace("÷", "")
+        probes = [c + "aB" + d for c in latin + "Qz7.!_~" for d in latin + "x0;#"] + ["a1234b", "x..,y", "--", "A&B", "{|}", "ÀÉ%%%"]
+        self.plain = True
+        self.plain = self._library(probes) == [sum(map(self._piece, self._cut(p)), []) for p in probes]
 
-    def _ids(self, texts: list[str]) -> list[list[int]]:
+    def _library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _piece(self, piece: str) -> list[int]:
+        return [t.id for t in self.tokenizer.model.tokenize(piece if piece.isascii() else piece.translate(_BYTE_SIGNS))]
+
+    def _cut(self, text: str) -> list[str]:
+        """The text in chunks that are encoded each for itself: lower-case pieces of plain words, other words whole."""
+        if not self.plain:
+            return _WORD.findall(text)
+        chunks, at = [], 0
+        for other in _OTHER.finditer(text):
+            chunks += _PIECE.findall(text[at : other.start()].lower())
+            chunks.append(other[0])
+            at = other.end()
+        return chunks + _PIECE.findall(text[at:].lower())
+
     def _clear(self) -> None:
         self.number = _Numbers()
         self.start, self.flat, self.size = np.zeros(1, np.int64), np.empty(0, np.uint32), 0
 
-    def _add(self, new: list[bytes]) -> None:
+    def _add(self, new: list[str]) -> None:
         """Ids of the chunks that were numbered last."""
-        ids = self._ids([c.decode() for c in new])
-        flat = np.fromiter((x for i in ids for x in i), np.uint32)
-        self.size += sum(map(len, new)) + 120 * len(new) + 4 * len(flat)
+        plain = [self.plain and _PLAIN.fullmatch(c) is not None for c in new]
+        others = iter(self._library([c for c, p in zip(new, plain) if not p]))
+        ids = [self._piece(c) if p else next(others) for c, p in zip(new, plain)]
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32)
+        self.size += sum(map(len, new)) + 150 * len(new) + 4 * len(flat)
         self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(list(map(len, ids)), dtype=np.int64)])
         self.flat = np.concatenate([self.flat, flat])
 
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         if self.size > self.limit:
             self._clear()
-        cut = [t.split() for t in texts]
-        sizes = [len(c) for c in cut]
         known = len(self.number)
-        at = np.fromiter((n for chunks in cut for n in map(self.number.__getitem__, chunks)), np.int64, sum(sizes))
+        cut = [np.fromiter(map(self.number.__getitem__, self._cut(t)), np.int64) for t in texts]
         if len(self.number) > known:
             self._add(list(islice(self.number, known, None)))
+        at = np.concatenate(cut) if cut else np.empty(0, np.int64)
         first, lengths = self.start[at], self.start[at + 1] - self.start[at]
         ends = np.concatenate([[0], np.cumsum(lengths)])
         ids = self.flat[np.repeat(first - ends[:-1], lengths) + np.arange(ends[-1])]
-        return np.split(ids, ends[np.cumsum(sizes)[:-1]]) if texts else []
+        return np.split(ids, ends[np.cumsum([len(c) for c in cut])[:-1]]) if texts else []
 
 
 @lru_cache(maxsize=2)
@@ -264,8 +299,8 @@ def write_shards(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, i
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, KINDS)], NAMES)
 
         for batch in slices(batches):
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            for doc_id, own in zip(batch.column("doc_id").to_pylist(), _chunks(tokenizer_file).encode([t or b"" for t in texts])):
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            for doc_id, own in zip(batch.column("doc_id").to_pylist(), _chunks(tokenizer_file).encode(texts)):
                 if count and count + len(own) >= shard_ids:
                     yield shard()
                     seq, before, ids, held, count = seq + 1, before + count, [], [], 0

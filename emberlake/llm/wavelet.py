@@ -15,12 +15,14 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain, islice
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,9 +34,12 @@ MAGIC = b"WAVELET1"
 # Bits that one count of the directory covers, and words of 64 bits in them.
 BLOCK, BLOCK_WORDS = 512, 8
 # Ids after which a shard is closed; documents are never divided.
-SHARD_IDS = 1 << 21
-# Bytes of a task's table of distinct chunks before it starts anew; only speed depends on it.
-TABLE_BYTES = 144 << 20
+SHARD_IDS = 1 << 19
+# Entries of a task's tables of distinct words and of their pieces, some 200 bytes each, before a table starts anew;
+# only speed depends on them.
+TABLE_WORDS, TABLE_PIECES = 700_000, 700_000
+# Bytes of text whose words are looked up together.
+TEXT_BYTES = 4 << 20
 _ONE = np.uint64(1)
 
 
@@ -50,7 +55,7 @@ class WaveletMatrix:
         width = max(int(now.max()).bit_length(), 1) if n else 1
         zeros, directories, planes = np.empty(width, np.int64), [], []
         for level in range(width):
-            bit = ((now >> np.uint32(width - 1 - level)) & np.uint32(1)).astype(bool)
+            bit = (now & np.uint32(1 << (width - 1 - level))) != 0
             packed = np.zeros(-(-max(n, 1) // BLOCK) * BLOCK // 8, np.uint8)
             packed[: -(-n // 8)] = np.packbits(bit, bitorder="little")
             words = packed.view("<u8")
@@ -58,7 +63,7 @@ class WaveletMatrix:
             directories.append(np.concatenate([[0], np.cumsum(counts)]).astype("<u4"))
             planes.append(words)
             zeros[level] = n - int(counts.sum())
-            now = np.concatenate([now[~bit], now[bit]])
+            now = now[np.concatenate([np.flatnonzero(~bit), np.flatnonzero(bit)])]
         return cls(n, zeros, directories, planes)
 
     def _ones(self, level: int, position: np.ndarray) -> np.ndarray:
@@ -182,12 +187,8 @@ class Shard:
 
 # Words that the tokenizer's normaliser leaves as they are but for case: Latin letters, digits and ASCII signs. Left to
 # the library are apostrophes, which begin pieces of their own, and "<", with which special tokens begin.
-_LATIN = "!-&(-;=-~À-ÖØ-öø-ÿ"
-_PLAIN = re.compile(f"[{_LATIN}]+")
-_PIECE = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ \t-\r]+")
-# Words between ASCII white space, and those of them that hold anything else.
-_WORD = re.compile(r"[^ \t-\r]+")
-_OTHER = re.compile(rf"(?<![^ \t-\r])[{_LATIN}]*+[^{_LATIN} \t-\r][^ \t-\r]*+")
+_PLAIN = re.compile(r"[!-&(-;=-~À-ÖØ-öø-ÿ]+")
+_PIECE = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 # Byte-level models write a byte as a sign: itself where that can be seen, else the next one from 256 on.
 _SEEN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _SIGN = {b: chr(b) for b in _SEEN} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in set(_SEEN))}
@@ -202,76 +203,81 @@ class _Numbers(dict):
         return number
 
 
-class ChunkIds:
+def _packed(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
+
+
+class WordIds:
     """Ids of texts under a tokenizer that treats the words between ASCII white space each for itself.
 
     Distinct words are encoded once a table; a text's ids are gathered from the table by its words.
     """
 
-    def __init__(self, file: str, limit: int = TABLE_BYTES) -> None:
+    def __init__(self, file: str, words: int = TABLE_WORDS, pieces: int = TABLE_PIECES) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks share the cores already
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit = Tokenizer.from_file(file), limit
+        self.tokenizer, self.words, self.pieces = Tokenizer.from_file(file), words, pieces
         mixed_text = "A b's\tc\n12 <|endoftext|>é é ́x あ一!? a\x0bb"
         parts = self._library(mixed_text.split(" ")) + self._library([mixed_text])
-        if sum(parts[:-1], []) != parts[-1]:
+        if b"".join(parts[:-1]) != parts[-1]:
             raise ValueError("this tokenizer joins words over white space; texts can't be cut there")
+        self.piece: dict[str, bytes] = {}
         self._clear()
         # Words of Latin letters may go to the model piece by piece if that gives what the whole library gives.
         latin = "".join(map(chr, range(0xC0, 0x100))).replace("×", "").replace("÷", "")
         probes = [c + "aB" + d for c in latin + "Qz7.!_~" for d in latin + "x0;#"] + ["a1234b", "x..,y", "--", "A&B", "{|}", "ÀÉ%%%"]
-        self.plain = True
-        self.plain = self._library(probes) == [sum(map(self._piece, self._cut(p)), []) for p in probes]
-
-    def _library(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _piece(self, piece: str) -> list[int]:
-        return [t.id for t in self.tokenizer.model.tokenize(piece if piece.isascii() else piece.translate(_BYTE_SIGNS))]
-
-    def _cut(self, text: str) -> list[str]:
-        """The text in chunks that are encoded each for itself: lower-case pieces of plain words, other words whole."""
-        if not self.plain:
-            return _WORD.findall(text)
-        chunks, at = [], 0
-        for other in _OTHER.finditer(text):
-            chunks += _PIECE.findall(text[at : other.start()].lower())
-            chunks.append(other[0])
-            at = other.end()
-        return chunks + _PIECE.findall(text[at:].lower())
+        self.plain = self._library(probes) == list(map(self._pieces, probes))
+
+    def _library(self, texts: list[str]) -> list[bytes]:
+        return [_packed(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _pieces(self, word: str) -> bytes:
+        """Ids of a plain word: of each of its runs of letters, digits and runs of signs."""
+        ids = []
+        for piece in _PIECE.findall(word.lower()):
+            found = self.piece.get(piece)
+            if found is None:
+                signs = piece if piece.isascii() else piece.translate(_BYTE_SIGNS)
+                found = self.piece[piece] = _packed([t.id for t in self.tokenizer.model.tokenize(signs)])
+            ids.append(found)
+        return b"".join(ids)
 
     def _clear(self) -> None:
         self.number = _Numbers()
-        self.start, self.flat, self.size = np.zeros(1, np.int64), np.empty(0, np.uint32), 0
+        self.start, self.flat = np.zeros(1, np.int64), np.empty(0, np.uint32)
 
     def _add(self, new: list[str]) -> None:
-        """Ids of the chunks that were numbered last."""
-        plain = [self.plain and _PLAIN.fullmatch(c) is not None for c in new]
-        others = iter(self._library([c for c, p in zip(new, plain) if not p]))
-        ids = [self._piece(c) if p else next(others) for c, p in zip(new, plain)]
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32)
-        self.size += sum(map(len, new)) + 150 * len(new) + 4 * len(flat)
-        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(list(map(len, ids)), dtype=np.int64)])
-        self.flat = np.concatenate([self.flat, flat])
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if self.size > self.limit:
+        """Ids of the words that were numbered last."""
+        if len(self.piece) > self.pieces:
+            self.piece.clear()
+        plain = [self.plain and _PLAIN.fullmatch(w) is not None for w in new]
+        others = iter(self._library([w for w, p in zip(new, plain) if not p]))
+        ids = [self._pieces(w) if p else next(others) for w, p in zip(new, plain)]
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(lengths)])
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(ids), np.uint32)])
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text; null and empty texts have none. Arrow finds the distinct words of all texts together."""
+        if len(self.number) > self.words:
             self._clear()
+        words = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        distinct = words.flatten().dictionary_encode()
         known = len(self.number)
-        cut = [np.fromiter(map(self.number.__getitem__, self._cut(t)), np.int64) for t in texts]
+        numbers = np.fromiter(map(self.number.__getitem__, distinct.dictionary.to_pylist()), np.int64)
         if len(self.number) > known:
             self._add(list(islice(self.number, known, None)))
-        at = np.concatenate(cut) if cut else np.empty(0, np.int64)
+        at = numbers[distinct.indices.to_numpy()]
         first, lengths = self.start[at], self.start[at + 1] - self.start[at]
         ends = np.concatenate([[0], np.cumsum(lengths)])
         ids = self.flat[np.repeat(first - ends[:-1], lengths) + np.arange(ends[-1])]
-        return np.split(ids, ends[np.cumsum([len(c) for c in cut])[:-1]]) if texts else []
+        return np.split(ids, ends[np.cumsum(words.value_lengths().to_numpy())[:-1]]) if len(texts) else []
 
 
 @lru_cache(maxsize=2)
-def _chunks(file: str) -> ChunkIds:
-    return ChunkIds(file)
+def _words(file: str) -> WordIds:
+    return WordIds(file)
 
 
 def write_shards(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", shard_ids: int = SHARD_IDS) -> None:
@@ -298,9 +304,8 @@ def write_shards(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, i
             columns = [[part], [seq], [before], [count], [len(ids)], [Shard.encode(ids, held)]]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, KINDS)], NAMES)
 
-        for batch in slices(batches):
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for doc_id, own in zip(batch.column("doc_id").to_pylist(), _chunks(tokenizer_file).encode(texts)):
+        for batch in slices(batches, limit=TEXT_BYTES):
+            for doc_id, own in zip(batch.column("doc_id").to_pylist(), _words(tokenizer_file).encode(batch.column("text"))):
                 if count and count + len(own) >= shard_ids:
                     yield shard()
                     seq, before, ids, held, count = seq + 1, before + count, [], [], 0

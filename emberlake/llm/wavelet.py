@@ -37,7 +37,7 @@ BLOCK, BLOCK_WORDS = 512, 8
 SHARD_IDS = 1 << 19
 # Entries of a task's tables of distinct words and of their pieces, some 200 bytes each, before a table starts anew;
 # only speed depends on them.
-TABLE_WORDS, TABLE_PIECES = 700_000, 700_000
+TABLE_WORDS, TABLE_PIECES = 300_000, 450_000
 # Bytes of text whose words are looked up together.
 TEXT_BYTES = 4 << 20
 _ONE = np.uint64(1)

@@ -1,24 +1,46 @@
-"""Writes to lake tables: overwrite, partitioned overwrite, append of new keys, upsert; all staged and committed."""
+"""Writes to lake tables: overwrite, partitioned overwrite, append of new keys, upsert.
+
+Every write adds folders that no version names yet and then one small file that makes them the table's (see
+``emberlake.sources.tables``). So a run that dies changes nothing, readers see one version or the next, and the driver's
+work grows with the partitions written, not with files. One writer at a time; a second one that commits first raises.
+"""
 
 from __future__ import annotations
 
-import json
+import uuid
+from collections import Counter
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from emberlake.operators.lookup import require_unique
+from emberlake.operators.lookup import require_unique, sized
 from emberlake.operators.merge import merge_rows, missing_rows
 from emberlake.session import materialised
-from emberlake.sources.tables import file_system, read_table, table_exists
-
-# Files put in place or removed at the same time; a move may be a copy in some file systems.
-MOVES_AT_A_TIME = 16
-
-# File that marks a staging folder as complete: what replaces what.
-_MANIFEST = "_MANIFEST"
+from emberlake.sources.tables import (
+    VERSION_COLUMN,
+    VERSIONS,
+    Version,
+    current_version,
+    file_system,
+    paths_like,
+    read_folders,
+    read_table,
+    table_exists,
+    version_file,
+    version_numbers,
+    version_of,
+)
+
+# Versions before the current one whose folders stay, for readers under way.
+KEPT_VERSIONS = 2
+# Folders that merges and appends may leave in one partition before the next merge joins them.
+CROWDED = 8
+
+
+class ConcurrentWriteError(RuntimeError):
+    """Another writer committed to the table first."""
 
 
 def laid_out(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -35,15 +57,14 @@ def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     """Replace all rows of a table, which ``df`` may read.
 
     ``sort_by`` orders rows within each file so that scans filtering on those
-    columns skip row groups. The new files are complete beside the table
-    before any old one goes; a run that dies earlier leaves the old rows, one
-    that dies later is finished by the next write.
+    columns skip row groups. A run that dies leaves the old rows; a reader
+    under way goes on reading them.
     """
-    spark = df.sparkSession
-    finish_commit(spark, path)
-    _stage(df, path, partition_by, sort_by)
-    fs, root = file_system(spark, path)
-    _commit(spark, path, list(_data_files(fs, root)) if fs.exists(root) else [])
+    path, spark = path.rstrip("/"), df.sparkSession
+    before = current_version(spark, path)
+    folders = _write(df, path, partition_by, sort_by)
+    number = before.number + 1 if before else 0
+    _commit(spark, path, Version(number, df.schema, tuple(partition_by), tuple(folders)))
 
 
 def _partition_text(names: Sequence[str]) -> Column:
@@ -62,15 +83,19 @@ def _partitions(df: DataFrame, names: Sequence[str]) -> list[Row]:
     return df.select(*[F.col(n).cast("string").alias(f"__{n}") for n in names]).distinct().collect()
 
 
-def _read_target(spark: SparkSession, path: str, source: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """The table with partition columns of the source's types, which folder names alone do not tell."""
-    if not partition_by:
-        return read_table(spark, path)
-    schema = read_table(spark, path).schema
-    for f in schema.fields:
-        if f.name in partition_by:
-            f.dataType = source.schema[f.name].dataType
-    return spark.read.schema(schema).parquet(path)
+def _versioned(spark: SparkSession, path: str, partition_by: Sequence[str]) -> Version:
+    """The table's version; a folder that another writer filled, or one of other partitions, is first rewritten."""
+    version = current_version(spark, path)
+    if version is None or version.partition_by != tuple(partition_by):
+        overwrite_table(read_table(spark, path), path, partition_by)
+        version = current_version(spark, path)
+    return version
+
+
+def _typed_as(source: DataFrame, version: Version) -> DataFrame:
+    """The source's rows under the table's columns and types."""
+    types = {f.name: f.dataType for f in version.schema.fields}
+    return source.select(*[F.col(n) if source.schema[n].dataType == t else F.col(n).cast(t).alias(n) for n, t in types.items()])
 
 
 def append_missing(source: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str] = ()) -> None:
@@ -79,20 +104,23 @@ def append_missing(source: DataFrame, path: str, keys: Sequence[str], partition_
     Reads only key columns of the partitions that ``source`` touches and
     rewrites nothing. Equal keys must imply equal partition values. Duplicate
     source keys raise, on the first load too. Repeating an interrupted call
-    adds what was still missing.
+    adds what was missing; without new keys nothing is written.
     """
-    spark = source.sparkSession
-    finish_commit(spark, path)
+    path, spark = path.rstrip("/"), source.sparkSession
     with materialised(source, "append") as fresh:
         require_unique(fresh, keys, "source")
         if not table_exists(spark, path):
             overwrite_table(fresh, path, partition_by)
             return
-        target = _read_target(spark, path, fresh, partition_by)
+        version = _versioned(spark, path, partition_by)
+        target = read_folders(spark, path, version, version.folders)
         if partition_by:
             target = _only_partitions(target, partition_by, _partitions(fresh, partition_by))
-        rows = laid_out(missing_rows(fresh, target, keys), partition_by)
-        rows.write.mode("append").partitionBy(*partition_by).parquet(path)
+        with materialised(missing_rows(_typed_as(fresh, version), target, keys), "append-new") as rows:
+            if rows.isEmpty():
+                return
+            folders = _write(rows, path, partition_by)
+        _commit(spark, path, Version(version.number + 1, version.schema, version.partition_by, (*version.folders, *folders)))
 
 
 def upsert_table(
@@ -104,137 +132,126 @@ def upsert_table(
 ) -> None:
     """Merge ``source`` into a table: matched rows are replaced, unmatched ones added.
 
-    A table that does not exist yet is created from ``source`` as it is. Only
-    touched partitions are read in full and rewritten, however many they are:
-    those of ``source`` plus those that hold matched keys. Finding the latter
-    scans the table's key columns; ``keys_fix_partition=True`` skips that scan
+    A table that does not exist yet is created from ``source`` as it is. Source
+    rows that the table holds as they are, found by hashes of their columns,
+    are put aside first; without any other row nothing is written. Folders that
+    hold keys of the others are rewritten; new keys get folders of their own,
+    and partitions without changes are left alone. Comparing reads the whole
+    table; ``keys_fix_partition=True`` limits it to the source's partitions
     where a key can occur in one partition only. Duplicate source keys raise,
-    on the first load too. The merged partitions are complete beside the table
-    before any file is replaced; a run that dies while replacing them is
-    finished by the next call. One writer at a time; readers may see a
-    replacement under way.
+    on the first load too. A null key matches nothing, so such rows are always
+    added. A run that dies changes nothing.
     """
-    spark = source.sparkSession
-    finish_commit(spark, path)
+    path, spark = path.rstrip("/"), source.sparkSession
     with materialised(source, "upsert") as fresh:
         require_unique(fresh, keys, "source")
         if not table_exists(spark, path):
             overwrite_table(fresh, path, partition_by)
             return
-        target = _read_target(spark, path, fresh, partition_by)
-        if partition_by:
-            target = _only_partitions(target, partition_by, _touched(target, fresh, keys, partition_by, keys_fix_partition))
-        old = _files_of(spark, target, path)
-        _stage(merge_rows(target, fresh, keys), path, partition_by)
-        _commit(spark, path, old)
-
-
-def _touched(
-    target: DataFrame, fresh: DataFrame, keys: Sequence[str], partition_by: Sequence[str], keys_fix_partition: bool
-) -> list[Row]:
-    parts = fresh.select(*partition_by)
-    if not keys_fix_partition:
-        columns = dict.fromkeys([*keys, *partition_by])
-        matched = target.select(*columns).join(fresh.select(*keys), list(keys), "left_semi")
-        parts = parts.unionByName(matched.select(*partition_by))
-    return _partitions(parts, partition_by)
-
-
-def _staging(path: str) -> str:
-    parent, _, name = path.rstrip("/").rpartition("/")
-    return f"{parent}/_staging_{name}"
-
-
-def _stage(df: DataFrame, path: str, partition_by: Sequence[str], sort_by: Sequence[str] = ()) -> None:
-    """Write rows beside the table; what an earlier run left there without a manifest is discarded."""
+        version = _versioned(spark, path, partition_by)
+        target = read_folders(spark, path, version, version.folders)
+        if partition_by and keys_fix_partition:
+            target = _only_partitions(target, partition_by, _partitions(fresh, partition_by))
+        with materialised(_changed(_typed_as(fresh, version), target, keys), "upsert-changed") as changed:
+            if changed.isEmpty():
+                return
+            hit = {*_folders_with(target, changed, keys, path, version), *_crowded(version)}
+            kept = read_folders(spark, path, version, sorted(hit))
+            folders = _write(merge_rows(kept, changed, keys) if hit else changed, path, partition_by)
+        rest = [f for f in version.folders if f not in hit]
+        _commit(spark, path, Version(version.number + 1, version.schema, version.partition_by, (*rest, *folders)))
+
+
+def _changed(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Source rows that the target lacks or holds with other values; rows are compared by key and hash."""
+    others = [c for c in source.columns if c not in keys]
+    digest = F.xxhash64(*others) if others else F.lit(0).cast("long")
+    hashed = source.withColumn("__hash", digest)
+    return missing_rows(hashed, target.withColumn("__hash", digest), [*keys, "__hash"]).select(*source.columns)
+
+
+def _folders_with(target: DataFrame, rows: DataFrame, keys: Sequence[str], path: str, version: Version) -> list[str]:
+    """The version's folders in which keys of ``rows`` occur; as many names as there are folders reach the driver."""
+    if not version.folders:
+        return []
+    folder = F.regexp_extract("_metadata.file_path", r"^(.*)/[^/]*$", 1).alias("folder")
+    held = target.select(*keys, folder).join(sized(rows.select(*keys)), list(keys), "left_semi")
+    depth = len(version.partition_by) + 1
+    names = {"/".join(unquote(r.folder).split("/")[-depth:]) for r in held.select("folder").distinct().collect()}
+    return [f for f in version.folders if f in names]
+
+
+def _crowded(version: Version) -> list[str]:
+    """Folders of partitions that have many."""
+    count = Counter(f.rpartition("/")[0] for f in version.folders)
+    return [f for f in version.folders if count[f.rpartition("/")[0]] >= CROWDED]
+
+
+def _write(df: DataFrame, path: str, partition_by: Sequence[str], sort_by: Sequence[str] = ()) -> list[str]:
+    """Write rows to folders of a fresh name; the folders, below ``path``."""
+    name = uuid.uuid4().hex[:16]
+    own = f"{VERSION_COLUMN}={name}"
     rows = laid_out(df, partition_by)
+    if not partition_by:
+        if sort_by:
+            rows = rows.sortWithinPartitions(*sort_by)
+        rows.write.parquet(f"{path}/{own}")
+        return [own]
+    label = F.lit(name)
     if sort_by:
-        rows = rows.sortWithinPartitions(*partition_by, *sort_by)
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.partitionBy(*partition_by).parquet(_staging(path))
-
-
-def _base(fs, root) -> str:
-    return fs.getFileStatus(root).getPath().toUri().getPath().rstrip("/") + "/"
-
-
-def _data_files(fs, root) -> dict[str, int]:
-    """Relative names and sizes of the files that a scan of ``root`` reads."""
-    base, found, listing = _base(fs, root), {}, fs.listFiles(root, True)
-    while listing.hasNext():
-        status = listing.next()
-        name = status.getPath().toUri().getPath()[len(base) :]
-        if not any(part.startswith((".", "_")) for part in name.split("/")):
-            found[name] = status.getLen()
-    return found
-
-
-def _files_of(spark: SparkSession, rows: DataFrame, path: str) -> list[str]:
-    """Relative names of the files that hold rows of a scan; column pruning leaves only their metadata to read."""
-    fs, root = file_system(spark, path)
-    base = _base(fs, root)
-    found = rows.select("_metadata.file_path").distinct().collect()
-    return [spark._jvm.java.net.URI(r.file_path).getPath()[len(base) :] for r in found]
-
-
-def _commit(spark: SparkSession, path: str, old: Sequence[str]) -> None:
-    """Declare the staged files the table's in place of ``old`` ones, then make it so."""
-    staging = _staging(path)
-    fs, root = file_system(spark, staging)
-    text = json.dumps({"new": _data_files(fs, root), "old": sorted(old)}) + "\nend\n"
-    stream = fs.create(file_system(spark, f"{staging}/{_MANIFEST}")[1])
-    stream.write(bytearray(text.encode()))
-    stream.close()
-    finish_commit(spark, path)
-
-
-def _read_manifest(spark: SparkSession, staging: str) -> dict | None:
-    """The manifest of a complete staging folder; None if there is none or its writer died."""
-    fs, handle = file_system(spark, f"{staging}/{_MANIFEST}")
-    if not fs.exists(handle):
-        return None
-    stream = fs.open(handle)
-    text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    stream.close()
-    return json.loads(text.partition("\n")[0]) if text.endswith("\nend\n") else None
+        # The writer wants rows by all folder columns. A constant would leave the order, and the writer sort again.
+        label = F.concat(label, F.substring(F.monotonically_increasing_id().cast("string"), 1, 0))
+    rows = rows.withColumn(VERSION_COLUMN, label)
+    if sort_by:
+        rows = rows.sortWithinPartitions(*partition_by, VERSION_COLUMN, *sort_by)
+    rows.write.mode("append").partitionBy(*partition_by, VERSION_COLUMN).parquet(path)
+    found = paths_like(df.sparkSession, f"{path}/{'*/' * len(partition_by)}{own}")
+    return sorted("/".join(p.split("/")[-len(partition_by) - 1 :]) for p in found)
 
 
-def _place(spark: SparkSession, staging: str, path: str, name: str, size: int) -> None:
-    """Move one staged file; done already if the table holds it in full."""
-    fs, target = file_system(spark, f"{path}/{name}")
-    _, source = file_system(spark, f"{staging}/{name}")
+def _commit(spark: SparkSession, path: str, version: Version) -> None:
+    """Make a version the table by one rename, then remove what no kept version names."""
+    fs, target = file_system(spark, version_file(path, version.number))
     if fs.exists(target):
-        if fs.getFileStatus(target).getLen() == size:
-            return
-        fs.delete(target, False)  # part of a copy that was cut off
-    if not fs.exists(source) or fs.getFileStatus(source).getLen() != size:
-        raise IOError(f"staged file {source.toString()} is missing or cut off; the old files are still in place")
-    fs.mkdirs(target.getParent())
-    if not fs.rename(source, target):
-        raise IOError(f"could not move {source.toString()} to {target.toString()}; call again to finish")
-
-
-def _remove(spark: SparkSession, path: str, name: str) -> None:
-    fs, handle = file_system(spark, f"{path}/{name}")
-    fs.delete(handle, False)
-    folder = handle.getParent()
-    if "/" in name and fs.exists(folder) and not fs.listStatus(folder):
-        fs.delete(folder, False)
+        raise ConcurrentWriteError(f"version {version.number} of {path} has been written by another run")
+    _, draft = file_system(spark, f"{path}/{VERSIONS}/.{uuid.uuid4().hex}")
+    stream = fs.create(draft)
+    stream.write(bytearray(version.to_json().encode()))
+    stream.close()
+    if not fs.rename(draft, target):
+        raise ConcurrentWriteError(f"version {version.number} of {path} could not be put in place")
+    clean_versions(spark, path)
 
 
-def finish_commit(spark: SparkSession, path: str) -> None:
-    """Put completely staged files in place, then remove those they replace; does nothing if none are staged.
+def clean_versions(spark: SparkSession, path: str, keep: int = KEPT_VERSIONS) -> None:
+    """Remove folders that neither the current version nor the ``keep`` ones before it name.
 
-    No old file goes before every new one is in the table in full, so a run
-    that dies anywhere can be repeated. Names of data files are never used twice.
+    Those of writes that died are among them. Readers of still older versions fail. Files that another writer put there
+    before the first version go too.
     """
-    staging = _staging(path)
-    manifest = _read_manifest(spark, staging)
-    if manifest is None:
+    numbers = version_numbers(spark, path)
+    versions = [version_of(spark, path, n) for n in numbers[-keep - 1 :]]
+    if not versions:
         return
-    with ThreadPoolExecutor(MOVES_AT_A_TIME) as pool:
-        list(pool.map(lambda item: _place(spark, staging, path, *item), manifest["new"].items()))
-        list(pool.map(lambda name: _remove(spark, path, name), manifest["old"]))
-    fs, handle = file_system(spark, staging)
-    fs.mkdirs(file_system(spark, path)[1])
+    named = {f for v in versions for f in v.folders}
+    for depth in {len(v.partition_by) for v in versions}:
+        for found in paths_like(spark, f"{path}/{'*/' * depth}{VERSION_COLUMN}=*"):
+            if "/".join(found.split("/")[-depth - 1 :]) not in named:
+                _remove(spark, found)
+    if numbers[0] == 0 and len(numbers) == 1:
+        _remove_foreign(spark, path, len(versions[0].partition_by))
+    for number in numbers[: -keep - 1]:
+        _remove(spark, version_file(path, number))
+
+
+def _remove_foreign(spark: SparkSession, path: str, depth: int) -> None:
+    """Remove data files that lie beside the folders of the first version."""
+    for level in range(depth + 1):
+        for found in paths_like(spark, f"{path}/{'*/' * level}*.{{parquet,json,csv}}"):
+            if f"/{VERSIONS}/" not in found and f"{VERSION_COLUMN}=" not in found:
+                _remove(spark, found)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    fs, handle = file_system(spark, path)
     fs.delete(handle, True)

@@ -1,12 +1,37 @@
-"""Lake tables and SQL over them."""
+"""Lake tables and SQL over them.
+
+A table that the library writes has versions. Each write puts its files into folders of their own,
+``year=2024/month=1/__version=x``, below the partitions it touches, and then adds one small file to ``_versions`` that
+lists the folders of the whole table, its schema and its partition columns. The file of the highest number is the
+table; a reader looks it up once and reads those folders, whatever is written meanwhile.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import json
+from collections.abc import Iterable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 FORMAT = "parquet"
+VERSIONS = "_versions"
+VERSION_COLUMN = "__version"
+
+
+@dataclass(frozen=True)
+class Version:
+    """What a table consists of: folders below its path, each with the files of one write to one partition."""
+
+    number: int
+    schema: T.StructType
+    partition_by: tuple[str, ...]
+    folders: tuple[str, ...]
+
+    def to_json(self) -> str:
+        whole = {"schema": self.schema.jsonValue(), "partition_by": self.partition_by, "folders": self.folders}
+        return json.dumps(whole)
 
 
 def file_system(spark: SparkSession, path: str):
@@ -15,17 +40,65 @@ def file_system(spark: SparkSession, path: str):
     return handle.getFileSystem(spark._jsc.hadoopConfiguration()), handle
 
 
+def paths_like(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern."""
+    fs, handle = file_system(spark, pattern)
+    return [status.getPath().toString() for status in fs.globStatus(handle) or ()]
+
+
+def version_numbers(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the versions that are still kept, in order."""
+    names = (p.rpartition("/")[2] for p in paths_like(spark, f"{path}/{VERSIONS}/*.json"))
+    return sorted(int(n.partition(".")[0]) for n in names)
+
+
+def version_file(path: str, number: int) -> str:
+    return f"{path}/{VERSIONS}/{number:012d}.json"
+
+
+def version_of(spark: SparkSession, path: str, number: int) -> Version:
+    fs, handle = file_system(spark, version_file(path, number))
+    stream = fs.open(handle)
+    try:
+        whole = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+    return Version(number, T.StructType.fromJson(whole["schema"]), tuple(whole["partition_by"]), tuple(whole["folders"]))
+
+
+def current_version(spark: SparkSession, path: str) -> Version | None:
+    """The table's version now; None for a folder that another writer filled."""
+    numbers = version_numbers(spark, path)
+    return version_of(spark, path, numbers[-1]) if numbers else None
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether a table has been written to ``path``; decides between full and incremental load."""
     fs, handle = file_system(spark, path)
     if not fs.exists(handle):
         return False
-    return any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(handle))
+    if version_numbers(spark, path):
+        return True
+    # Folders of a first write that died belong to no version.
+    names = [s.getPath().getName() for s in fs.listStatus(handle)]
+    return any(not n.startswith(("_", ".")) for n in names)
+
+
+def read_folders(spark: SparkSession, path: str, version: Version, folders: Iterable[str]) -> DataFrame:
+    """Rows of some of a version's folders, partition columns last."""
+    names = [f.name for f in version.schema.fields if f.name not in version.partition_by] + list(version.partition_by)
+    paths = [f"{path}/{f}" for f in folders]
+    if not paths:
+        return spark.createDataFrame([], version.schema).select(*names)
+    schema = T.StructType([*version.schema.fields, T.StructField(VERSION_COLUMN, T.StringType())])
+    return spark.read.schema(schema).option("basePath", path).parquet(*paths).select(*names)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = FORMAT) -> DataFrame:
-    """A lake table as DataFrame."""
-    return spark.read.format(fmt).load(path)
+    """A lake table as DataFrame, in the version it has now; folders of other writers are read as they are."""
+    path = path.rstrip("/")
+    version = current_version(spark, path) if fmt == FORMAT else None
+    return spark.read.format(fmt).load(path) if version is None else read_folders(spark, path, version, version.folders)
 
 
 def query(spark: SparkSession, tables: Mapping[str, DataFrame], text: str, **args) -> DataFrame:

@@ -9,8 +9,9 @@ from emberlake import session
 from emberlake.operators.lookup import DuplicateKeyError
 from emberlake.session import require_utc, scratch_folder
 from emberlake.sinks import tables as sink
-from emberlake.sinks.tables import append_missing, finish_commit, overwrite_table, upsert_table
-from emberlake.sources.tables import query, read_table, table_exists
+from emberlake.sinks.tables import ConcurrentWriteError, append_missing, clean_versions, overwrite_table, upsert_table
+from emberlake.sources import tables as source
+from emberlake.sources.tables import current_version, query, read_table, table_exists
 
 
 def frame(spark, rows, columns="k int, v string, p int"):
@@ -60,7 +61,7 @@ def test_hot_partition_is_split_over_files(spark, tmp_path):
         overwrite_table(rows, path, ["p"])
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    files = [f for f in os.listdir(f"{path}/p=0") if f.endswith(".parquet")]
+    files = [f for f in data_files(path) if f.startswith("/p=0/")]
     assert len(files) > 4
     assert read_table(spark, path).count() == 200000
 
@@ -76,7 +77,7 @@ def test_upsert_and_rerun(spark, tmp_path, partition_by):
         assert stored(spark, path) == sorted(
             [(1, "old", 1), (2, "new", 1), (3, "old", 2), (5, "new", 3), (4, "new", None)], key=repr
         )
-    assert not os.path.exists(tmp_path / "_staging_t")
+        assert current_version(spark, path).number == 1
 
 
 def test_upsert_leaves_other_partitions_alone(spark, tmp_path):
@@ -114,23 +115,27 @@ def test_upsert_text_partitions(spark, tmp_path):
     day = datetime.date(2024, 1, 2)
     upsert_table(frame(spark, [(1, "old", "007", day), (2, "old", "a/b=c:d %", day)], columns), path, ["k"], ["p", "d"])
     upsert_table(frame(spark, [(1, "new", "a/b=c:d %", day), (2, "new", "8", None)], columns), path, ["k"], ["p", "d"])
-    schema = "k int, v string, p string, d date"
-    got = rows_of(spark.read.schema(schema).parquet(path))
-    assert got == [(1, "new", "a/b=c:d %", day), (2, "new", "8", None)]
+    assert stored(spark, path, "k", "v", "p", "d") == [(1, "new", "a/b=c:d %", day), (2, "new", "8", None)]
 
 
 def data_files(path):
     return {os.path.join(d, f)[len(path) :] for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
 
 
+def named_files(spark, path):
+    """Files of the current version."""
+    folders = set(current_version(spark, path).folders)
+    return {f for f in data_files(path) if f[1:].rpartition("/")[0] in folders}
+
+
 def test_merge_into_many_partitions_leaves_the_others_alone(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = spark.range(3000).selectExpr("cast(id as int) AS k", "'old' AS v", "cast(id % 1000 as int) AS p")
     overwrite_table(rows.repartition(4, "p"), path, ["p"])
-    before = data_files(path)
+    before = named_files(spark, path)
     fresh = spark.range(700).selectExpr("cast(id as int) AS k", "'new' AS v", "cast(id as int) AS p").repartition(2, "p")
     upsert_table(fresh, path, ["k"], ["p"], keys_fix_partition=True)
-    after = data_files(path)
+    after = named_files(spark, path)
     kept = {f for f in before if int(f.split("/")[1][2:]) >= 700}
     assert before & after == kept and len(kept) >= 300
     assert read_table(spark, path).where("v = 'new'").count() == 700
@@ -147,29 +152,17 @@ def test_duplicate_source_keys_raise_and_change_nothing(spark, tmp_path):
     assert stored(spark, path) == [(1, "old", 1)]
 
 
-def dying(monkeypatch, name, after):
-    """Let ``name`` of the sink be called ``after`` times, then die."""
-    calls, real = [], getattr(sink, name)
-
-    def run(*args):
-        if len(calls) >= after:
-            raise KeyboardInterrupt
-        calls.append(args)
-        return real(*args)
-
-    monkeypatch.setattr(sink, name, run)
-    monkeypatch.setattr(sink, "MOVES_AT_A_TIME", 1)
-
-
 OLD, NEW = [(i, "old", i % 4) for i in range(8)], [(i, "new", i % 4 + 1) for i in range(4)]
 MERGED = sorted(NEW + OLD[4:], key=repr)
 REPLACED = sorted(NEW, key=repr)
 
 
-@pytest.mark.parametrize("step", [("_stage", 0), ("_commit", 0), ("_place", 0), ("_place", 1), ("_place", 3), ("_remove", 0), ("_remove", 2)])
+@pytest.mark.parametrize("step", ["_write", "_commit", "clean_versions"])
+@pytest.mark.parametrize("written", [False, True])
 @pytest.mark.parametrize("partition_by", [[], ["p"]])
 @pytest.mark.parametrize("merge", [True, False])
-def test_a_killed_write_leaves_the_old_rows_or_is_finished(spark, tmp_path, monkeypatch, step, partition_by, merge):
+def test_a_killed_write_leaves_the_old_rows_or_the_new(spark, tmp_path, monkeypatch, step, written, partition_by, merge):
+    """Killed before or after each step: only the rename inside the commit changes the table."""
     path = str(tmp_path / "t")
     overwrite_table(frame(spark, OLD).repartition(4, "k"), path, partition_by)
 
@@ -177,41 +170,128 @@ def test_a_killed_write_leaves_the_old_rows_or_is_finished(spark, tmp_path, monk
         rows = frame(spark, NEW).repartition(4, "k")
         upsert_table(rows, path, ["k"], partition_by) if merge else overwrite_table(rows, path, partition_by)
 
-    killed = False
+    real = getattr(sink, step)
+
+    def dies(*args):
+        if written:
+            real(*args)
+        raise KeyboardInterrupt
+
     with monkeypatch.context() as patch:
-        dying(patch, *step)
-        try:
+        patch.setattr(sink, step, dies)
+        with pytest.raises(KeyboardInterrupt):
             write()
-        except KeyboardInterrupt:
-            killed = True
     wanted = MERGED if merge else REPLACED
-    if step[0] in ("_stage", "_commit"):
-        assert killed and stored(spark, path) == sorted(OLD, key=repr)
-        write()
-    finish_commit(spark, path)
-    assert stored(spark, path) == wanted
-    finish_commit(spark, path)
+    done = step == "clean_versions" or (step == "_commit" and written)
+    assert stored(spark, path) == (wanted if done else sorted(OLD, key=repr))
     write()
     assert stored(spark, path) == wanted
-    assert not os.path.exists(tmp_path / "_staging_t")
+    clean_versions(spark, path, keep=0)
+    assert data_files(path) == named_files(spark, path)
+    assert stored(spark, path) == wanted
 
 
-def test_lost_staged_files_stop_the_commit(spark, tmp_path, monkeypatch):
-    """Nothing old is removed as long as something new is missing."""
+def test_readers_keep_their_version(spark, tmp_path):
     path = str(tmp_path / "t")
     overwrite_table(frame(spark, OLD), path, ["p"])
-    with monkeypatch.context() as patch:
-        dying(patch, "_place", 0)
-        with pytest.raises(KeyboardInterrupt):
-            upsert_table(frame(spark, NEW), path, ["k"], ["p"])
-    lost = sorted((tmp_path / "_staging_t").glob("p=*/*.parquet"))[0]
-    lost.rename(tmp_path / "aside")
-    with pytest.raises(OSError):
-        finish_commit(spark, path)
-    assert set(OLD) <= set(stored(spark, path))
-    (tmp_path / "aside").rename(lost)
-    finish_commit(spark, path)
+    before = read_table(spark, path)
+    upsert_table(frame(spark, NEW), path, ["k"], ["p"])
+    overwrite_table(frame(spark, [(99, "other", 1)]), path, ["p"])
+    assert rows_of(before) == sorted(OLD, key=repr)
+    assert stored(spark, path) == [(99, "other", 1)]
+
+
+def test_old_versions_are_removed(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for i in range(6):
+        overwrite_table(frame(spark, [(i, "x", 1)]), path, ["p"])
+    assert source.version_numbers(spark, path) == [3, 4, 5]
+    assert len(os.listdir(f"{path}/p=1")) == 3
+
+
+def test_a_second_writer_raises(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    overwrite_table(frame(spark, OLD), path)
+    real = sink._write
+
+    def overtaken(*args):
+        monkeypatch.setattr(sink, "_write", real)
+        folders = real(*args)
+        overwrite_table(frame(spark, [(1, "first", 1)]), path)
+        return folders
+
+    monkeypatch.setattr(sink, "_write", overtaken)
+    with pytest.raises(ConcurrentWriteError):
+        overwrite_table(frame(spark, NEW), path)
+    assert stored(spark, path) == [(1, "first", 1)]
+
+
+@pytest.mark.parametrize("partition_by", [[], ["p"]])
+def test_folders_of_other_writers_are_taken_over(spark, tmp_path, partition_by):
+    path = str(tmp_path / "t")
+    frame(spark, OLD).write.partitionBy(*partition_by).parquet(path)
+    assert stored(spark, path) == sorted(OLD, key=repr)
+    upsert_table(frame(spark, NEW), path, ["k"], partition_by)
     assert stored(spark, path) == MERGED
+    clean_versions(spark, path, keep=0)
+    assert data_files(path) == named_files(spark, path)
+
+
+def test_a_table_without_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    overwrite_table(frame(spark, OLD).where("k < 0"), path, ["p"])
+    assert table_exists(spark, path) and read_table(spark, path).count() == 0
+    assert dict(read_table(spark, path).dtypes) == {"k": "int", "v": "string", "p": "int"}
+    upsert_table(frame(spark, NEW), path, ["k"], ["p"])
+    assert stored(spark, path) == REPLACED
+
+
+def test_unchanged_rows_rewrite_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = [(i, f"v{i}", i % 10) for i in range(100)] + [(1000, None, None)]
+    upsert_table(frame(spark, rows), path, ["k"], ["p"])
+    before = named_files(spark, path)
+    upsert_table(frame(spark, rows), path, ["k"], ["p"], keys_fix_partition=True)
+    assert named_files(spark, path) == before and current_version(spark, path).number == 0
+    # One changed row, one that moves, one that is new: only folders that hold the old ones go.
+    fresh = [*rows[:50], (51, "changed", 1), (52, "v52", 7), (200, "new", 9), (1000, None, None)]
+    upsert_table(frame(spark, [r for r in fresh]), path, ["k"], ["p"])
+    gone = {f.split("/")[1] for f in before - named_files(spark, path)}
+    assert gone == {"p=1", "p=2"}
+    wanted = {r[0]: r for r in [*rows, *fresh]}
+    assert stored(spark, path) == sorted(wanted.values(), key=repr)
+
+
+def test_crowded_partitions_are_joined(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for i in range(sink.CROWDED + 3):
+        upsert_table(frame(spark, [(i, "x", 1)]), path, ["k"], ["p"])
+        assert len(current_version(spark, path).folders) <= sink.CROWDED
+    assert len(stored(spark, path)) == sink.CROWDED + 3
+
+
+def test_driver_calls_do_not_grow_with_files(spark, tmp_path, monkeypatch):
+    calls = []
+    for module in (sink, source):
+        real = module.file_system
+        monkeypatch.setattr(module, "file_system", lambda *a, real=real: calls.append(a) or real(*a))
+    counts = []
+    for parts in (1, 40):
+        calls.clear()
+        overwrite_table(spark.range(4000).repartition(parts), str(tmp_path / f"t{parts}"))
+        counts.append(len(calls))
+    assert counts[0] == counts[1] and len(data_files(str(tmp_path / "t40"))) > len(data_files(str(tmp_path / "t1")))
+
+
+def test_rows_are_sorted_within_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    overwrite_table(spark.range(20000).selectExpr("id AS k", "hash(id) AS v", "id % 3 AS p"), path, ["p"], sort_by=["v"])
+    folders = current_version(spark, path).folders
+    for folder in folders:
+        for name in os.listdir(f"{path}/{folder}"):
+            if name.endswith(".parquet"):
+                values = [r.v for r in spark.read.parquet(f"{path}/{folder}/{name}").collect()]
+                assert values == sorted(values)
 
 
 def test_a_failing_job_leaves_the_old_rows(spark, tmp_path):
@@ -229,14 +309,6 @@ def test_an_overwrite_may_read_its_own_table(spark, tmp_path):
     assert stored(spark, path) == sorted(OLD[:3], key=repr)
 
 
-def test_incomplete_staging_is_discarded(spark, tmp_path):
-    path = str(tmp_path / "t")
-    upsert_table(frame(spark, [(1, "old", 1)]), path, ["k"], ["p"])
-    overwrite_table(frame(spark, [(9, "junk", 7)]), str(tmp_path / "_staging_t"), ["p"])
-    upsert_table(frame(spark, [(2, "new", 2)]), path, ["k"], ["p"])
-    assert stored(spark, path) == [(1, "old", 1), (2, "new", 2)]
-
-
 def test_append_missing(spark, tmp_path):
     path = str(tmp_path / "t")
     append_missing(frame(spark, [(1, "old", 1), (2, "old", 2)]), path, ["k"], ["p"])

@@ -22,9 +22,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def registry() -> dict[str, Query]:
     """All queries by name."""
-    from emberlake.queries import cleaning, dates, feeds, geo, hotspots, stars, stored
+    from emberlake.queries import areas, cleaning, dates, feeds, geo, hotspots, stars, stored
 
     found: dict[str, Query] = {}
-    for module in (stars, cleaning, dates, stored, feeds, geo, hotspots):
+    for module in (stars, cleaning, dates, stored, feeds, geo, areas, hotspots):
         found.update(module.QUERIES)
     return found

@@ -1,29 +1,37 @@
 """Vector layers: .shp, .shx and .dbf files that share a base name.
 
-The files are read with the binary reader. Record boundaries come from the
-index file, so the JVM cuts a layer into records before any shape is decoded
-and shapes are decoded in parallel, not one task per layer.
+Record boundaries come from the index file. The scan is a data source whose tasks read ranges of bytes of their own;
+for stores that only Spark reaches, the binary reader gives whole files and the JVM cuts them into records.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import struct
 import sys
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyarrow import fs
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from emberlake.functions.geometry import SRID, geometry_label
+from emberlake.functions.projection import TransverseMercator, projection_of
 
 # The shape decoder runs in Python workers, which need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _PARTS = ("shp", "shx", "dbf")
 _FIELD_SIZE = 32
+# Bytes of shapes and rows for a task, of one read within it, and index records that the plan looks at together.
+RANGE_BYTES, _READ_BYTES, _INDEX_RECORDS = 64 << 20, 8 << 20, 1 << 20
 # Definitions of geographic systems whose coordinates are those of SRID 4674 or 4326.
 GEOGRAPHIC = r'(?is)^\s*GEOG(?:CS|CRS)\s*\[\s*"[^"]*(?:SIRGAS[ _]*2000|WGS[ _]*(?:19)?84)'
 
@@ -50,13 +58,9 @@ def _by_layer(files: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def _attribute_layout(dbf: DataFrame) -> list[tuple[str, str, int, int, int]]:
-    """(name, type, offset, length, decimals) of the attributes, read from the table headers alone."""
-    length = _unsigned(F.col("dbf"), 9, 2, True)
-    headers = dbf.select(F.substring("dbf", F.lit(33), length - 33).alias("header")).distinct().limit(2).collect()
-    if len(headers) != 1:
-        raise ValueError("the layers below one folder must exist and have the same attributes")
-    raw, fields, offset = bytes(headers[0].header), [], 1
+def _layout(raw: bytes) -> list[tuple[str, str, int, int, int]]:
+    """(name, type, offset, length, decimals) of the attributes a table header describes."""
+    fields, offset = [], 1
     for start in range(0, len(raw) - _FIELD_SIZE + 1, _FIELD_SIZE):
         if raw[start] == 0x0D:
             break
@@ -66,6 +70,15 @@ def _attribute_layout(dbf: DataFrame) -> list[tuple[str, str, int, int, int]]:
     return fields
 
 
+def _attribute_layout(dbf: DataFrame) -> list[tuple[str, str, int, int, int]]:
+    """(name, type, offset, length, decimals) of the attributes, read from the table headers alone."""
+    length = _unsigned(F.col("dbf"), 9, 2, True)
+    headers = dbf.select(F.substring("dbf", F.lit(33), length - 33).alias("header")).distinct().limit(2).collect()
+    if len(headers) != 1:
+        raise ValueError("the layers below one folder must exist and have the same attributes")
+    return _layout(bytes(headers[0].header))
+
+
 def _attribute(record: Column, kind: str, offset: int, size: int, decimals: int, encoding: str) -> Column:
     text = F.trim(F.replace(F.decode(F.substring(record, offset + 1, size), encoding), F.lit("\0"), F.lit("")))
     text = F.nullif(text, F.lit(""))
@@ -86,23 +99,47 @@ def _ring_area(ring: np.ndarray) -> float:
     return float(np.dot(x[:-1], y[1:]) - np.dot(x[1:], y[:-1]))
 
 
-def _contains(ring: np.ndarray, px: float, py: float) -> bool:
-    """Even-odd test of a point against a closed ring."""
-    x0, y0, x1, y1 = ring[:-1, 0], ring[:-1, 1], ring[1:, 0], ring[1:, 1]
-    crosses = (y0 > py) != (y1 > py)
-    rise = np.where(crosses, y1 - y0, 1.0)
-    return bool(np.count_nonzero(crosses & (px < (x1 - x0) * (py - y0) / rise + x0)) % 2)
+class EdgeIndex:
+    """The edges of closed rings in horizontal bands, for finding the rings around a point."""
+
+    def __init__(self, rings: list[np.ndarray]) -> None:
+        edges = np.concatenate([np.column_stack([r[:-1], r[1:]]) for r in rings]) if rings else np.empty((0, 4))
+        owner = np.repeat(np.arange(len(rings)), [max(len(r) - 1, 0) for r in rings])
+        low, high = np.minimum(edges[:, 1], edges[:, 3]), np.maximum(edges[:, 1], edges[:, 3])
+        self.rings, self.bottom = len(rings), float(low.min()) if len(edges) else 0.0
+        # Bands as high as a usual edge hold each edge about twice.
+        span = float(high.max()) - self.bottom if len(edges) else 0.0
+        mean = float((high - low).mean()) if len(edges) else 0.0
+        self.height = max(mean, span / max(len(edges), 1)) or 1.0
+        first = ((low - self.bottom) / self.height).astype(np.int64)
+        bands = ((high - self.bottom) / self.height).astype(np.int64) - first + 1
+        at = np.repeat(np.arange(len(edges)), bands)
+        band = np.arange(len(at)) - np.repeat(np.cumsum(bands) - bands, bands) + first[at]
+        order = np.argsort(band, kind="stable")
+        self.edges, self.owner, self.band = edges[at[order]], owner[at[order]], band[order]
+
+    def around(self, x: float, y: float) -> np.ndarray:
+        """Numbers of the rings that contain the point, by the even-odd rule."""
+        band = math.floor((y - self.bottom) / self.height)
+        part = slice(*np.searchsorted(self.band, [band, band + 1]))
+        x0, y0, x1, y1 = self.edges[part].T
+        crosses = (y0 > y) != (y1 > y)
+        rise = np.where(crosses, y1 - y0, 1.0)
+        right = crosses & (x < (x1 - x0) * (y - y0) / rise + x0)
+        return np.flatnonzero(np.bincount(self.owner[part][right], minlength=self.rings) % 2)
 
 
 def _polygons(rings: list[np.ndarray]) -> list[list[np.ndarray]]:
     """Rings grouped to polygons: each hole goes to the smallest outer ring around it."""
-    areas = [_ring_area(r) for r in rings]
-    outer = [i for i, a in enumerate(areas) if a < 0] or list(range(len(rings)))
-    groups = {i: [rings[i]] for i in outer}
-    for i in set(range(len(rings))) - set(outer):
-        around = [o for o in outer if _contains(rings[o], *rings[i][0])]
-        if around:
-            groups[min(around, key=lambda o: abs(areas[o]))].append(rings[i])
+    areas = np.array([_ring_area(r) for r in rings])
+    outer = np.flatnonzero(areas < 0) if (areas < 0).any() else np.arange(len(rings))
+    groups = {i: [rings[i]] for i in outer.tolist()}
+    holes = sorted(set(range(len(rings))) - set(groups))
+    index = EdgeIndex([rings[i] for i in outer]) if holes else None
+    for i in holes:
+        around = outer[index.around(*rings[i][0])]
+        if len(around):
+            groups[int(around[np.abs(areas[around]).argmin()])].append(rings[i])
         else:
             groups[i] = [rings[i]]
     return list(groups.values())
@@ -125,24 +162,31 @@ def _collect(single: int, multi: int, bodies: list[bytes], srid: int) -> bytes:
     return _head(multi, srid) + struct.pack("<I", len(bodies)) + b"".join(_head(single) + b for b in bodies)
 
 
-def _ewkb(shape: bytes, srid: int) -> bytes | None:
-    """EWKB of one shape record: point, multipoint, line or polygon; z and m values are left out."""
+def _ewkb(shape: bytes, srid: int, system: TransverseMercator | None = None) -> bytes | None:
+    """EWKB of one shape record: point, multipoint, line or polygon; z and m values are left out.
+
+    Coordinates of a projected ``system`` become longitudes and latitudes, all of a record at once.
+    """
     (kind,) = struct.unpack_from("<i", shape)
     flat = kind % 10
     if kind == 0:
         return None
+    if flat not in (1, 3, 5, 8):
+        raise ValueError(f"shape type {kind} is not supported")
+    starts, at, count = [0], 4, 1
+    if flat == 8:
+        (count,), at = struct.unpack_from("<i", shape, 36), 40
+    elif flat != 1:
+        parts, count = struct.unpack_from("<ii", shape, 36)
+        starts, at = list(struct.unpack_from(f"<{parts}i", shape, 44)), 44 + 4 * parts
+    points = np.frombuffer(shape, dtype="<f8", count=2 * count, offset=at).reshape(-1, 2)
+    if system is not None:
+        points = system.to_geographic(points)
     if flat == 1:
-        return _head(1, srid) + shape[4:20]
+        return _head(1, srid) + points.tobytes()
     if flat == 8:
-        (count,) = struct.unpack_from("<i", shape, 36)
-        points = [_head(1) + shape[40 + 16 * i : 56 + 16 * i] for i in range(count)]
-        return _head(4, srid) + struct.pack("<I", count) + b"".join(points)
-    if flat not in (3, 5):
-        raise ValueError(f"shape type {kind} is not supported")
-    parts, count = struct.unpack_from("<ii", shape, 36)
-    starts = [*struct.unpack_from(f"<{parts}i", shape, 44), count]
-    points = np.frombuffer(shape, dtype="<f8", count=2 * count, offset=44 + 4 * parts).reshape(-1, 2)
-    lines = [points[a:b] for a, b in zip(starts, starts[1:])]
+        return _head(4, srid) + struct.pack("<I", count) + b"".join(_head(1) + p.tobytes() for p in points)
+    lines = [points[a:b] for a, b in zip(starts, [*starts[1:], count])]
     if flat == 3:
         return _collect(2, 5, [_body(line) for line in lines], srid)
     polygons = _polygons(lines)
@@ -202,11 +246,158 @@ def declared_encoding(spark: SparkSession, folder: str) -> str:
     return re.sub(r"^ISO[ _-]*8859[ _-]*1$", "ISO-8859-1", names[0].strip().upper()) if names else "UTF-8"
 
 
+def open_store(path: str) -> tuple[fs.FileSystem, str]:
+    """Arrow's file system of a path, with its name there: local or mounted folders, s3, gs and hdfs."""
+    if "://" not in path:
+        return fs.LocalFileSystem(), re.sub(r"^file:/+", "/", path)
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", path))
+
+
+@dataclass(frozen=True)
+class LayerFile:
+    """One layer's files and what their headers say."""
+
+    files: dict[str, str]
+    records: int
+    table_start: int
+    table_step: int
+    fields: bytes
+    system: TransverseMercator | None
+
+
+def layers_below(store: fs.FileSystem, root: str) -> list[LayerFile]:
+    """The layers below a folder; only their headers and side files are read."""
+    found: dict[str, dict[str, str]] = {}
+    for info in store.get_file_info(fs.FileSelector(root, recursive=True)):
+        base, _, suffix = info.path.rpartition(".")
+        if info.is_file and suffix.lower() in (*_PARTS, "prj"):
+            found.setdefault(base, {})[suffix.lower()] = info.path
+    layers = []
+    for base, files in sorted(found.items()):
+        if not all(p in files for p in _PARTS):
+            continue
+        with store.open_input_file(files["dbf"]) as table, store.open_input_file(files["shx"]) as index:
+            start, step = struct.unpack("<HH", table.read_at(4, 8))
+            fields, records = table.read_at(start - 33, 32), (index.size() - 100) // 8
+        system = None
+        if "prj" in files:
+            with store.open_input_file(files["prj"]) as text:
+                try:
+                    system = projection_of(text.read().decode("utf-8", "replace"))
+                except ValueError as problem:
+                    raise ValueError(f"{files['prj']}: {problem}") from None
+        layers.append(LayerFile(files, records, start, step, fields, system))
+    return layers
+
+
+@dataclass
+class LayerRange(InputPartition):
+    """Consecutive records of a layer."""
+
+    layer: LayerFile
+    first: int
+    count: int
+
+
+def _ranges(store: fs.FileSystem, layer: LayerFile, size: int) -> Iterator[LayerRange]:
+    """Records of a layer in ranges of about ``size`` bytes, by the lengths in the index; larger records alone."""
+    with store.open_input_file(layer.files["shx"]) as index:
+        for base in range(0, layer.records, _INDEX_RECORDS):
+            count = min(_INDEX_RECORDS, layer.records - base)
+            lengths = np.frombuffer(index.read_at(8 * count, 100 + 8 * base), ">i4").reshape(-1, 2)[:, 1].astype(np.int64)
+            ends = np.cumsum(lengths * 2 + 8 + layer.table_step)
+            at = 0
+            while at < count:
+                stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right")))
+                yield LayerRange(layer, base + at, stop - at)
+                at = stop
+
+
+class LayerReader(DataSourceReader):
+    """Reads byte ranges of layer files; every task opens them for itself."""
+
+    def __init__(self, options: dict) -> None:
+        self.path, self.srid = options["path"], int(options.get("srid", SRID))
+        self.size = int(options.get("rangebytes", RANGE_BYTES))
+
+    def partitions(self) -> list[LayerRange]:
+        store, root = open_store(self.path)
+        return [r for layer in layers_below(store, root) for r in _ranges(store, layer, self.size)]
+
+    def read(self, part: LayerRange | None) -> Iterator[pa.RecordBatch]:
+        if part is None:  # what Spark asks for where there is no range
+            return
+        store, _ = open_store(self.path)
+        layer, step = part.layer, part.layer.table_step
+        with (
+            store.open_input_file(layer.files["shx"]) as index,
+            store.open_input_file(layer.files["shp"]) as shapes,
+            store.open_input_file(layer.files["dbf"]) as table,
+        ):
+            words = np.frombuffer(index.read_at(8 * part.count, 100 + 8 * part.first), ">u4").reshape(-1, 2).astype(np.int64)
+            starts, lengths = words[:, 0] * 2 + 8, words[:, 1] * 2
+            at = 0
+            while at < part.count:
+                # Neighbours in the index that are neighbours in the file are read at once, some megabytes at a time.
+                gaps = starts[at + 1 :] != starts[at:-1] + lengths[at:-1] + 8
+                stop = at + 1 + (int(gaps.argmax()) if gaps.any() else part.count - at - 1)
+                stop = max(at + 1, min(stop, int(np.searchsorted(starts[:stop], starts[at] + _READ_BYTES))))
+                data = shapes.read_at(int(starts[stop - 1] + lengths[stop - 1] - starts[at]), int(starts[at]))
+                rows = table.read_at((stop - at) * step, layer.table_start + (part.first + at) * step)
+                if len(rows) < (stop - at) * step:
+                    raise ValueError(f"{layer.files['dbf']} has fewer rows than {layer.files['shx']}")
+                attributes, geometries = [], []
+                for i in range(stop - at):
+                    row, begin = rows[i * step : (i + 1) * step], int(starts[at + i] - starts[at])
+                    if row[:1] != b"*":  # marks a deleted row
+                        attributes.append(row)
+                        geometries.append(_ewkb(data[begin : begin + int(lengths[at + i])], self.srid, layer.system))
+                yield pa.RecordBatch.from_arrays([pa.array(attributes, pa.binary()), pa.array(geometries, pa.binary())], ["attributes", "geometry"])
+                at = stop
+
+
+class LayerSource(DataSource):
+    """Vector layers as a data source: rows of the attribute table and geometries as EWKB."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "layer"
+
+    def schema(self) -> str:
+        return "attributes binary, geometry binary"
+
+    def reader(self, schema) -> LayerReader:
+        return LayerReader(dict(self.options))
+
+
+def scan_layers(spark: SparkSession, folder: str, srid: int = SRID, encoding: str = "UTF-8", range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Attributes and ``geometry`` of every record of the layers below a folder, read in ranges of bytes.
+
+    Ranges come from the index files, so no task holds a layer, and files may have any size that the format can address.
+    Coordinates of projected systems (transverse Mercator on SIRGAS 2000 or WGS 84) become longitudes and latitudes;
+    others raise. The folder must be one that Arrow reaches from the executors.
+    """
+    store, root = open_store(folder)
+    layers = layers_below(store, root)
+    if len({layer.fields for layer in layers}) != 1:
+        raise ValueError("the layers below one folder must exist and have the same attributes")
+    spark.dataSource.register(LayerSource)
+    rows = spark.read.format("layer").options(path=folder, srid=str(srid), rangebytes=str(range_bytes)).load()
+    attributes = [_attribute(F.col("attributes"), k, o, n, d, encoding).alias(name) for name, k, o, n, d in _layout(layers[0].fields)]
+    return rows.select(*attributes, F.col("geometry").alias("geometry", metadata=geometry_label(srid)))
+
+
 def read_layer(spark: SparkSession, folder: str, srid: int = SRID, encoding: str | None = None) -> DataFrame:
     """All layers below a folder as attribute columns plus ``geometry`` (EWKB).
 
-    Side files count: .cpg gives the encoding unless one is given, and a .prj file of other coordinates than those that
-    SRIDs 4674 and 4326 share raises. Layers without .prj are taken to be in such coordinates.
+    Side files count: .cpg gives the encoding unless one is given, and .prj files name projected systems, which are
+    transformed. Layers without .prj are taken to be in coordinates of the SRIDs 4674 and 4326. Where only Spark reaches
+    the folder, whole files are read instead of ranges, up to 2 GB each, and projected systems raise.
     """
-    require_shared_coordinates(spark, folder)
-    return decode_layers(layer_files(spark, folder), srid, encoding or declared_encoding(spark, folder))
+    encoding = encoding or declared_encoding(spark, folder)
+    try:
+        open_store(folder)
+    except (OSError, pa.ArrowException):
+        require_shared_coordinates(spark, folder)
+        return decode_layers(layer_files(spark, folder), srid, encoding)
+    return scan_layers(spark, folder, srid, encoding)

@@ -22,7 +22,7 @@ TYPES = {
     "boolean": "BOOLEAN",
 }
 # Only encoding and decoding of geometry leaves the JVM.
-WITH_PYTHON = {"point_ewkb", "srid_relabel", "map_points", "hotspot_fact"}
+WITH_PYTHON = {"point_ewkb", "srid_relabel", "map_points", "hotspot_fact", "layer_scan", "layer_clean", "area_dimension", "area_transform"}
 
 
 @pytest.fixture(scope="module")

@@ -49,38 +49,32 @@ def point(lon: Column, lat: Column, srid: int = SRID) -> Column:
     return encode(lon.cast("double"), lat.cast("double"))
 
 
-def _read_point(blob: bytes) -> tuple[float, float]:
-    """Coordinates of a point in either byte order, with or without SRID."""
-    sign = "<" if blob[0] == 1 else ">"
-    (kind,) = struct.unpack_from(sign + "I", blob, 1)
-    if kind & 0xFF != _POINT_TYPE:
-        raise ValueError("not a point geometry")
-    return struct.unpack_from(sign + "dd", blob, 9 if kind & _SRID_FLAG else 5)
-
-
-def _point_rows(blobs: pa.Array) -> np.ndarray | None:
-    """Points as one structured array over the batch's own buffer, if all have the layout ``point`` writes."""
-    if not pa.types.is_binary(blobs.type) or len(blobs) == 0:
-        return None
-    _, offsets, data = blobs.buffers()
-    ends = np.frombuffer(offsets, dtype="<i4", count=len(blobs) + 1, offset=4 * blobs.offset)
-    if (np.diff(ends) != _POINT.itemsize).any():
-        return None
-    rows = np.frombuffer(data, dtype=_POINT, count=len(blobs), offset=ends[0])
-    plain = (rows["order"] == 1) & (rows["type"] == _POINT_TYPE | _SRID_FLAG)
-    return rows if plain.all() else None
-
-
 def _read_points(geometry: pa.Array) -> pa.Array:
+    """Coordinates of points in any mix of layouts: both byte orders, with or without SRID, z and m left out.
+
+    Rows of one layout are gathered from the batch's buffer together.
+    """
     valid = geometry.is_valid().to_numpy(zero_copy_only=False)
     x, y = np.zeros(len(geometry)), np.zeros(len(geometry))
-    blobs = geometry.drop_null()
-    rows = _point_rows(blobs)
-    if rows is not None:
-        x[valid], y[valid] = rows["x"], rows["y"]
-    else:
-        pairs = [_read_point(b) for b in blobs.to_pylist()]
-        x[valid], y[valid] = [p[0] for p in pairs], [p[1] for p in pairs]
+    if valid.any():
+        _, offsets, data = geometry.buffers()
+        wide = np.dtype("<i8" if pa.types.is_large_binary(geometry.type) else "<i4")
+        edges = np.frombuffer(offsets, wide, len(geometry) + 1, wide.itemsize * geometry.offset).astype(np.int64)
+        rows, starts = np.flatnonzero(valid), edges[:-1][valid]
+        sizes, content = edges[1:][valid] - starts, np.frombuffer(data, np.uint8)
+        if (sizes < 21).any():
+            raise ValueError("not a point geometry")
+        head = content[starts[:, None] + np.arange(5)]
+        little = head[:, 0] == 1
+        kind = np.where(little, head[:, 1:].copy().view("<u4")[:, 0], head[:, 1:].copy().view(">u4")[:, 0])
+        labelled = (kind & _SRID_FLAG) != 0
+        if ((kind & 0xFF) != _POINT_TYPE).any() or (sizes < np.where(labelled, 25, 21)).any():
+            raise ValueError("not a point geometry")
+        for order, kind_of_number in ((True, "<f8"), (False, ">f8")):
+            own = little == order
+            begin = starts[own] + np.where(labelled[own], 9, 5)
+            pairs = content[begin[:, None] + np.arange(16)].view(kind_of_number)
+            x[rows[own]], y[rows[own]] = pairs[:, 0], pairs[:, 1]
     return pa.StructArray.from_arrays([pa.array(x), pa.array(y)], names=["x", "y"], mask=pa.array(~valid))
 
 

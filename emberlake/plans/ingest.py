@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from emberlake.functions.times import mark_text, parse_timestamp
@@ -13,6 +14,10 @@ from emberlake.sources.files import list_files, read_csv, require_dated
 from emberlake.sources.marks import FIELD, read_mark, store_mark
 
 
+# How long the report of a finished job may take to arrive.
+REPORT_SECONDS = 20
+
+
 def new_rows(
     spark: SparkSession,
     folder: str | Sequence[str],
@@ -53,11 +58,27 @@ def ingest(
     """Load new rows with ``load``, then advance the mark.
 
     The mark moves only after the load has been written, so an interrupted run
-    repeats its files. It is the latest event time, as text of whole seconds, and takes one pass over the time column.
+    repeats its files. It is the latest event time, as text of whole seconds,
+    observed while the load's first job passes over the rows, so the files are
+    parsed once. A first job that stops early leaves a lower mark, and files
+    are repeated; a load that runs no job on the rows costs a pass of their own.
     """
     mark = read_mark(spark, mark_path)
     rows = new_rows(spark, folder, mark_path, columns, inclusive, undated)
-    load(rows)
-    advanced = next_mark(rows, time_column, mark[0] if mark else None).first()[0]
+    seen = Observation()
+    load(rows.observe(seen, mark_text(F.max(parse_timestamp(F.col(time_column)))).alias(FIELD)))
+    previous = mark[0] if mark else None
+    found = _observed(seen)
+    latest = found[FIELD] if found is not None else next_mark(rows, time_column, None).first()[0]
+    advanced = max((m for m in (latest, previous) if m is not None), default=None)
     if advanced is not None:
         store_mark(spark, advanced, mark_path)
+
+
+def _observed(seen: Observation) -> dict | None:
+    """What was observed; None if no job has passed over the frame. The report arrives shortly after its job."""
+    found: list[dict] = []
+    waiting = threading.Thread(target=lambda: found.append(seen.get), daemon=True)
+    waiting.start()
+    waiting.join(REPORT_SECONDS)
+    return found[0] if found else None

@@ -112,6 +112,25 @@ def test_a_lone_time_is_no_event_time(spark, tmp_path):
     assert read_mark(spark, mark) == ("2024-01-02 03:04:05", 20240102)
 
 
+def test_the_load_is_the_only_pass_over_the_files(spark, tmp_path, monkeypatch):
+    from emberlake.plans import ingest as plan
+
+    write_days(tmp_path / "d", [20240101, 20240102])
+    mark, passes = str(tmp_path / "mark"), []
+    real = plan.next_mark
+    monkeypatch.setattr(plan, "next_mark", lambda *args: passes.append(args) or real(*args))
+    ingest(spark, str(tmp_path / "d"), mark, lambda rows: rows.write.parquet(str(tmp_path / "t")), COLUMNS)
+    first = read_mark(spark, mark)
+    assert first[1] == 20240102 and not passes
+    # Nothing new: the mark stays. A load without a job: a pass of its own.
+    ingest(spark, str(tmp_path / "d"), mark, lambda rows: rows.count(), COLUMNS)
+    assert read_mark(spark, mark) == first and not passes
+    write_days(tmp_path / "d", [20240105])
+    monkeypatch.setattr(plan, "REPORT_SECONDS", 0.5)
+    ingest(spark, str(tmp_path / "d"), mark, lambda rows: None, COLUMNS)
+    assert read_mark(spark, mark)[1] == 20240105 and len(passes) == 1
+
+
 def test_mark_does_not_move_if_the_load_fails(spark, tmp_path):
     write_days(tmp_path / "d", [20240101])
 

@@ -2,6 +2,8 @@ import datetime
 import hashlib
 import struct
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -174,3 +176,24 @@ def test_wkt_parse(spark):
     texts = ["POINT(-56.1 -15.6)", "point ( 1e2  3 )", "LINESTRING(0 0, 1 1)", None, ""]
     assert column(spark, texts, "string", geometry.wkt_x) == [-56.1, 100.0, None, None, None]
     assert column(spark, texts, "string", geometry.wkt_y) == [-15.6, 3.0, None, None, None]
+
+
+def test_points_of_mixed_layouts():
+    """Both byte orders, with and without SRID and z, in arrays with offsets of either width."""
+    rng = np.random.default_rng(1)
+    blobs, expected = [], []
+    for i in range(500):
+        x, y = rng.normal(size=2)
+        sign, code, tail = ("<", ">")[i % 2], 1 | (0x20000000 if i % 3 else 0) | (0x80000000 if i % 5 == 0 else 0), ()
+        blob = struct.pack(sign + "BI", 1 if sign == "<" else 0, code) + (struct.pack(sign + "I", 4326) if i % 3 else b"")
+        tail = (7.0,) if i % 5 == 0 else ()
+        blobs.append(None if i % 11 == 0 else blob + struct.pack(f"{sign}{2 + len(tail)}d", x, y, *tail))
+        expected.append(None if i % 11 == 0 else {"x": x, "y": y})
+    for kind in (pa.binary(), pa.large_binary()):
+        whole = pa.array(blobs, kind)
+        assert geometry._read_points(whole).to_pylist() == expected
+        assert geometry._read_points(whole.slice(37, 200)).to_pylist() == expected[37:237]
+    assert geometry._read_points(pa.array([None], pa.binary())).to_pylist() == [None]
+    for bad in (b"\x01", struct.pack("<BIdd", 1, 3, 0, 0), struct.pack("<BIdd", 1, 0x20000001, 0, 0)):
+        with pytest.raises(ValueError, match="not a point"):
+            geometry._read_points(pa.array([bad], pa.binary()))

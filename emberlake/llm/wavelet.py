@@ -39,7 +39,7 @@ SHARD_IDS = 1 << 19
 # only speed depends on them.
 TABLE_WORDS, TABLE_PIECES = 300_000, 450_000
 # Bytes of text whose words are looked up together.
-TEXT_BYTES = 4 << 20
+TEXT_BYTES = 8 << 20
 _ONE = np.uint64(1)
 
 
@@ -174,11 +174,12 @@ class Shard:
         self.matrix = WaveletMatrix(n, zeros, [d for d, _ in planes], [b for _, b in planes])
 
     @staticmethod
-    def encode(doc_ids: list[int | None], ids: list[np.ndarray]) -> bytes:
-        """File content for documents and their ids."""
+    def encode(doc_ids: list[int | None], ids: list[np.ndarray], first: list[int] | None = None) -> bytes:
+        """File content for documents and their ids; ``first`` tells a document's first array if some have several."""
         matrix = WaveletMatrix.of(np.concatenate(ids) if ids else np.empty(0, np.uint32))
         head = np.array([matrix.n, len(matrix.zeros), len(doc_ids)], "<u8")
         starts = np.cumsum([0, *map(len, ids)]).astype("<u8")
+        starts = starts if first is None else starts[first]
         parts = [head, matrix.zeros.astype("<u8"), np.array([i or 0 for i in doc_ids], "<i8"), np.array([i is None for i in doc_ids], "u1"), starts]
         for directory, bits in zip(matrix.directory, matrix.bits):
             parts += [directory, bits]
@@ -234,8 +235,12 @@ class WordIds:
 
     def _pieces(self, word: str) -> bytes:
         """Ids of a plain word: of each of its runs of letters, digits and runs of signs."""
+        word = word.lower()
+        known = self.piece.get(word)
+        if known is not None:
+            return known
         ids = []
-        for piece in _PIECE.findall(word.lower()):
+        for piece in _PIECE.findall(word):
             found = self.piece.get(piece)
             if found is None:
                 signs = piece if piece.isascii() else piece.translate(_BYTE_SIGNS)
@@ -298,10 +303,11 @@ def write_shards(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, i
         part, seq, before = TaskContext.get().partitionId(), 0, 0
         ids: list[int | None] = []
         held: list[np.ndarray] = []
-        count = 0
+        count, end = 0, np.array([end_id], np.uint32)
 
         def shard() -> pa.RecordBatch:
-            columns = [[part], [seq], [before], [count], [len(ids)], [Shard.encode(ids, held)]]
+            whole = [2 * i for i in range(len(ids) + 1)]  # each document is its ids and the end
+            columns = [[part], [seq], [before], [count], [len(ids)], [Shard.encode(ids, held, whole)]]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, KINDS)], NAMES)
 
         for batch in slices(batches, limit=TEXT_BYTES):
@@ -310,7 +316,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, i
                     yield shard()
                     seq, before, ids, held, count = seq + 1, before + count, [], [], 0
                 ids.append(doc_id)
-                held.append(np.append(own, np.uint32(end_id)))
+                held += own, end
                 count += len(own) + 1
         if ids:
             yield shard()
@@ -342,7 +348,7 @@ def _documents(shards: DataFrame, digest, kind: str) -> DataFrame:
                 shard = Shard(file.as_buffer())
                 ids = shard.matrix.whole()
                 edges = shard.starts
-                made = [digest(ids[a:b]) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
+                made = list(map(digest, np.split(ids, edges[1:-1]))) if len(edges) > 1 else []
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(shard.doc_ids, mask=shard.without_id), pa.array(edges[:-1] + start), pa.array(np.diff(edges)), pa.array(made)],
                     ["doc_id", "start", "n_tokens", "out"],
@@ -358,7 +364,7 @@ def token_ids(shards: DataFrame) -> DataFrame:
 
 def token_checksums(shards: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of the documents in shards: crc32 of the ids as little-endian 32-bit numbers."""
-    return _documents(shards, lambda ids: zlib.crc32(ids.astype("<u4").tobytes()), "long").withColumnRenamed("out", "ids_crc32")
+    return _documents(shards, lambda ids: zlib.crc32(ids.astype("<u4", copy=False)), "long").withColumnRenamed("out", "ids_crc32")
 
 
 def occurrences(shards: DataFrame, ids: list[int]) -> DataFrame:

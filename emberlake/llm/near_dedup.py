@@ -8,8 +8,9 @@ Lists are short by construction: each document enters only the lists of its rare
 similar document cannot all miss. What is similar must share so many retained values that leaving out the rest loses
 nothing (documents whose sketches are whole) or loses a link with a chance below MISS. A list is never expanded into all
 its pairs: each document is first compared with one leader. Documents whose lists still hold other components are then
-joined on rare shingles of their full sets, with bounds on size and on shingles that no other such document holds.
-Those bounds are exact, and they drop the many heavily edited copies of one text that are similar to none.
+joined on rare shingles of their full sets, with bounds on size and on what follows the first common shingle. Where many
+hold the same rare shingles, as the heavily edited copies of one text do, they are joined on what sets them apart from
+one of them. All these bounds are exact.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ K = 96
 MISS = 1e-9
 # Rounds in which documents are compared with one leader only, before all that are left are joined.
 LEADER_ROUNDS = 2
+# Lists of up to so many classes are joined with themselves, longer ones by differences from a leader. Both are exact.
+SHORT_LIST = 16
 
 
 def shingles(text: bytes, size: int) -> np.ndarray:
@@ -259,9 +262,10 @@ def _leader_pairs(members: DataFrame, turn: int, percent: int) -> DataFrame:
 def _remaining_pairs(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """All pairs of different components among the members that can be similar, and not many more.
 
-    Shingles are ordered by how many members hold them. Of two similar sets the smaller one holds a common shingle
-    among its rarest n - ceil(2t / (1 + t) n) + 1, the larger one among its rarest n - ceil(t n) + 1. Shingles held by
-    one member only come first there and match nothing; what is left bounds the intersection.
+    Shingles are ordered by how many members hold them, and a set enters the lists of its rarest n - ceil(t n) + 1.
+    Similar sets meet in the list of their first common shingle, and what follows it in both bounds the intersection.
+    A list of up to SHORT_LIST classes is joined with itself; the classes of a longer one are compared by what sets
+    them apart from its leader.
     """
     named = members.select("cls", "comp").distinct()
     sets = stored(texts.join(named, "cls").select("cls", "comp", "text").mapInArrow(_whole_sets(size), "cls long, comp long, n long, all array<long>"), "whole-sets")
@@ -271,21 +275,80 @@ def _remaining_pairs(members: DataFrame, texts: DataFrame, size: int, percent: i
     held = held.withColumn("m", F.size("values").cast("long")).where(F.col("m") * 100 >= F.col("n") * percent)
     held = stored(held, "common-sets")
     n, alone = F.col("n"), F.col("n") - F.col("m")
+    count = F.greatest(n - F.ceil(n * percent / 100) + 1 - alone, F.lit(0)).cast("int")
+    entries = held.select("cls", "comp", "n", "m", F.posexplode(F.slice("values", 1, count)).alias("place", "x"))
+    # Shingles of one member only take the first places.
+    entries = entries.select("cls", "comp", "n", "m", (F.col("place") + alone).alias("place"), F.col("x.value").alias("value"))
+    entries = stored(entries, "rare-entries")
+    counts = entries.groupBy("value").agg(
+        F.count("*").alias("length"),
+        F.min("comp").alias("least"),
+        F.max("comp").alias("most"),
+        # An original has the fewest shingles of its own; long lists of one family then name the same leader.
+        F.min(F.struct(alone.alias("alone"), "cls")).alias("lead"),
+    )
+    counts = stored(counts.where("least <> most").select("value", "length", F.col("lead.cls").alias("leader")), "entry-counts")
+    short = stored(entries.join(counts.where(F.col("length") <= SHORT_LIST), "value").select("cls", "comp", "n", "place", "value"), "short-lists")
+    other = short.toDF("other", "other_comp", "other_n", "other_place", "value")
+    left = F.least(n - F.col("place"), F.col("other_n") - F.col("other_place"))
+    met = short.join(other, "value").where(
+        (F.col("comp") != F.col("other_comp"))
+        & (F.col("cls") < F.col("other"))
+        & _near_in_size(percent, "n", "other_n")
+        & (left * (100 + percent) >= (n + F.col("other_n")) * percent)
+    )
+    long = entries.join(counts.where(F.col("length") > SHORT_LIST), "value").select("cls", "comp", "n", "leader").distinct()
+    pairs = met.select(*_ordered("cls", "other")).unionByName(_pairs_by_differences(stored(long, "long-lists"), sets, percent))
+    return pairs.distinct()
 
-    def rarest(whole) -> DataFrame:
-        count = F.greatest(n - whole + 1 - alone, F.lit(0)).cast("int")
-        return held.select("cls", "comp", "n", "m", F.explode(F.slice("values", 1, count)).alias("x")).withColumn("value", F.col("x.value")).drop("x")
 
-    larger = rarest(F.ceil(n * percent / 100))
-    smaller = rarest(F.ceil(n * 2 * percent / (100 + percent))).toDF("other", "other_comp", "other_n", "other_m", "value")
-    most = F.least("m", "other_m")
-    met = larger.join(smaller, "value").where(
+def _pairs_by_differences(roles: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that can be similar, of classes (cls, comp, n) that share a leader.
+
+    The difference of two sets from one another is the difference of their differences D from a leader's set R. Sets of
+    p % similarity differ in at most r (n + n') shingles, r = (100 - p) / (100 + p). Two classes similar to the leader are
+    in its component, and only their links to it are returned. Of any other two |D| + |D'| > r (n + n'), so they
+    must share (|D| + |D'| - r (n + n')) / 2 elements of D, one at least: copies that were edited in different places share
+    none, though nearly all of their shingles are common. ``s`` is (100 + p) |D| - (100 - p) n, so that two classes must
+    share (s + s') / (2 (100 + p)) elements; with the least s' under a leader this bounds the elements to look up.
+    """
+    w, q = 100 + percent, 100 - percent
+    led = sets.select(F.col("cls").alias("leader"), F.col("comp").alias("leader_comp"), F.col("n").alias("leader_n"), F.col("all").alias("of"))
+    both = roles.where("cls <> leader").join(sets.select("cls", "all"), "cls").join(led, "leader")
+    apart = F.concat(F.array_except("all", "of"), F.array_except("of", "all"))
+    d = F.col("d")
+    near = (d * w <= (F.col("n") + F.col("leader_n")) * q).alias("near")
+    found = both.select("cls", "comp", "n", "leader", "leader_comp", "leader_n", apart.alias("apart")).withColumn("d", F.size("apart").cast("long"))
+    found = stored(found.select("cls", "comp", "n", "leader", "leader_comp", "d", near, (d * w - F.col("n") * q).alias("s"), "apart"), "differences")
+    straight = found.where(F.col("near") & (F.col("comp") != F.col("leader_comp"))).select(*_ordered("cls", "leader"))
+
+    rows = found.select("leader", "cls", "comp", "n", "d", "s", "near", F.explode("apart").alias("value"))
+    shared = rows.groupBy("leader", "value").agg(F.count("*").alias("df"), F.min("comp").alias("least"), F.max("comp").alias("most"), F.min("near").alias("all_near"))
+    shared = stored(shared.where("least <> most AND NOT all_near").select("leader", "value", "df"), "shared-differences")
+    kept = rows.join(shared, ["leader", "value"]).groupBy("leader", "cls", "comp", "n", "d", "s", "near")
+    kept = kept.agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("values"))
+    least = found.groupBy("leader").agg(F.min(F.when(~F.col("near"), F.col("s"))).alias("far_s"), F.min(F.when(F.col("near"), F.col("s"))).alias("near_s"))
+    placed = kept.join(least, "leader").select("*", F.posexplode("values").alias("place", "x"))
+    # What no other class under the leader can share takes the first places.
+    left = F.size("values").cast("long") - F.col("place")
+    names = ["cls", "comp", "n", "s", "left"]
+    placed = placed.select("leader", F.col("x.value").alias("value"), "cls", "comp", "n", "s", left.alias("left"), "near", "far_s", "near_s")
+    to_far, to_near = (F.col("left") * 2 * w >= F.col("s") + F.col(c) for c in ("far_s", "near_s"))
+    placed = stored(placed.where(to_far | (~F.col("near") & to_near)), "rare-differences")
+    key = ["leader", "value"]
+    far = placed.where(~F.col("near"))
+    seekers = far.where(to_far).select(*key, *names)
+    partners = seekers.select(*key, *[F.col(c).alias(f"other_{c}") for c in names])
+    among = seekers.join(partners, key).where(F.col("cls") < F.col("other_cls"))
+    beside = placed.where(F.col("near") & to_far).select(*key, *[F.col(c).alias(f"other_{c}") for c in names])
+    across = far.where(to_near).select(*key, *names).join(beside, key)
+    possible = (
         (F.col("comp") != F.col("other_comp"))
-        & (F.col("other_n") <= n)
-        & (F.col("other_n") * 100 >= n * percent)
-        & (most * 100 >= (n + F.col("other_n") - most) * percent)
+        & _near_in_size(percent, "n", "other_n")
+        & (F.least("left", "other_left") * 2 * w >= F.col("s") + F.col("other_s"))
     )
-    return met.select(*_ordered("cls", "other")).distinct()
+    met = [df.where(possible).select(*_ordered("cls", "other_cls")) for df in (among, across)]
+    return straight.unionByName(met[0]).unionByName(met[1])
 
 
 def _estimated(pairs: DataFrame, spread: DataFrame, percent: int) -> DataFrame:

@@ -153,6 +153,42 @@ def test_near_duplicates_without_leaders(spark, texts, monkeypatch):
     assert {r.doc_id: r.component_id for r in rows} == dict(enumerate(groups_of(texts, 85)[1]))
 
 
+def edited_family(seed, copies, length, edits, choices):
+    """Copies of one text with words replaced from a few choices, so that some share their edits and most do not."""
+    make, rng = sentences(seed, 5000)
+    base = make(length).split()
+    out = []
+    for _ in range(copies):
+        text = list(base)
+        for _ in range(rng.randint(*edits)):
+            text[rng.randrange(length)] = f"e{rng.randrange(choices)}"
+        out.append(" ".join(text[rng.randint(0, 1) : length - rng.randint(0, 2)]))
+    return out
+
+
+@pytest.mark.parametrize("percent, rounds, limit", [(85, 0, 0), (80, 2, 2)])
+def test_near_duplicates_by_differences(spark, monkeypatch, percent, rounds, limit):
+    """Families of edited copies, whose lists are long, give the links of all pairs."""
+    texts = edited_family(3, 60, 45, (1, 2), 3) + edited_family(4, 60, 70, (0, 3), 400) + edited_family(5, 40, 120, (2, 6), 4)
+    monkeypatch.setattr(near_dedup, "LEADER_ROUNDS", rounds)
+    monkeypatch.setattr(near_dedup, "SHORT_LIST", limit)
+    rows = near_dedup.near_duplicates(table_of(spark, texts), percent).collect()
+    roots = groups_of(texts, percent)[1]
+    assert 3 < len(set(roots)) < len(texts) - 10
+    assert {r.doc_id: r.component_id for r in rows} == dict(enumerate(roots))
+
+
+def test_differences_name_few_pairs(spark, monkeypatch):
+    """Copies edited in different places share nearly all shingles, but few pairs of them are looked at."""
+    texts = edited_family(6, 300, 60, (2, 2), 100000)
+    monkeypatch.setattr(near_dedup, "LEADER_ROUNDS", 0)
+    seen, plain = [], near_dedup._remaining_pairs
+    monkeypatch.setattr(near_dedup, "_remaining_pairs", lambda *a: seen.append(plain(*a)) or seen[-1])
+    rows = near_dedup.near_duplicates(table_of(spark, texts)).collect()
+    assert {r.doc_id: r.component_id for r in rows} == dict(enumerate(groups_of(texts, 85)[1]))
+    assert seen[0].count() < 2 * len(texts)
+
+
 def test_near_duplicates_when_scans_are_split_otherwise(spark, texts, monkeypatch, tmp_path):
     """Each job deals the same files to other tasks, as after a lost executor; rows that repeat id and text are one."""
     path, option = str(tmp_path / "docs"), "spark.sql.files.openCostInBytes"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,10 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # side is not even measured.
 _ESTIMATE_FACTOR = 4
 
+# Sizes of whole dimensions by frame, then by columns and keys. A frame keeps the files it was planned with, so its sizes
+# hold as long as it does; a frame read anew is measured anew.
+_MEASURED: WeakKeyDictionary[DataFrame, dict] = WeakKeyDictionary()
+
 # Per-row cost of a hashed relation (row header, pointers, hash slot).
 _ROW_OVERHEAD = 64
 
@@ -126,6 +131,42 @@ def _side(dim: Dimension) -> DataFrame:
     return frame.select(*keys, *[F.col(old).alias(new) for new, old in dim.take.items()])
 
 
+def _columns(dim: Dimension) -> tuple[str, ...]:
+    """What the size of a side without its filter depends on."""
+    return tuple(sorted([*dim.on.values(), *dim.take.values()]))
+
+
+def _recalled(dim: Dimension, unique: bool) -> Size | None:
+    """The size of the dimension without its filter, if it was measured; with the copies of its keys if ``unique``."""
+    known = _MEASURED.get(dim.frame, {}).get(_columns(dim), {})
+    return known.get(tuple(dim.on.values())) if unique else next(iter(known.values()), None)
+
+
+def _suffices(size: Size | None, unique: bool, limit: int) -> bool:
+    """Whether the figures of a whole dimension settle those of any part of it."""
+    return size is not None and size.bytes <= limit and not (unique and size.copies > 1)
+
+
+def _sizes(dims: Sequence[Dimension], sides: Sequence[DataFrame], unique: bool, limit: int) -> dict[int, Size | None]:
+    """Sizes of the sides that are worth measuring, by place.
+
+    A dimension is measured without its filter once and the figures are kept with its frame: a small one with unique
+    keys stays so under any filter. Only where they do not settle the matter is the filtered side measured.
+    """
+    asked = [i for i, side in enumerate(sides) if unique or not _too_large_to_measure(side, limit)]
+    sizes = {i: _recalled(dims[i], unique) for i in asked}
+    wholes = {i: _side(Dimension(dims[i].frame, dims[i].on, dims[i].take)) for i in asked if sizes[i] is None}
+    wholes = {i: whole for i, whole in wholes.items() if dims[i].where is None or not _too_large_to_measure(whole, limit)}
+    for i, size in zip(wholes, measure_all([(w, _keys(dims[i]) if unique else ()) for i, w in wholes.items()])):
+        sizes[i] = size
+        if size is not None:
+            known = _MEASURED.setdefault(dims[i].frame, {}).setdefault(_columns(dims[i]), {})
+            known[tuple(dims[i].on.values()) if unique else ()] = size
+    parts = [i for i in asked if dims[i].where is not None and not _suffices(sizes[i], unique, limit)]
+    sizes.update(zip(parts, measure_all([(sides[i], _keys(dims[i]) if unique else ()) for i in parts])))
+    return sizes
+
+
 def star_join(
     facts: DataFrame,
     dims: Sequence[Dimension],
@@ -136,14 +177,14 @@ def star_join(
 ) -> DataFrame:
     """``facts`` filtered by ``where`` and equi-joined to each dimension in turn.
 
-    Dimensions are measured together in one small job. Each that is proven
-    small is broadcast; for any other both sides shuffle on the key and
-    adaptive execution splits the hot ones. ``unique=True`` also raises if a
+    Dimensions are measured together in one small job, and not again when
+    the same frames are joined later. Each that is proven small is broadcast;
+    for any other both sides shuffle on the key and adaptive execution splits
+    the hot ones. ``unique=True`` also raises if a
     dimension key would multiply rows, in the same job.
     """
     sides = [_side(d) for d in dims]
-    asked = [i for i, side in enumerate(sides) if unique or not _too_large_to_measure(side, limit)]
-    sizes = dict(zip(asked, measure_all([(sides[i], _keys(dims[i]) if unique else ()) for i in asked])))
+    sizes = _sizes(dims, sides, unique, limit)
     joined = facts if where is None else facts.filter(where)
     for i, (dim, side) in enumerate(zip(dims, sides)):
         size, keys = sizes.get(i), _keys(dim)

@@ -5,6 +5,7 @@ from conftest import plan_of, rows_of
 from pyspark.sql import functions as F
 
 from emberlake.functions.geometry import geometry_label, point, srid_of
+from emberlake.operators import lookup
 from emberlake.operators.lookup import (
     Dimension,
     DuplicateKeyError,
@@ -86,6 +87,37 @@ def test_duplicate_dimension_keys(spark):
     require_unique(dim.filter("v > 2"), ["key"], "dim")
 
 
+def test_dimensions_are_measured_once(spark, monkeypatch):
+    dim = spark.sql("SELECT * FROM VALUES (1L, 'a', 'x'), (2L, 'b', 'x'), (3L, 'b', 'y') AS t(id, name, grp)")
+    facts = spark.sql("SELECT * FROM VALUES (1L, 'a'), (2L, 'b'), (2L, 'b'), (9L, 'z') AS t(fk, label)")
+    seen, plain = [], lookup.measure_all
+    monkeypatch.setattr(lookup, "measure_all", lambda sides: seen.append(len(sides)) or plain(sides))
+
+    def joined(where=None, on=None, unique=False, frame=dim, limit=lookup.BROADCAST_BYTES):
+        seen.clear()
+        on = on or {"fk": "id"}
+        take = {"id2": "id"} if "label" in on else {"name": "name"}
+        found = star_join(facts, [Dimension(frame, on, take, where)], "inner", unique=unique, limit=limit)
+        return found.count(), sum(seen), plan_of(found)
+
+    assert joined()[:2] == (3, 1)
+    # Another filter, or the same columns joined the other way round, needs no job.
+    assert joined(F.col("name") == "b")[:2] == (2, 0)
+    assert "BroadcastHashJoin" in joined(F.col("name") == "a")[2]
+    assert joined(on={"label": "name"})[:2] == (5, 0)
+    # Uniqueness is another question: asked once, and of the filtered side if the whole fails.
+    assert joined(unique=True)[:2] == (3, 1)
+    assert joined(unique=True)[:2] == (3, 0)
+    assert joined(F.col("grp") == "x", {"label": "name"}, unique=True)[:2] == (3, 2)
+    with pytest.raises(DuplicateKeyError):
+        joined(on={"label": "name"}, unique=True)
+    # A part may be small where the whole is not; a frame made anew is measured anew.
+    few = lookup.measure(dim.select("id", "name").limit(1)).bytes
+    found = joined(F.col("name") == "a", limit=few)
+    assert found[:2] == (1, 1) and "BroadcastHashJoin" in found[2]
+    assert joined(frame=dim.select("*"))[1] == 1
+
+
 def test_star_join_with_hot_key_without_broadcast(spark):
     """A key that holds a third of all rows, another third null, must give the same rows."""
     facts = spark.range(30000).select(

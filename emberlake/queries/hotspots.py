@@ -11,7 +11,7 @@ from emberlake.functions.quality import STATE_CODES
 from emberlake.operators.shaping import union_by_name
 from emberlake.plans.dashboard import Filters, chart_counts, hotspot_star, overview
 from emberlake.plans.dimensions import date_rows
-from emberlake.plans.fact import build_fact
+from emberlake.plans.fact import build_fact, refresh_fact
 from emberlake.plans.hotspots import clean_hotspots, load_hotspots
 from emberlake.queries import Query, table
 from emberlake.queries.cleaning import normal_sql
@@ -19,6 +19,7 @@ from emberlake.queries.dates import date_rows_sql, days_sql
 from emberlake.queries.geo import POINT_HEADER, double_hex_sql
 from emberlake.queries.stars import rounded
 from emberlake.session import scratch_folder
+from emberlake.sinks.tables import overwrite_table
 from emberlake.sources.tables import read_table
 
 # What each event type stands for: satellite, municipality, state, biome.
@@ -100,6 +101,22 @@ def hotspot_fact(spark: SparkSession, folder: str) -> DataFrame:
     return _fact_and_dimensions(spark, folder)[0].withColumn("geom_foco", F.lower(F.hex("geom_foco")))
 
 
+def fact_refreshed(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored fact after a first build without the last day and a refresh with it."""
+    path = {n: scratch_folder(spark, n) for n in ("trusted", "days", "towns", "biomes", "fact")}
+    rows = trusted(spark, folder)
+    first, last = rows.agg(F.min("dt_data"), F.max("dt_data")).first()
+    of_last = F.col("dt_data") == last
+    load_hotspots(rows.where(~of_last), path["trusted"])
+    _, towns, biomes = _dimensions(spark, folder, rows)
+    overwrite_table(towns, path["towns"])
+    overwrite_table(biomes, path["biomes"])
+    refresh_fact(spark, *path.values(), first)
+    load_hotspots(rows.where(of_last), path["trusted"])
+    refresh_fact(spark, *path.values(), first)
+    return read_table(spark, path["fact"]).withColumn("geom_foco", F.lower(F.hex("geom_foco")))
+
+
 def _star(spark: SparkSession, folder: str) -> DataFrame:
     filters = Filters("AQUA_M-T", datetime.date(2024, 1, 5), datetime.date(2024, 1, 31))
     return hotspot_star(*_fact_and_dimensions(spark, folder), filters)
@@ -159,9 +176,11 @@ TRUSTED_SQL = f"""
     FROM ({_NORMAL_SQL})
 """
 _AREA_ID = "CAST(length({0}) * 100 + ascii({0}) AS INTEGER)"
+_DAYS_SQL = date_rows_sql(days_sql("SELECT min(ts)::DATE FROM events", "SELECT max(ts)::DATE - 1 FROM events"))
+_ALL_DAYS_SQL = date_rows_sql(days_sql("SELECT min(ts)::DATE FROM events", "SELECT max(ts)::DATE FROM events"))
 _FACT_SQL = f"""
     WITH trusted AS ({TRUSTED_SQL}),
-    dm_data AS ({date_rows_sql(days_sql("SELECT min(ts)::DATE FROM events", "SELECT max(ts)::DATE - 1 FROM events"))}),
+    dm_data AS ({_DAYS_SQL}),
     dm_municipio AS (
         SELECT DISTINCT {_AREA_ID.format("municipio")} AS id_municipio, municipio AS nome, sigla_estado AS sigla FROM trusted
     ),
@@ -203,6 +222,11 @@ QUERIES = {
         f"{_FACT_SQL} SELECT * EXCLUDE (lon, lat), "
         f"'{POINT_HEADER}' || {double_hex_sql('lon')} || {double_hex_sql('lat')} AS geom_foco FROM ft",
     ),
+    "fact_refreshed": Query(
+        fact_refreshed,
+        f"{_FACT_SQL.replace(_DAYS_SQL, _ALL_DAYS_SQL)} SELECT * EXCLUDE (lon, lat), "
+        f"'{POINT_HEADER}' || {double_hex_sql('lon')} || {double_hex_sql('lat')} AS geom_foco FROM ft",
+    ),
     "hotspot_overview": Query(
         hotspot_overview,
         f"{_STAR_SQL} SELECT count(*) AS total_focos, count(DISTINCT id_municipio) AS total_municipios, "

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Collection, Mapping, Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -53,18 +53,38 @@ def laid_out(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partition_by) if partition_by else df
 
 
-def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> None:
+def overwrite_table(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    sort_by: Sequence[str] = (),
+    sources: Mapping[str, Sequence[str]] | None = None,
+) -> None:
     """Replace all rows of a table, which ``df`` may read.
 
     ``sort_by`` orders rows within each file so that scans filtering on those
     columns skip row groups. A run that dies leaves the old rows; a reader
-    under way goes on reading them.
+    under way goes on reading them. ``sources`` is kept with the version.
     """
     path, spark = path.rstrip("/"), df.sparkSession
     before = current_version(spark, path)
     folders = _write(df, path, partition_by, sort_by)
     number = before.number + 1 if before else 0
-    _commit(spark, path, Version(number, df.schema, tuple(partition_by), tuple(folders)))
+    _commit(spark, path, Version(number, df.schema, tuple(partition_by), tuple(folders), sources or {}))
+
+
+def replace_folders(
+    df: DataFrame, path: str, version: Version, stale: Collection[str], sort_by: Sequence[str], sources: Mapping[str, Sequence[str]]
+) -> None:
+    """Replace the partitions ``stale`` (such as ``year=2024/month=1``) of a version by the rows of ``df``.
+
+    ``df`` holds no rows of other partitions, and a stale one that it has no rows of is gone. Folders of the others are
+    neither read nor written.
+    """
+    path = path.rstrip("/")
+    written = _write(df, path, version.partition_by, sort_by)
+    kept = [f for f in version.folders if f.rpartition("/")[0] not in stale]
+    _commit(df.sparkSession, path, Version(version.number + 1, df.schema, version.partition_by, (*kept, *written), sources))
 
 
 def _partition_text(names: Sequence[str]) -> Column:

@@ -9,8 +9,8 @@ table; a reader looks it up once and reads those folders, whatever is written me
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Mapping
-from dataclasses import dataclass
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -22,15 +22,20 @@ VERSION_COLUMN = "__version"
 
 @dataclass(frozen=True)
 class Version:
-    """What a table consists of: folders below its path, each with the files of one write to one partition."""
+    """What a table consists of: folders below its path, each with the files of one write to one partition.
+
+    ``sources`` holds, by name, the folders of the tables that a derived table was built from; empty if not told.
+    """
 
     number: int
     schema: T.StructType
     partition_by: tuple[str, ...]
     folders: tuple[str, ...]
+    sources: Mapping[str, Sequence[str]] = field(default_factory=dict)
 
     def to_json(self) -> str:
         whole = {"schema": self.schema.jsonValue(), "partition_by": self.partition_by, "folders": self.folders}
+        whole["sources"] = {name: sorted(folders) for name, folders in self.sources.items()}
         return json.dumps(whole)
 
 
@@ -63,7 +68,8 @@ def version_of(spark: SparkSession, path: str, number: int) -> Version:
         whole = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
     finally:
         stream.close()
-    return Version(number, T.StructType.fromJson(whole["schema"]), tuple(whole["partition_by"]), tuple(whole["folders"]))
+    schema = T.StructType.fromJson(whole["schema"])
+    return Version(number, schema, tuple(whole["partition_by"]), tuple(whole["folders"]), whole.get("sources", {}))
 
 
 def current_version(spark: SparkSession, path: str) -> Version | None:
@@ -101,6 +107,14 @@ def read_table(spark: SparkSession, path: str, fmt: str = FORMAT) -> DataFrame:
     return spark.read.format(fmt).load(path) if version is None else read_folders(spark, path, version, version.folders)
 
 
+def read_version(spark: SparkSession, path: str) -> tuple[DataFrame, Version | None]:
+    """A lake table and the version that was read; None for folders of other writers."""
+    path = path.rstrip("/")
+    version = current_version(spark, path)
+    found = spark.read.format(FORMAT).load(path) if version is None else read_folders(spark, path, version, version.folders)
+    return found, version
+
+
 def query(spark: SparkSession, tables: Mapping[str, DataFrame], text: str, **args) -> DataFrame:
     """SQL over frames, named in braces (``FROM {orders}``); values are bound as ``:name`` parameters, never pasted in.
 

@@ -12,7 +12,7 @@ from emberlake.plans.ingest import ingest
 from emberlake.queries import Query, table
 from emberlake.session import scratch_folder
 from emberlake.sources.files import read_csv, select_new_files
-from emberlake.sources.links import ANCHOR, ENTITIES, HIDDEN, extract_links
+from emberlake.sources.links import extract_links
 from emberlake.sources.marks import latest, read_mark, write_mark
 from emberlake.sources.tables import file_system, read_table
 from emberlake.streaming.daily import append_available, stream_csv
@@ -119,15 +119,24 @@ def links_by_suffix(spark: SparkSession, folder: str) -> DataFrame:
     return extract_links(table(spark, folder, "pages"), "url", "html", "e")
 
 
-def _links_sql(suffix: str) -> str:
-    quoted = [p.replace("'", "''") for p in (HIDDEN, ANCHOR)]
-    href = """regexp_replace(raw, '^["'']|["'']$', '', 'g')"""
-    for entity, char in ENTITIES:
-        href = f"replace({href}, '{entity}', '{char.replace(chr(39), chr(39) * 2)}')"
+def links_in_odd_markup(spark: SparkSession, folder: str) -> DataFrame:
+    """The same links in pages that quote, space and hide their markup as real ones do."""
+    pages = table(spark, folder, "pages")
+    anchor = "<A title='x > y' data-href=\"/no\"\n  HREF = '&#x2F;odd&sol;"
+    html = F.replace(F.col("html"), F.lit('<a href="'), F.lit(anchor))
+    # Values are single-quoted now: the quote that closes each is the first one after its start.
+    pieces = F.split(html, "(?<=&sol;)")
+    html = F.array_join(F.transform(pieces, lambda p, i: F.when(i == 0, p).otherwise(F.regexp_replace(p, '^([^"]*)"', "$1'"))), "")
+    before = "<!-- > <a href='/comment'> --><script>'<a href=\"/script\">'</script><textarea><a href=/area></textarea>"
+    return extract_links(pages.withColumn("html", F.concat(F.lit(before), html, F.lit("<!-- <a href='/unclosed'>"))), "url", "html", "")
+
+
+def _links_sql(suffix: str = "", prefix: str = "") -> str:
+    """The given pages write every anchor as ``<a href="address">``, without references, and hide none."""
     return (
-        f"SELECT page_id, url, concat(url, href) AS link FROM (SELECT page_id, url, {href} AS href FROM ("
-        f"SELECT page_id, url, unnest(regexp_extract_all(regexp_replace(html, '{quoted[0]}', '', 'g'), '{quoted[1]}', 1)) "
-        f"AS raw FROM pages)) WHERE ends_with(href, '{suffix}')"
+        f"SELECT page_id, url, concat(url, '{prefix}', split_part(tail, '\"', 1)) AS link FROM ("
+        "SELECT page_id, url, unnest(string_split(html, '<a href=\"')[2:]) AS tail FROM pages) "
+        f"WHERE contains(tail, '\">') AND ends_with(split_part(tail, '\"', 1), '{suffix}')"
     )
 
 
@@ -152,6 +161,7 @@ QUERIES = {
         "SELECT DISTINCT concat('data/focos_br_', strftime(o_orderdate, '%Y%m%d'), '.csv') AS name FROM orders "
         "WHERE o_orderdate > (SELECT arg_max(o_orderdate, o_totalprice) FROM orders)",
     ),
-    "extract_links": Query(links, _links_sql("")),
+    "extract_links": Query(links, _links_sql()),
     "extract_links_suffix": Query(links_by_suffix, _links_sql("e")),
+    "extract_links_odd_markup": Query(links_in_odd_markup, _links_sql(prefix="/odd/")),
 }

@@ -3,17 +3,90 @@
 from __future__ import annotations
 
 import json
+import re
+from collections.abc import Iterator
+from html import unescape
 from html.entities import html5
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
-# Parts of a page that hold no links: comments, scripts, styles.
-HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-# An anchor tag up to its href value: double-quoted, single-quoted or bare.
-ANCHOR = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-# Frequent entities in addresses, for the SQL of the queries; ``decoded`` knows all. The ampersand is last so that no new entity arises.
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+# White space of the standard, for use in a class.
+_SPACE = r"\t\n\f\r "
+# Where text ends: a comment, a tag, or what is read as a comment up to the next ``>``.
+_MARKUP = re.compile(rf"<(?:(?P<comment>!--)|(?P<end>/?)(?P<name>[a-zA-Z][^{_SPACE}/>]*)|[!?/])")
+_COMMENT_END = re.compile(r"(?<=<!--)-?>|--!?>")
+_BETWEEN = re.compile(rf"[{_SPACE}/]*")
+_NAME = re.compile(rf"=?[^{_SPACE}/>=]*")
+_EQUALS = re.compile(rf"[{_SPACE}]*=[{_SPACE}]*")
+_VALUE = re.compile(rf"\"([^\"]*)\"|'([^']*)'|(?![\"'])([^{_SPACE}>]*)")
+# Elements whose content is text up to their own end tag.
+_TEXT_ONLY = {n: re.compile(rf"(?i)</{n}(?=[{_SPACE}/>])") for n in "script style title textarea xmp iframe noembed noframes".split()}
+# A character reference in an attribute; a name without a semicolon counts only where neither = nor more letters follow.
+_REFERENCE = re.compile(r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[a-zA-Z][a-zA-Z0-9]*(?:;|(?![=a-zA-Z0-9;])))")
+_HAS_ANCHOR = rf"(?i)<a[{_SPACE}/]"
+
+
+def _attribute(value: str) -> str:
+    """``value`` with its character references decoded as in attributes: ``?a=1&copy=2`` stays as it is."""
+    return _REFERENCE.sub(lambda m: unescape(m[0]) if m[0][1] == "#" else html5.get(m[0][1:], m[0]), value)
+
+
+def hrefs_of(page: str) -> Iterator[str]:
+    """The href of every anchor's start tag, in order, by the tokenising states of the HTML standard.
+
+    Quoted values may hold ``>``; of a repeated attribute the first counts; an href without a value is empty. Comments
+    and the content of scripts, styles, titles and text areas hold no tags, and an unclosed one runs to the end of the
+    page, as does an unclosed tag. A script ends at its first end tag.
+    """
+    at = 0
+    while opened := _MARKUP.search(page, at):
+        at = opened.end()
+        if opened["comment"]:
+            close = _COMMENT_END.search(page, at)
+        elif opened["name"] is None:
+            close = re.compile(">").search(page, at)
+        else:
+            href = None
+            while True:
+                at = _BETWEEN.match(page, at).end()
+                if at == len(page):
+                    return
+                if page[at] == ">":
+                    at += 1
+                    break
+                name = _NAME.match(page, at)
+                at, value = name.end(), ""
+                if equals := _EQUALS.match(page, at):
+                    found = _VALUE.match(page, equals.end())
+                    if not found:  # a quote that never closes
+                        return
+                    at, value = found.end(), found[found.lastindex]
+                if href is None and name[0].lower() == "href":
+                    href = value
+            tag = opened["name"].lower()
+            if opened["end"]:
+                continue
+            if tag == "a" and href is not None:
+                yield _attribute(href)
+            if tag == "plaintext":
+                return
+            if tag not in _TEXT_ONLY:
+                continue
+            if close := _TEXT_ONLY[tag].search(page, at):
+                at = close.start()
+                continue
+        if not close:
+            return
+        at = close.end()
+
+
+@F.arrow_udf(ArrayType(StringType()))
+def _hrefs(pages: pa.Array) -> pa.Array:
+    # One page at a time as text of Python, however many a batch holds.
+    return pa.array((list(hrefs_of(p.as_py() or "")) for p in pages), pa.list_(pa.string()))
 
 
 # A character reference, text without one, or a lone ampersand.
@@ -64,13 +137,10 @@ def extract_links(pages: DataFrame, url: str, html: str, suffix: str, link: str
     """One row per anchor whose href ends in ``suffix``, with the page address put before it.
 
     The address is concatenated, not resolved, and repeated links stay
-    repeated. This is a pattern over tags, not an HTML parser; character
-    references in an href are all decoded.
+    repeated. Only the page itself goes through Arrow, and only pages with
+    an anchor; see :func:`hrefs_of` for what counts as one.
     """
-    visible = F.regexp_replace(F.col(html), HIDDEN, "")
-    hrefs = F.regexp_extract_all(visible, F.lit(ANCHOR), F.lit(1))
     rest = [c for c in pages.columns if c != html]
-    found = pages.select(*rest, F.explode(hrefs).alias("__href"))
-    href = decoded(F.regexp_replace("__href", r"""^["']|["']$""", ""))
-    found = found.withColumn("__href", href).filter(F.col("__href").endswith(suffix))
+    found = pages.where(F.col(html).rlike(_HAS_ANCHOR)).select(*rest, F.explode(_hrefs(F.col(html))).alias("__href"))
+    found = found.filter(F.col("__href").endswith(suffix))
     return found.select(*rest, F.concat(F.col(url), F.col("__href")).alias(link))

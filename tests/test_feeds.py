@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from emberlake.plans.ingest import ingest, new_rows
 from emberlake.sources.files import list_files, read_csv, select_new_files
-from emberlake.sources.links import decoded, extract_links
+from emberlake.sources.links import decoded, extract_links, hrefs_of
 from emberlake.sources.marks import latest, read_mark, write_mark
 from emberlake.sources.tables import read_table
 from emberlake.streaming.daily import append_available, stream_csv
@@ -153,6 +153,53 @@ def test_extract_links(spark):
     )
 
 
+@pytest.mark.parametrize(
+    "page, expected",
+    [
+        ("", []),
+        ("<a", []),
+        ("<a href", []),
+        ("<a href='x", []),
+        ("<a href='x'", []),
+        ("<a href>", [""]),
+        ("<a href=>t</a>", [""]),
+        ("<a title='1 > 0' href='x'>", ["x"]),
+        ("""<a href='it"s' id="a'b">""", ['it"s']),
+        ("<a href='x' href='y'>", ["x"]),
+        ("<a data-href='x' xhref=y>", []),
+        ("<a/href=x/>", ["x/"]),
+        ("<a =href=x>", []),
+        ("<a\n\tHREF\n=\n x >", ["x"]),
+        ("<a title=it's href=x>", ["x"]),
+        ("</a href=x><a href=y>", ["y"]),
+        ("<abbr href=x><A HREF=y>", ["y"]),
+        ("<!-- <a href=x> --><a href=y>", ["y"]),
+        ("<!--><a href=x><!---><a href=y>", ["x", "y"]),
+        ("<!-- <a href=x> --!><a href=y>", ["y"]),
+        ("<a href=x><!-- <a href=y> <a href=z>", ["x"]),
+        ("<!doctype html><?pi <a href=x>?><a href=y></><a href=z>", ["y", "z"]),
+        ("<script>'</scripts><a href=x>'</SCRIPT ><a href=y>", ["y"]),
+        ("<style><a href=x>", []),
+        ("<title><a href=x></title><textarea><a href=y></textarea><noscript><a href=z></noscript>", ["z"]),
+        ("a < b <a href=x> 1 <2 <3 <a href=y>", ["x", "y"]),
+        ("<a href='?a=1&copy=2&copy;&copyx&amp;lt&lt'>", ["?a=1&copy=2\u00a9&copyx&lt<"]),
+        ("<a href='&#47;&#x2f&nothing;&'>", ["//&nothing;&"]),
+        ("<a href=x>" * 50_000 + "<a " * 50_000, ["x"] * 50_000),
+    ],
+)
+def test_hrefs_by_the_states_of_the_standard(page, expected):
+    assert list(hrefs_of(page)) == expected
+
+
+def test_links_of_nulls_empty_tables_and_other_columns(spark):
+    schema = "href string, url string, html string, suffix int"
+    rows = [("h", "u/", "<a href=b>", 1), ("h", None, "<a href=b>", 2), ("h", "u/", None, 3), ("h", "u/", "", 4), ("h", "u/", "<a href=b>", 1)]
+    got = extract_links(spark.createDataFrame(rows, schema), "url", "html", "b")
+    assert got.columns == ["href", "url", "suffix", "link"]
+    assert sorted((r.suffix, r.link) for r in got.collect()) == [(1, "u/b"), (1, "u/b"), (2, None)]
+    assert extract_links(spark.createDataFrame([], schema), "url", "html", "").collect() == []
+
+
 def test_links_with_any_entity(spark):
     page = """<a href="a&#x2F;b&#46;csv">1</a><a href='caf&eacute;&apos;s.csv'>2</a><a href=x&amp;lt;.csv>3</a><a href="&#x1F600;.csv">4</a>"""
     pages = spark.createDataFrame([("u/", page)], "url string, html string")

@@ -21,8 +21,8 @@ TYPES = {
     "timestamp_ntz": "TIMESTAMP",
     "boolean": "BOOLEAN",
 }
-# Only encoding and decoding of geometry leaves the JVM.
-WITH_PYTHON = {"point_ewkb", "srid_relabel", "map_points", "hotspot_fact", "layer_scan", "layer_clean", "area_dimension", "area_transform"}
+# Only encoding and decoding of geometry and the reading of web pages leave the JVM.
+WITH_PYTHON = {"extract_links", "extract_links_suffix", "extract_links_odd_markup", "point_ewkb", "srid_relabel", "map_points", "hotspot_fact", "layer_scan", "layer_clean", "area_dimension", "area_transform"}
 
 
 @pytest.fixture(scope="module")

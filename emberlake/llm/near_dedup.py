@@ -368,3 +368,30 @@ def op1_near_dedup(spark, folder: str) -> DataFrame:
     from emberlake.queries import table
 
     return near_duplicates(table(spark, folder, "documents")).drop("text_key")
+
+
+SQL = r"""
+WITH RECURSIVE
+split AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+),
+placed AS (SELECT doc_id, len(words) AS n, unnest(words) AS w, generate_subscripts(words, 1) AS pos FROM split),
+grams AS (
+    SELECT doc_id, n, pos, concat_ws(' ', w, lead(w, 1) OVER d, lead(w, 2) OVER d, lead(w, 3) OVER d, lead(w, 4) OVER d) AS gram
+    FROM placed WINDOW d AS (PARTITION BY doc_id ORDER BY pos)
+),
+sets AS (SELECT DISTINCT doc_id, gram FROM grams WHERE pos <= greatest(n - 4, 1)),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM sets a JOIN sets b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY 1, 2
+),
+links AS (
+    SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * common >= 85 * (x.n + y.n - common)
+),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id, doc_id AS met FROM documents UNION SELECT reach.doc_id, ways.b FROM reach JOIN ways ON ways.a = reach.met),
+least AS (SELECT doc_id, min(met) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, l.component_id, d.doc_id = l.component_id AS kept
+FROM documents d JOIN least l ON l.doc_id = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
+"""

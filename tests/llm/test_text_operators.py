@@ -296,7 +296,7 @@ def test_repeated_and_null_ids(spark):
     assert fingerprints.compare_with_edited(docs).count() == 6
 
 
-@pytest.mark.parametrize("name", ["op7_line_dedup", "op10_substring_dedup"])
+@pytest.mark.parametrize("name", ["op1_near_dedup", "op7_line_dedup", "op10_substring_dedup"])
 def test_queries_agree_with_sql(spark, data, name):
     from emberlake.llm.queries import QUERIES
 

@@ -354,6 +354,34 @@ def test_few_vectors(spark):
     assert neighbours.nearest(spark.createDataFrame([], VECTORS)).count() == 0
 
 
+def test_every_length_and_precision(spark, monkeypatch):
+    """Doubles are not rounded, and each length is searched among its own; against all products."""
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(neighbours, "BLOCK_QUERIES", 3)
+    rng = np.random.default_rng(4)
+    sizes = [1] * 5 + [2] * 130 + [3] * 40 + [700] * 2
+    vectors = {20 * i if i % 3 else 20 * i + 1: 1e9 + rng.normal(size=d) for i, d in enumerate(sizes)}
+    vectors |= {10_000: np.array([0.5, 1e39]), 10_001: np.array([1e-200, 0.0]), 10_003: np.full(5, 2.0), 10_020: np.full(4, 1e-170)}
+    rows = [(i, v.tolist(), 1, 2, "x") for i, v in vectors.items()]
+    got = {}
+    found = neighbours.nearest(spark.createDataFrame(rows * 2, VECTORS.replace("float", "double")), share=1.0)
+    for r in found.orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    expected = {}
+    for query, own in vectors.items():
+        scored = sorted((-float((own * v).sum()), i) for i, v in vectors.items() if i != query and len(v) == len(own))
+        if query % 20 == 0 and scored:
+            expected[query] = [(i, -s) for s, i in scored[:20]]
+    assert got == expected
+    assert got[10_000][0][1] > 1e47 and len(got[20]) == 4
+
+
+def test_products_beyond_doubles(spark):
+    rows = [(0, [1e300, -1e300], 1, 2, "x"), (1, [1e300, 1e300], 1, 2, "x"), (2, [1e300, 0.0], 1, 2, "x"), (3, [1.0, 0.0], 1, 2, "x"), (4, [-1e300, 0.0], 1, 2, "x")]
+    got = [(r.vec_id, r.score) for r in neighbours.nearest(spark.createDataFrame(rows, VECTORS.replace("float", "double"))).orderBy("rank").collect()]
+    assert got == [(2, math.inf), (3, 1e300), (1, -math.inf), (4, -math.inf)]
+
+
 def test_pipeline_stages(spark, tmp_path):
     """Each stage against what its own input asks for."""
     base, footer = EN(120), "a footer line that all share"

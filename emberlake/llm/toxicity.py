@@ -2,11 +2,15 @@
 
 Stems and weights are learned. A trie of the stems is intersected with a Levenshtein automaton of one edit: the pairs
 of trie node and spent edits that a word's letters can reach make one state, and states are built when first needed.
+
+Context tells abuse from quotation: a hit between a pair of quotation marks is quoted, and the words around a hit weigh as
+much as the labelled rows say they do.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -16,26 +20,53 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emberlake.llm.common import stored
+from emberlake.llm.common import slices, stored
 
 _WORD = re.compile(r"[^\W\d_]+")
-# Marks and words that introduce or close what someone else said.
-_QUOTES = re.compile("[\"“”„«»‹›`]|''|(?<!\\w)['‘’]|['’](?!\\w)")
-_REPORTING = re.compile(r"\b(said|says|wrote|writes|called|quot\w*|slur|word|term|insult\w*|dijo|llam\w*|sagte|nannte|wort|dit|mot|appel\w*)\b")
+# Quotation marks, and those that pair with one another; a quotation ends with its line at the latest.
+_MARKS = re.compile("''|[\"“”„«»‹›`'‘’\n]")
+_PAIRED = {"“": "”", "„": "”", "«": "»", "‹": "›", "‘": "'", "’": "'"}
 
 MIN_STEM, MAX_STEM = 4, 10
 # Shorter stems allow no edit: too many other words are near.
 MIN_FUZZY = 5
 # Characters on each side of a hit that make its context.
 CONTEXT = 48
-FEATURES = 6
+# Bounds of what the words around one hit weigh.
+CONTEXT_LIMIT = 3.0
+FEATURES = 7
+
+
+def quotations(text: str) -> tuple[list[int], list[int]]:
+    """Starts of the quotations of a text, ascending, and the farthest end of those that start up to there.
+
+    A mark opens a quotation where a word may start after it, and closes the one of its kind that is open where a word
+    may end before it; angle marks do so in turn, whichever way they point. An apostrophe inside a word is no mark.
+    """
+    opened: dict[str, int] = {}
+    spans = []
+    for found in _MARKS.finditer(text):
+        mark, (at, end) = found.group(), found.span()
+        if mark == "\n":
+            opened.clear()
+            continue
+        kind = _PAIRED.get(mark, mark)
+        angle, before, after = kind in "»›", text[at - 1 : at] if at else "", text[end : end + 1]
+        if kind in opened and mark != "„" and (angle or not (before.isspace() or after.isalnum())):
+            spans.append((opened.pop(kind), at))
+        elif angle or (after and not after.isspace() and not before.isalnum()):
+            opened[kind] = end
+    starts, ends = [], []
+    for start, end in sorted(spans):
+        starts.append(start), ends.append(max(end, ends[-1]) if ends else end)
+    return starts, ends
 
 
 class StemMatcher:
     """Finds words that begin with a stem, or with a text one edit away from it."""
 
-    def __init__(self, stems: dict[str, float]) -> None:
-        self.weights = stems
+    def __init__(self, stems: dict[str, float], contexts: dict[str, float] | None = None) -> None:
+        self.weights, self.contexts = stems, contexts or {}
         self.children: list[dict[str, int]] = [{}]
         self.ends: list[str | None] = [None]
         self.fuzzy: list[bool] = [False]
@@ -107,10 +138,9 @@ class StemMatcher:
                 found = found or hit
         return found
 
-    def features(self, text: str) -> np.ndarray:
-        """Of a text: exact and misspelled abusive hits, quoted hits, density, heaviest stem, hits near other hits."""
-        low = text.lower()
-        words, exact, fuzzy, quoted, near, heaviest, last, done = 0, 0.0, 0.0, 0.0, 0, 0.0, -(10**9), 0
+    def matches(self, text: str) -> Iterator[tuple[str, int, int, int] | None]:
+        """Of every word of a lower-cased text (stem, edits, start, end) where it matches, None otherwise."""
+        done = 0
         seen: dict[str, tuple[str, int] | None] = {}
 
         def look(word: str) -> tuple[str, int] | None:
@@ -118,51 +148,71 @@ class StemMatcher:
                 seen[word] = self.match(word)
             return seen[word]
 
-        for found in _WORD.finditer(low):
+        for found in _WORD.finditer(text):
             at, end = found.span()
             if at < done:
                 continue
-            words += 1
             hit = look(found.group())
             if hit is None:
                 # One digit or symbol between letters may be the edit; a second one would be another edit.
-                rest = _WORD.match(low, end + 1) if end < len(low) and not low[end].isspace() else None
-                if rest is None or (look(rest.group()) or ("", 1))[1] == 0:
-                    continue
-                hit = look(low[at : rest.end()])
-                if hit is None:
-                    continue
-                end = done = rest.end()
-            before, after = low[max(0, at - CONTEXT) : at], low[end : end + CONTEXT]
-            quote = bool(_QUOTES.search(before) and _QUOTES.search(after)) or bool(_REPORTING.search(before) and _QUOTES.search(before))
-            if quote:
+                rest = _WORD.match(text, end + 1) if end < len(text) and not text[end].isspace() else None
+                if rest is not None and (look(rest.group()) or ("", 1))[1] > 0:
+                    hit = look(text[at : rest.end()])
+                    if hit is not None:
+                        end = done = rest.end()
+            yield hit and (*hit, at, end)
+
+    def features(self, text: str) -> np.ndarray:
+        """Of a text: exact and misspelled abusive hits, quoted hits, density, heaviest stem, hits near other hits, contexts."""
+        low = text.lower()
+        words, exact, fuzzy, quoted, near, heaviest, last, around = 0, 0.0, 0.0, 0.0, 0, 0.0, -(10**9), 0.0
+        quotes = None
+        for hit in self.matches(low):
+            words += 1
+            if hit is None:
+                continue
+            stem, edits, at, end = hit
+            quotes = quotes or quotations(low)
+            place = bisect_right(quotes[0], at) - 1
+            if place >= 0 and quotes[1][place] >= end:
                 quoted += 1
-            elif hit[1]:
-                fuzzy += 1
             else:
-                exact += 1
-            if not quote:
-                heaviest = max(heaviest, self.weights[hit[0]] / (1 + hit[1]))
+                exact, fuzzy = exact + (edits == 0), fuzzy + (edits > 0)
+                heaviest = max(heaviest, self.weights[stem] / (1 + edits))
+                weight = sum(self.contexts.get(w, 0.0) for w in context_words(low, at, end)) if self.contexts else 0.0
+                around += max(-CONTEXT_LIMIT, min(CONTEXT_LIMIT, weight))
             near += at - last < 2 * CONTEXT
             last = at
-        density = 100 * (exact + fuzzy) / max(words, 1)
-        return np.array([np.log1p(exact), np.log1p(fuzzy), np.log1p(quoted), np.log1p(density), heaviest, np.log1p(near)])
+        hits = exact + fuzzy
+        density = 100 * hits / max(words, 1)
+        return np.array([np.log1p(exact), np.log1p(fuzzy), np.log1p(quoted), np.log1p(density), heaviest, np.log1p(near), around / max(hits, 1)])
+
+
+def context_words(text: str, at: int, end: int) -> list[str]:
+    """Distinct whole words within CONTEXT characters of a hit, ordered."""
+    before, after = text[max(0, at - CONTEXT) : at], text[end : end + CONTEXT]
+    if at > CONTEXT:  # a word that the window cuts does not count
+        before = before.partition(" ")[2]
+    if end + CONTEXT < len(text):
+        after = after.rpartition(" ")[0]
+    return sorted({*_WORD.findall(before), *_WORD.findall(after)})
 
 
 @dataclass
 class ToxicityModel:
-    """Stems with log-odds, and the weights of the features (the last is the constant)."""
+    """Stems and words of contexts with log-odds, and the weights of the features (the last is the constant)."""
 
     stems: dict[str, float]
     weights: np.ndarray
+    contexts: dict[str, float] = field(default_factory=dict)
     _matcher: StemMatcher | None = field(default=None, repr=False)
 
     def __getstate__(self):
-        return {"stems": self.stems, "weights": self.weights, "_matcher": None}
+        return {"stems": self.stems, "weights": self.weights, "contexts": self.contexts, "_matcher": None}
 
     def score(self, text: str) -> float:
         if self._matcher is None:
-            self._matcher = StemMatcher(self.stems)
+            self._matcher = StemMatcher(self.stems, self.contexts)
         z = float(self._matcher.features(text) @ self.weights[:-1] + self.weights[-1])
         return 1 / (1 + np.exp(-z)) if z > -700 else 0.0
 
@@ -216,12 +266,46 @@ def learn_stems(sample: DataFrame, size: int | None = None) -> dict[str, float]:
     return chosen
 
 
+def learn_contexts(sample: DataFrame, stems: dict[str, float]) -> dict[str, float]:
+    """Words around hits that tell abusive hits from others, with their log-odds.
+
+    Each distinct context counts once, so that copies of one text do not. As with stems, a word must beat what the best of
+    as many reaches by chance, either way.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = StemMatcher(stems)
+        for batch in slices(batches):
+            words, label = [], []
+            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
+                low = text.lower()
+                own = [context_words(low, *hit[2:]) for hit in matcher.matches(low) if hit]
+                words += own
+                label += [toxic] * len(own)
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.list_(pa.string())), pa.array(label, pa.int32())], ["words", "toxic"])
+
+    if not stems:
+        return {}
+    contexts = stored(sample.mapInArrow(run, "words array<string>, toxic int").distinct(), "contexts")
+    head = contexts.agg(F.count_if(F.col("toxic") == 0).alias("clean"), F.count_if(F.col("toxic") == 1).alias("toxic")).first()
+    if not head["clean"] or not head["toxic"]:
+        return {}
+    share = head["toxic"] / (head["clean"] + head["toxic"])
+    counts = contexts.select(F.explode("words").alias("word"), "toxic").groupBy("word")
+    counts = stored(counts.agg(F.count_if(F.col("toxic") == 0).alias("clean"), F.count_if(F.col("toxic") == 1).alias("toxic")).where("clean + toxic > 1"), "context-words")
+    p = F.col("toxic") / (F.col("toxic") + F.col("clean"))
+    told = [F.when(F.col(c) > 0, F.col(c) * F.log(q / F.lit(of))).otherwise(0.0) for c, q, of in (("toxic", p, share), ("clean", 1 - p, 1 - share))]
+    odds = F.log((F.col("toxic") + 0.5) / (head["toxic"] + 1)) - F.log((F.col("clean") + 0.5) / (head["clean"] + 1))
+    found = counts.where(told[0] + told[1] >= float(np.log(max(counts.count(), 2)) + 1)).select("word", odds.alias("odds")).orderBy("word")
+    return {r["word"]: r["odds"] for r in found.collect()}
+
+
 def fit_weights(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, steps: int = 30) -> np.ndarray:
     """Logistic regression by Newton steps; the prior mean says that hits are evidence and quoted ones are not.
 
     A misspelled hit is held to be worth part of an exact one unless the rows say otherwise: few rows hold any.
     """
-    prior = np.array([2.0, 1.0, 0.0, 0.0, 0.3, 0.0, -4.0])
+    prior = np.array([2.0, 1.0, 0.0, 0.0, 0.3, 0.0, 0.5, -4.0])
     design = np.hstack([x, np.ones((len(x), 1))])
     w = prior.copy()
     penalty = np.diag([ridge * 20, 0.0, *[ridge * 20] * (FEATURES - 2), ridge])
@@ -249,16 +333,17 @@ def train_toxicity(labelled: DataFrame, lexicon: int | None = None, sample_rows:
     draw = F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(1_000_000))
     sample = stored(rows.where(draw < int(min(1.0, sample_rows / max(total, 1)) * 1_000_000)), "toxic-sample")
     stems = learn_stems(sample.select("text", "toxic"), lexicon)
+    contexts = learn_contexts(sample.select("text", "toxic"), stems)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = StemMatcher(stems)
+        matcher = StemMatcher(stems, contexts)
         for batch in batches:
             x = np.array([matcher.features(t) for t in batch.column("text").to_pylist()]).reshape(-1, FEATURES)
             yield pa.RecordBatch.from_arrays([pa.array(list(x), pa.list_(pa.float64())), batch.column("toxic")], ["x", "toxic"])
 
     found = sample.select("text", "toxic").mapInArrow(measure, "x array<double>, toxic int").toArrow()
     x = np.array(found["x"].to_pylist()).reshape(-1, FEATURES)
-    return ToxicityModel(stems, fit_weights(x, found["toxic"].to_numpy().astype(float)))
+    return ToxicityModel(stems, fit_weights(x, found["toxic"].to_numpy().astype(float)), contexts)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text", extra: dict[str, Column] | None = None) -> DataFrame:
@@ -267,7 +352,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id"
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *[c.alias(k) for k, c in extra.items()], F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             scores = [model.score(t or "") for t in batch.column("text").to_pylist()]
             names = batch.schema.names[:-1]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(scores, pa.float64())], [*names, "score"])

@@ -217,6 +217,48 @@ def test_toxicity_is_learned_and_quotes_count_less(spark):
     assert toxicity.score_toxicity(spark.createDataFrame([], SCHEMA), model).count() == 0
 
 
+@pytest.mark.parametrize(
+    "text, quoted",
+    [
+        ("you idiot", False),
+        ('"hello" you idiot "bye"', False),
+        ('he said "fine" and you are an idiot', False),
+        ("`x` you idiot `y`", False),
+        ("it's the dogs' idiot and cats' bone's", False),
+        ('an open "quotation, idiot', False),
+        ('a "line\nidiot" ends it', False),
+        ('2" idiot 3"', False),
+        ('"you idiot" was written there', True),
+        ('"idiot"', True),
+        ('he wrote "out, idiot, get out!" to me', True),
+        ("they call it 'idiot' there", True),
+        ("\u201cyou idiot\u201d", True),
+        ("\u201eyou idiot\u201c", True),
+        ("\u201dyou idiot\u201d", True),
+        ("\u00ab you idiot \u00bb", True),
+        ("\u00bbyou idiot\u00ab", True),
+        ("''you idiot''", True),
+        ("\u201cit said \u2018so\u2019, idiot, and went\u201d", True),
+    ],
+)
+def test_hits_inside_pairs_of_marks_are_quoted(text, quoted):
+    features = toxicity.StemMatcher({"idiot": 3.0}).features(text)
+    assert (features[0] > 0, features[2] > 0) == (not quoted, quoted)
+
+
+def test_contexts_are_learned_from_distinct_ones(spark):
+    words, rng = syllables(6, ["the", "ing", "er", "an", "re", "ou", "be"]), random.Random(3)
+    rows = [f"{words(9)} you idiot {words(9)}" for _ in range(120)] + [f"{words(9)} novel idiot {words(9)}" for _ in range(35)]
+    rows += [words(rng.randint(1, 30)) for _ in range(300)]
+    labelled = [(i, t, int(i < 120)) for i, t in enumerate(rows)]
+    model = toxicity.train_toxicity(spark.createDataFrame(labelled, "doc_id long, text string, toxic int"))
+    assert list(model.stems) == ["idiot"]
+    assert model.contexts["novel"] < 0 < model.contexts["you"]
+    assert model.score("re anthe you idiot bethe") > 0.7 > 0.3 > model.score("re anthe novel idiot bethe")
+    copies = spark.createDataFrame([(rows[0], 1)] * 500 + [(rows[130], 0)] * 500, "text string, toxic int")
+    assert toxicity.learn_contexts(copies, model.stems) == {}
+
+
 def test_toxicity_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, text string, toxic int")
     assert toxicity.train_toxicity(none).score("anything") < 0.3

@@ -17,17 +17,18 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from emberlake.llm.common import rows_of_texts
+from emberlake.llm.common import rows_of_texts, slices
 
 MARK = "▁"
-# Chunks a task's table holds before it starts anew: some 150 MB. Only speed depends on it.
-TABLE_CHUNKS = 400_000
+# Chunks, and characters of chunks, ids and decoded text, that a task's table holds before it starts anew: some 150 MB.
+# Without spaces a chunk is a line, so their number alone bounds nothing. Only speed depends on either.
+TABLE_CHUNKS, TABLE_CHARS = 400_000, 24_000_000
 
 
 class ChunkTable:
     """Ids, as comma-joined text, and decoded text of distinct chunks under one model."""
 
-    def __init__(self, model_file: str, limit: int = TABLE_CHUNKS) -> None:
+    def __init__(self, model_file: str, limit: int = TABLE_CHUNKS, chars: int = TABLE_CHARS) -> None:
         self.sp = sentencepiece.SentencePieceProcessor(model_file=model_file)
         pieces = [self.sp.id_to_piece(i) for i in range(self.sp.get_piece_size())]
         if any(MARK in p.lstrip(MARK) for p in pieces):
@@ -40,7 +41,7 @@ class ChunkTable:
         self.newline = self.sp.encode("\n")
         self.marker = self.sp.piece_to_id(MARK)
         self.names = [str(i) for i in range(len(pieces))]
-        self.limit = limit
+        self.limit, self.chars, self.held = limit, chars, 0
         self.table: dict[str, tuple[str, str, int]] = {}
 
     def _segment(self, chunks: list[str]) -> None:
@@ -55,7 +56,9 @@ class ChunkTable:
         decoded = self.sp.decode(ids, num_threads=1)
         names, spaces = self.names, len(marked)
         for at, (chunk, own, text) in enumerate(zip(marked + bare, ids, decoded)):
-            self.table[chunk] = (",".join([names[i] for i in own]), " " + text if at < spaces else text, len(own))
+            listed = ",".join([names[i] for i in own])
+            self.table[chunk] = (listed, " " + text if at < spaces else text, len(own))
+            self.held += len(chunk) + len(listed) + len(text)
 
     def encode_all(self, texts: list[str]) -> list[tuple[str, str, int]]:
         """Comma-joined ids, decoded text and number of ids of each text."""
@@ -63,8 +66,9 @@ class ChunkTable:
         table = self.table
         new = {c for chunks in cut for c in chunks if c not in table}
         if new:
-            if len(table) + len(new) > self.limit:
+            if len(table) + len(new) > self.limit or self.held > self.chars:
                 table.clear()
+                self.held = 0
                 new = {c for chunks in cut for c in chunks}
             self._segment(list(new))
         done = []
@@ -99,7 +103,7 @@ def encode_texts(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             done = list(_encoded(_table(model_file), batch.column("text").to_pylist()))
             ids, decoded, n = zip(*done) if done else ((), (), ())
             yield pa.RecordBatch.from_arrays(
@@ -117,7 +121,7 @@ def token_digests(docs: DataFrame, model_file: str, id_col: str = "doc_id", text
         return hashlib.sha256(text.encode("utf-8")).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             n, ids, decoded = [], [], []
             for i, d, count in _encoded(_table(model_file), batch.column("text").to_pylist()):
                 n.append(count), ids.append(sha(i)), decoded.append(sha(d))

@@ -127,6 +127,10 @@ def test_token_table_starts_anew_when_full(model_file):
     small, large = tokens.ChunkTable(model_file, limit=50), tokens.ChunkTable(model_file)
     texts = [EN(200) for _ in range(20)]
     assert small.encode_all(texts) == large.encode_all(texts)
+    short = tokens.ChunkTable(model_file, chars=5000)
+    lines = ["".join(chr(0x4E00 + (i * 37 + j) % 9000) for j in range(2000)) for i in range(40)]
+    assert [short.encode(t) for t in lines] == large.encode_all(lines)
+    assert sum(map(len, short.table)) < 5000 + 3 * 2000 < sum(map(len, large.table))
 
 
 def distance_to_prefix(word, stem):

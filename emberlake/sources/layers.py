@@ -32,6 +32,11 @@ _PARTS = ("shp", "shx", "dbf")
 _FIELD_SIZE = 32
 # Bytes of shapes and rows for a task, of one read within it, and index records that the plan looks at together.
 RANGE_BYTES, _READ_BYTES, _INDEX_RECORDS = 64 << 20, 8 << 20, 1 << 20
+# Bytes that opening a layer's files counts for where small layers share a task.
+OPEN_BYTES = 1 << 20
+# Bytes of a point's shape, and the layout of such records from the first shape on, each with the next one's header.
+_POINT_BYTES = 20
+_POINTS = np.dtype([("kind", "<i4"), ("xy", "<f8", 2), ("next", "V8")])
 # Definitions of geographic systems whose coordinates are those of SRID 4674 or 4326.
 GEOGRAPHIC = r'(?is)^\s*GEOG(?:CS|CRS)\s*\[\s*"[^"]*(?:SIRGAS[ _]*2000|WGS[ _]*(?:19)?84)'
 
@@ -193,6 +198,24 @@ def _ewkb(shape: bytes, srid: int, system: TransverseMercator | None = None) ->
     return _collect(3, 6, [struct.pack("<I", len(p)) + b"".join(_body(r) for r in p) for p in polygons], srid)
 
 
+def _point_ewkb(shapes: bytes, count: int, srid: int, system: TransverseMercator | None) -> np.ndarray | None:
+    """EWKB of records of ``_POINT_BYTES`` that follow each other, as rows of bytes; None unless all are plain points."""
+    records = np.frombuffer(shapes + bytes(8), _POINTS, count)
+    if (records["kind"] != 1).any():
+        return None
+    points = records["xy"] if system is None else system.to_geographic(records["xy"])
+    head = np.frombuffer(_head(1, srid), np.uint8)
+    body = np.ascontiguousarray(points, "<f8").view(np.uint8).reshape(count, 16)
+    return np.hstack([np.broadcast_to(head, (count, len(head))), body])
+
+
+def _binary(rows: np.ndarray) -> pa.Array:
+    """Rows of bytes as a binary array."""
+    count, size = rows.shape
+    offsets = np.arange(count + 1, dtype="<i4") * size
+    return pa.Array.from_buffers(pa.binary(), count, [None, pa.py_buffer(offsets), pa.py_buffer(rows.tobytes())])
+
+
 def decode_layers(files: DataFrame, srid: int = SRID, encoding: str = "UTF-8") -> DataFrame:
     """Attributes and ``geometry`` of every record in the given layer files (path, content)."""
     parts = _by_layer(files)
@@ -238,9 +261,31 @@ def require_shared_coordinates(spark: SparkSession, folder: str) -> None:
         raise ValueError(f"no transformation for the coordinates of {', '.join(r.path for r in other)}: {other[0].text[:80]}")
 
 
+def _files_below(store: fs.FileSystem, root: str) -> Iterator[list[fs.FileInfo]]:
+    """The files below a folder, listed one folder at a time."""
+    folders = [root]
+    while folders:
+        found = store.get_file_info(fs.FileSelector(folders.pop()))
+        folders += [i.path for i in found if i.type == fs.FileType.Directory]
+        yield [i for i in found if i.is_file]
+
+
+def _declared(store: fs.FileSystem, root: str) -> set[str]:
+    """Distinct texts of the .cpg files below a folder; names that begin with . or _ are left out, as Spark does."""
+    texts = set()
+    for info in (i for files in _files_below(store, root) for i in files):
+        if info.path.endswith(".cpg") and not re.search(r"/[._]", info.path[len(root.rstrip("/")) :]):
+            with store.open_input_file(info.path) as text:
+                texts.add(text.read().decode("utf-8", "replace").strip(" "))
+    return texts
+
+
 def declared_encoding(spark: SparkSession, folder: str) -> str:
     """What the layers' .cpg files say, which must be the same for all; UTF-8 without any."""
-    names = [r.text for r in _side_files(spark, folder, "cpg").select("text").distinct().limit(2).collect()]
+    try:
+        names = sorted(_declared(*open_store(folder)))
+    except (OSError, pa.ArrowException):
+        names = [r.text for r in _side_files(spark, folder, "cpg").select("text").distinct().limit(2).collect()]
     if len(names) > 1:
         raise ValueError(f"the layers below {folder} have several encodings: {', '.join(names)}")
     return re.sub(r"^ISO[ _-]*8859[ _-]*1$", "ISO-8859-1", names[0].strip().upper()) if names else "UTF-8"
@@ -265,38 +310,54 @@ class LayerFile:
     system: TransverseMercator | None
 
 
+def each_layer(store: fs.FileSystem, root: str) -> Iterator[LayerFile]:
+    """The layers below a folder, one after the other; only their headers and side files are read."""
+    for infos in _files_below(store, root):
+        found: dict[str, dict[str, str]] = {}
+        for info in infos:
+            base, _, suffix = info.path.rpartition(".")
+            if suffix.lower() in (*_PARTS, "prj"):
+                found.setdefault(base, {})[suffix.lower()] = info.path
+        for base, files in sorted(found.items()):
+            if not all(p in files for p in _PARTS):
+                continue
+            with store.open_input_file(files["dbf"]) as table, store.open_input_file(files["shx"]) as index:
+                start, step = struct.unpack("<HH", table.read_at(4, 8))
+                fields, records = table.read_at(start - 33, 32), (index.size() - 100) // 8
+            system = None
+            if "prj" in files:
+                with store.open_input_file(files["prj"]) as text:
+                    try:
+                        system = projection_of(text.read().decode("utf-8", "replace"))
+                    except ValueError as problem:
+                        raise ValueError(f"{files['prj']}: {problem}") from None
+            yield LayerFile(files, records, start, step, fields, system)
+
+
 def layers_below(store: fs.FileSystem, root: str) -> list[LayerFile]:
-    """The layers below a folder; only their headers and side files are read."""
-    found: dict[str, dict[str, str]] = {}
-    for info in store.get_file_info(fs.FileSelector(root, recursive=True)):
-        base, _, suffix = info.path.rpartition(".")
-        if info.is_file and suffix.lower() in (*_PARTS, "prj"):
-            found.setdefault(base, {})[suffix.lower()] = info.path
-    layers = []
-    for base, files in sorted(found.items()):
-        if not all(p in files for p in _PARTS):
-            continue
-        with store.open_input_file(files["dbf"]) as table, store.open_input_file(files["shx"]) as index:
-            start, step = struct.unpack("<HH", table.read_at(4, 8))
-            fields, records = table.read_at(start - 33, 32), (index.size() - 100) // 8
-        system = None
-        if "prj" in files:
-            with store.open_input_file(files["prj"]) as text:
-                try:
-                    system = projection_of(text.read().decode("utf-8", "replace"))
-                except ValueError as problem:
-                    raise ValueError(f"{files['prj']}: {problem}") from None
-        layers.append(LayerFile(files, records, start, step, fields, system))
-    return layers
+    """All layers below a folder."""
+    return list(each_layer(store, root))
 
 
 @dataclass
-class LayerRange(InputPartition):
-    """Consecutive records of a layer."""
+class LayerRange:
+    """Consecutive records of a layer, with their bytes of shapes and rows."""
 
     layer: LayerFile
     first: int
     count: int
+    size: int
+
+
+@dataclass
+class LayerRanges(InputPartition):
+    """What a task reads: a range of a large layer, or several small layers."""
+
+    ranges: list[LayerRange]
+
+    @property
+    def count(self) -> int:
+        return sum(r.count for r in self.ranges)
 
 
 def _ranges(store: fs.FileSystem, layer: LayerFile, size: int) -> Iterator[LayerRange]:
@@ -308,26 +369,44 @@ def _ranges(store: fs.FileSystem, layer: LayerFile, size: int) -> Iterator[Layer
             ends = np.cumsum(lengths * 2 + 8 + layer.table_step)
             at = 0
             while at < count:
-                stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right")))
-                yield LayerRange(layer, base + at, stop - at)
+                before = int(ends[at - 1]) if at else 0
+                stop = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
+                yield LayerRange(layer, base + at, stop - at, int(ends[stop - 1]) - before)
                 at = stop
 
 
+def _shared(ranges: list[LayerRange], size: int, tasks: int) -> list[LayerRanges]:
+    """Neighbouring ranges put together up to ``size`` bytes, but not into fewer than ``tasks`` where there are as many."""
+    room = min(size, max(OPEN_BYTES, sum(r.size + OPEN_BYTES for r in ranges) // tasks))
+    packed, taken = [], room
+    for r in ranges:
+        taken += r.size + OPEN_BYTES
+        if taken > room:
+            packed.append(LayerRanges([]))
+            taken = r.size + OPEN_BYTES
+        packed[-1].ranges.append(r)
+    return packed
+
+
 class LayerReader(DataSourceReader):
     """Reads byte ranges of layer files; every task opens them for itself."""
 
     def __init__(self, options: dict) -> None:
         self.path, self.srid = options["path"], int(options.get("srid", SRID))
-        self.size = int(options.get("rangebytes", RANGE_BYTES))
+        self.size, self.tasks = int(options.get("rangebytes", RANGE_BYTES)), int(options.get("tasks", 1))
 
-    def partitions(self) -> list[LayerRange]:
+    def partitions(self) -> list[LayerRanges]:
         store, root = open_store(self.path)
-        return [r for layer in layers_below(store, root) for r in _ranges(store, layer, self.size)]
+        return _shared([r for layer in each_layer(store, root) for r in _ranges(store, layer, self.size)], self.size, self.tasks)
 
-    def read(self, part: LayerRange | None) -> Iterator[pa.RecordBatch]:
+    def read(self, part: LayerRanges | None) -> Iterator[pa.RecordBatch]:
         if part is None:  # what Spark asks for where there is no range
             return
         store, _ = open_store(self.path)
+        for one in part.ranges:
+            yield from self._records(store, one)
+
+    def _records(self, store: fs.FileSystem, part: LayerRange) -> Iterator[pa.RecordBatch]:
         layer, step = part.layer, part.layer.table_step
         with (
             store.open_input_file(layer.files["shx"]) as index,
@@ -346,13 +425,18 @@ class LayerReader(DataSourceReader):
                 rows = table.read_at((stop - at) * step, layer.table_start + (part.first + at) * step)
                 if len(rows) < (stop - at) * step:
                     raise ValueError(f"{layer.files['dbf']} has fewer rows than {layer.files['shx']}")
-                attributes, geometries = [], []
-                for i in range(stop - at):
-                    row, begin = rows[i * step : (i + 1) * step], int(starts[at + i] - starts[at])
-                    if row[:1] != b"*":  # marks a deleted row
-                        attributes.append(row)
-                        geometries.append(_ewkb(data[begin : begin + int(lengths[at + i])], self.srid, layer.system))
-                yield pa.RecordBatch.from_arrays([pa.array(attributes, pa.binary()), pa.array(geometries, pa.binary())], ["attributes", "geometry"])
+                table_rows = np.frombuffer(rows, np.uint8).reshape(stop - at, step)
+                kept = table_rows[:, 0] != 0x2A  # marks a deleted row
+                points = None
+                if (lengths[at:stop] == _POINT_BYTES).all():
+                    points = _point_ewkb(data, stop - at, self.srid, layer.system)
+                if points is not None:
+                    geometries = _binary(points[kept])
+                else:
+                    begins = (starts[at:stop] - starts[at]).tolist()
+                    own = [(begins[i], int(lengths[at + i])) for i in np.flatnonzero(kept)]
+                    geometries = pa.array([_ewkb(data[b : b + n], self.srid, layer.system) for b, n in own], pa.binary())
+                yield pa.RecordBatch.from_arrays([_binary(table_rows[kept]), geometries], ["attributes", "geometry"])
                 at = stop
 
 
@@ -378,12 +462,13 @@ def scan_layers(spark: SparkSession, folder: str, srid: int = SRID, encoding: st
     others raise. The folder must be one that Arrow reaches from the executors.
     """
     store, root = open_store(folder)
-    layers = layers_below(store, root)
-    if len({layer.fields for layer in layers}) != 1:
+    layouts = {layer.fields for layer in each_layer(store, root)}
+    if len(layouts) != 1:
         raise ValueError("the layers below one folder must exist and have the same attributes")
     spark.dataSource.register(LayerSource)
-    rows = spark.read.format("layer").options(path=folder, srid=str(srid), rangebytes=str(range_bytes)).load()
-    attributes = [_attribute(F.col("attributes"), k, o, n, d, encoding).alias(name) for name, k, o, n, d in _layout(layers[0].fields)]
+    tasks = str(spark.sparkContext.defaultParallelism)
+    rows = spark.read.format("layer").options(path=folder, srid=str(srid), rangebytes=str(range_bytes), tasks=tasks).load()
+    attributes = [_attribute(F.col("attributes"), k, o, n, d, encoding).alias(name) for name, k, o, n, d in _layout(layouts.pop())]
     return rows.select(*attributes, F.col("geometry").alias("geometry", metadata=geometry_label(srid)))
 
 

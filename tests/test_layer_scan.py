@@ -1,10 +1,15 @@
 """Byte-range scans of layers, ring grouping by an edge index, and projected coordinates."""
 
+import contextlib
 import math
+import os
 import random
+import resource
 import struct
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from shapes import point, polygon, write_layer
 
@@ -240,3 +245,95 @@ def test_written_layers_read_back_whole(spark, tmp_path):
     write_layers(rows, str(tmp_path))
     got = read_layer(spark, str(tmp_path)).select(F.col("CD_MUN").cast("long").alias("id")).collect()
     assert sorted(r.id for r in got) == list(range(3000))
+
+
+def zoned_points(spark, zones, rows):
+    from pyspark.sql import functions as F
+
+    return spark.range(rows, numPartitions=4).select(
+        (F.col("id") % zones + 1).cast("int").alias("zone"),
+        F.array(F.col("id").cast("string"), F.lit("n"), F.lit("PA"), F.lit("1.0")).alias("cells"),
+        F.array(F.array(F.struct(F.lit(500_000.0).alias("x"), F.lit(9_000_000.0).alias("y")))).alias("rings"),
+    )
+
+
+def python_processes(spark):
+    """The processes that fork Python workers, and the workers there are."""
+
+    def ask(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"pid": [os.getppid()]})
+
+    daemons = {r.pid for r in spark.range(8, numPartitions=4).mapInArrow(ask, "pid long").collect()}
+    return [*daemons, *(int(p) for d in daemons for p in Path(f"/proc/{d}/task/{d}/children").read_text().split())]
+
+
+def test_many_zones_need_few_open_files(spark, tmp_path):
+    """A task writes its zones one after the other, and a zone is not split over all tasks."""
+    from pyspark.sql import functions as F
+
+    from emberlake.queries.areas import write_layers
+
+    limits = dict.fromkeys(python_processes(spark), resource.getrlimit(resource.RLIMIT_NOFILE))
+    try:
+        for pid, (_, most) in limits.items():
+            with contextlib.suppress(ProcessLookupError):
+                resource.prlimit(pid, resource.RLIMIT_NOFILE, (100, most))
+        write_layers(zoned_points(spark, 400, 3000), str(tmp_path))
+    finally:
+        for pid in {*limits, *python_processes(spark)}:
+            with contextlib.suppress(ProcessLookupError):
+                resource.prlimit(pid, resource.RLIMIT_NOFILE, next(iter(limits.values())))
+    assert 400 <= len(list(tmp_path.rglob("*.shp"))) <= 400 + 4
+    got = read_layer(spark, str(tmp_path)).select(F.col("CD_MUN").cast("long").alias("id"), "geometry").collect()
+    assert sorted(r.id for r in got) == list(range(3000))
+    for r in got:  # the middle of each zone
+        lon, lat = struct.unpack("<dd", bytes(r.geometry)[-16:])
+        assert lon == 6 * (r.id % 400 + 1) - 183 and lat == pytest.approx(-9.0459, abs=1e-3)
+
+
+def test_small_layers_share_tasks(spark, tmp_path):
+    """Layers are put together as long as enough tasks are left."""
+    for i in range(300):
+        write_layer(tmp_path / f"{i % 3}", f"l{i}", FIELDS, [(point(i, -i), [str(i), "x"])])
+    few = LayerReader({"path": str(tmp_path)}).partitions()
+    assert len(few) <= 6 and sum(p.count for p in few) == 300
+    assert 50 <= len(LayerReader({"path": str(tmp_path), "tasks": "50"}).partitions()) <= 60
+    assert len(LayerReader({"path": str(tmp_path), "tasks": "1000"}).partitions()) == 300
+    assert ids(scan_layers(spark, str(tmp_path))) == list(range(300))
+
+
+def test_points_are_written_as_one_by_one():
+    """Whole batches, and parts of them, give the files that single records give."""
+    from emberlake.queries.areas import LayerWriter, layer_bytes
+
+    names = ["a", "Conceição do Araguaia", "", "x" * 30, "é" * 20, "a\0b", None]
+    rows = [([str(i), names[i % 7], "PA", f"{i / 7:.4f}"], [np.array([[i + 0.5, -i]])]) for i in range(50)]
+    column = pa.array([[[{"x": x, "y": y} for x, y in ring.tolist()] for ring in rings] for _, rings in rows])
+    batch = pa.RecordBatch.from_arrays([pa.array([cells for cells, _ in rows]), column], ["cells", "rings"])
+    writer = LayerWriter()
+    for start, count in [(0, 20), (20, 1), (21, 29)]:
+        writer.add_rows(batch.slice(start, count))
+    assert {s: b"".join(c) for s, c in writer.files("prj")} == layer_bytes(rows, "prj")
+
+
+@pytest.mark.parametrize("system", [None, ZONE])
+def test_points_are_read_as_one_by_one(tmp_path, system):
+    shapes = [point(500_000.0 + 9 * i, 9_000_000.0 - 7 * i) for i in range(40)]
+    for name, all_shapes in (("plain", shapes), ("mixed", [*shapes, struct.pack("<i", 0), struct.pack("<i", 0) + bytes(16)])):
+        folder = tmp_path / name
+        write_layer(folder, "a", FIELDS, [(s, [str(i), "x"]) for i, s in enumerate(all_shapes)], deleted={3})
+        if system:
+            (folder / "a.prj").write_text(zone_system(23))
+        reader = LayerReader({"path": str(folder)})
+        got = [g.as_py() for p in reader.partitions() for b in reader.read(p) for g in b.column("geometry")]
+        wanted = [layers._ewkb(s, 4674, system) for i, s in enumerate(all_shapes) if i != 3]
+        assert [g and (g[:9], pytest.approx(struct.unpack("<dd", g[9:]), abs=1e-12)) for g in wanted] == [g and (g[:9], struct.unpack("<dd", g[9:])) for g in got]
+
+
+def test_encodings_are_found_in_every_folder(spark, tmp_path):
+    write_layer(tmp_path / "x" / "y", "a", FIELDS, [(point(1, 2), ["1", "n"])])
+    (tmp_path / "x" / "y" / "a.cpg").write_text("ISO 88591")
+    (tmp_path / "x" / "._a.cpg").write_bytes(b"\0\5\x16\7")
+    assert layers.declared_encoding(spark, str(tmp_path)) == "ISO-8859-1"
+    assert layers.declared_encoding(spark, f"file:{tmp_path}") == "ISO-8859-1"
